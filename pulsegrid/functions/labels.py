@@ -33,11 +33,11 @@ def attributes_to_map(attrs: Column | str) -> Column:
     entry per key first (position-wise), then build the map.
     """
     a = _c(attrs)
-    entries = F.transform(a, lambda e, i: F.struct(e["key"].alias("key"), attr_value(e["value"]).alias("value"),
-                                                    i.alias("pos")))
+    entries = F.transform(a, lambda e, i: F.named_struct(F.lit("key"), e["key"], F.lit("value"),
+                                                          attr_value(e["value"]), F.lit("pos"), i))
     # last occurrence wins: keep an entry only if no later entry has the same key
     last = F.filter(entries, lambda e: ~F.exists(entries, lambda o: (o["key"] == e["key"]) & (o["pos"] > e["pos"])))
-    kv = F.transform(last, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    kv = F.transform(last, lambda e: F.named_struct(F.lit("key"), e["key"], F.lit("value"), e["value"]))
     return F.when(a.isNull(), F.create_map().cast("map<string,string>")).otherwise(F.map_from_entries(kv))
 
 
@@ -65,3 +65,9 @@ def matchers(labels: Column | str, ms: Iterable[tuple[str, str, str]]) -> Column
     for k, op, v in ms:
         cond = cond & matcher(labels, k, op, v)
     return cond
+
+
+def merge_maps(base: Column | str, over: Column | str) -> Column:
+    """``base`` overlaid with ``over`` (keys of ``over`` win) without tripping the duplicate-key check."""
+    b, o = _c(base), _c(over)
+    return F.map_concat(F.map_filter(b, lambda k, v: ~F.array_contains(F.map_keys(o), k)), o)
