@@ -143,4 +143,4 @@ BEAN_SQL = """CASE event_type
 
 def a_beans(events: DataFrame) -> DataFrame:
     """events -> JMX bean lines (line, ts_ns, event_id)."""
-    return events.select("event_id", epoch_ns("ts").alias("ts_ns"), F.expr(BEAN_SQL).alias("line"))
+    return events.select("event_id", "user_id", epoch_ns("ts").alias("ts_ns"), F.expr(BEAN_SQL).alias("line"))

@@ -94,7 +94,7 @@ def q_otlp_spans(spark, d):
                       F.col("res")["service.name"].alias("svc"))
 
 
-def _jmx_sql() -> str:
+def _jmx_sql(extra: bool = False) -> str:
     """Oracle: the same rule table evaluated with DuckDB regexes."""
     import re
 
@@ -127,6 +127,9 @@ def _jmx_sql() -> str:
     cols = [case(lambda b: str(b[1])) + " AS rule", case(lambda b: b[2]) + " AS metric",
             case(lambda b: f"'{b[3]}'") + " AS type", case(lambda b: b[5]) + " AS value"]
     cols += [case(lambda b, k=k: b[4].get(k, "NULL")) + f" AS l_{k}" for k in keys]
+    if extra:
+        return (f"x AS (SELECT event_id, user_id, epoch_us(ts) * 1000 AS ts_ns, {BEAN_SQL} AS line FROM events),\n"
+                f"jx AS (SELECT event_id, user_id, ts_ns, {', '.join(cols)} FROM x)")
     return (f"WITH x AS (SELECT event_id, {BEAN_SQL} AS line FROM events)\n"
             f"SELECT event_id, {', '.join(cols)} FROM x")
 
