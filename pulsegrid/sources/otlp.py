@@ -48,8 +48,15 @@ def _parse(df: DataFrame, col: str, schema: str) -> DataFrame:
     return df.select(F.from_json(F.col(col), schema).alias("r"))
 
 
+def struct_schema(schema: str):
+    """``struct<...>`` text -> StructType (for readers that want a table schema)."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    return _parse_datatype_string(schema)
+
+
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(path).select(F.struct("*").alias("r"))
+    return spark.read.schema(struct_schema(schema)).json(path).select(F.struct("*").alias("r"))
 
 
 # ---------------------------------------------------------------- metrics

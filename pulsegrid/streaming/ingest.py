@@ -20,7 +20,7 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def _stream_json(spark: SparkSession, path: str, schema: str, max_files: int | None) -> DataFrame:
-    r = spark.readStream.schema(schema)
+    r = spark.readStream.schema(O.struct_schema(schema))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.json(path).select(F.struct("*").alias("r"))
