@@ -172,15 +172,15 @@ def contains_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_text: str
     nd = needles.select(F.col(needle_id).alias("nid"), F.col(needle_text).alias("ntext"))
     nd = nd.withColumn("ntok", _tokens(F.col("ntext")))
     long_n = nd.filter(F.size("ntok") >= n + 2).select(
-        "nid", "ntext", F.xxhash64(F.array_join(F.slice("ntok", 2, n), " ")).alias("h"))
+        "nid", "ntext", F.xxhash64(F.transform(F.slice("ntok", 2, n), lambda w: F.xxhash64(w))).alias("h"))
     short_n = nd.filter(F.size("ntok") < n + 2).select("nid", "ntext")
 
     hy = hay.select(F.col(hay_id).alias("hid"), F.col(hay_text).alias("htext"))
-    toks = hy.select("hid", _tokens(F.col("htext")).alias("t"))
-    grams = (toks.select("hid", F.posexplode("t").alias("p", "w"), "t")
-             .filter(F.col("p") + F.lit(n) <= F.size("t"))
-             .select("hid", F.xxhash64(F.array_join(F.slice("t", F.col("p") + 1, n), " ")).alias("h"))
-             .distinct())
+    # per document: token hashes, then one hash per n-gram position (no per-row array copies)
+    th = hy.select("hid", F.transform(_tokens(F.col("htext")), lambda w: F.xxhash64(w)).alias("th"))
+    grams = th.filter(F.size("th") >= n).select("hid", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("th") - F.lit(n - 1)),
+        lambda i: F.xxhash64(F.slice("th", i, n)))).alias("h"))
     cand = grams.join(long_n.select("nid", "h"), "h").select("hid", "nid").distinct()
     long_pairs = (cand.join(hy, "hid").join(long_n.select("nid", "ntext"), "nid")
                   .filter(F.contains(F.col("htext"), F.col("ntext"))).select("hid", "nid"))
