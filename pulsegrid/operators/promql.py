@@ -29,6 +29,17 @@ from ..functions.time import Grid, duration_ns, floor_div
 
 NS = 1_000_000_000
 
+_SERIES = "struct<metric:string,labels:array<struct<key:string,value:string>>>"
+
+
+def decode_series(df: DataFrame) -> DataFrame:
+    """metric and labels back from the canonical ``series_id`` (a projection, no join).
+
+    The ordered and aggregated stages carry only ``series_id`` and numbers: aggregates over
+    strings or maps cannot use hash aggregation, and the label maps would ride every shuffle."""
+    p = F.from_json(F.col("series_id"), _SERIES)
+    return df.withColumn("metric", p["metric"]).withColumn("labels", F.map_from_entries(p["labels"]))
+
 
 # ---------------------------------------------------------------- selection (PF-1/2/8)
 
@@ -68,10 +79,7 @@ def time_range(df: DataFrame, start_ns: int, end_ns: int, col: str = "ts_ns") ->
 
 def dedup_points(samples: DataFrame) -> DataFrame:
     """Points are unique per (series_id, ts_ns); duplicates keep the larger value."""
-    return (samples.groupBy("series_id", "ts_ns")
-            .agg(F.max("value").alias("value"),
-                 F.first("metric").alias("metric"),
-                 F.first("labels").alias("labels")))
+    return decode_series(samples.groupBy("series_id", "ts_ns").agg(F.max("value").alias("value")))
 
 
 def _with_bucket(df: DataFrame, origin_ns: int, size_ns: int, ts: str = "ts_ns") -> DataFrame:
@@ -86,12 +94,10 @@ def _delta(v: Column, prev: Column) -> Column:
 
 
 def _dedup_in_buckets(x: DataFrame) -> DataFrame:
-    """Dedup (series_id, ts_ns) inside the (series_id, b) partitioning (no extra shuffle)."""
-    return (x.repartition("series_id", "b")
-            .groupBy("series_id", "b", "ts_ns")
-            .agg(F.max("value").alias("value"),
-                 F.first("metric").alias("metric"),
-                 F.first("labels").alias("labels")))
+    """Dedup (series_id, ts_ns) inside the (series_id, b) partitioning, so the ordered window
+    and the bucket aggregate that follow need no further exchange."""
+    return (x.select("series_id", "b", "ts_ns", "value").repartition("series_id", "b")
+            .groupBy("series_id", "b", "ts_ns").agg(F.max("value").alias("value")))
 
 
 def counter_inc(samples: DataFrame, chunk: str | int = "1d") -> DataFrame:
@@ -111,8 +117,7 @@ def counter_inc(samples: DataFrame, chunk: str | int = "1d") -> DataFrame:
     carry = chunks.select("series_id", "b", F.lag("last_v").over(wc).alias("carry_v"))
     out = x.join(carry, ["series_id", "b"], "left")
     prev = F.coalesce(F.col("prev_v"), F.col("carry_v"))
-    return out.select("metric", "labels", "series_id", "ts_ns", "value",
-                      _delta(F.col("value"), prev).alias("inc"))
+    return decode_series(out.select("series_id", "ts_ns", "value", _delta(F.col("value"), prev).alias("inc")))
 
 
 # ---------------------------------------------------------------- range partials
@@ -134,9 +139,7 @@ def _range_partials(samples: DataFrame, grid: Grid, range_ns: int) -> tuple[Data
                   F.count(F.lit(1)).alias("n"),
                   F.sum("value").alias("vsum"),
                   F.max("value").alias("vmax"),
-                  F.min("value").alias("vmin"),
-                  F.first("metric").alias("metric"),
-                  F.first("labels").alias("labels")))
+                  F.min("value").alias("vmin")))
     # stitch: increase from the previous occupied bucket of the same series
     ws = Window.partitionBy("series_id").orderBy("b")
     parts = parts.withColumn("edge", _delta(F.col("first_v"), F.lag("last_v").over(ws)))
@@ -167,10 +170,8 @@ def range_agg(samples: DataFrame, grid: Grid, range_: str | int) -> DataFrame:
                 F.sum("n").alias("n"),
                 F.sum("vsum").alias("sum"),
                 F.max("vmax").alias("max"),
-                F.min("vmin").alias("min"),
-                F.first("metric").alias("metric"),
-                F.first("labels").alias("labels")))
-    return res.withColumn("t", (grid.t_ns(F.col("j")) / F.lit(NS)).cast("bigint"))
+                F.min("vmin").alias("min")))
+    return decode_series(res.withColumn("t", (grid.t_ns(F.col("j")) / F.lit(NS)).cast("bigint")))
 
 
 def rate(samples: DataFrame, grid: Grid, range_: str | int) -> DataFrame:
@@ -205,22 +206,18 @@ def instant(samples: DataFrame, grid: Grid, lookback: str | int = "5m") -> DataF
     lb = duration_ns(lookback)
     x = samples.filter((F.col("ts_ns") >= F.lit(grid.start_ns - lb)) &
                        (F.col("ts_ns") < F.lit(grid.end_ns)))
-    x = _with_bucket(x, grid.start_ns, grid.step_ns)
-    newest = (x.groupBy("series_id", "b")
-              .agg(F.max(F.struct("ts_ns", "value")).alias("p"),
-                   F.first("metric").alias("metric"),
-                   F.first("labels").alias("labels")))
-    rel = F.col("p.ts_ns") - F.lit(grid.start_ns)
+    x = _dedup_in_buckets(_with_bucket(x, grid.start_ns, grid.step_ns))
+    newest = x.groupBy("series_id", "b").agg(F.max("ts_ns").alias("sample_ts_ns"),
+                                             F.max_by("value", "ts_ns").alias("value"))
+    rel = F.col("sample_ts_ns") - F.lit(grid.start_ns)
     jlo = F.greatest(floor_div(rel, grid.step_ns) + F.lit(1), F.lit(0))
     jhi = F.least(floor_div(rel + F.lit(lb), grid.step_ns), F.lit(grid.n_points - 1))
     ex = newest.filter(jlo <= jhi).withColumn("j", F.explode(F.sequence(jlo, jhi)))
-    res = (ex.groupBy("series_id", "j")
-           .agg(F.max("p").alias("p"),
-                F.first("metric").alias("metric"),
-                F.first("labels").alias("labels")))
-    return res.select("series_id", "metric", "labels", "j",
-                      (grid.t_ns(F.col("j")) / F.lit(NS)).cast("bigint").alias("t"),
-                      F.col("p.ts_ns").alias("sample_ts_ns"), F.col("p.value").alias("value"))
+    res = ex.groupBy("series_id", "j").agg(F.max_by("value", "sample_ts_ns").alias("value"),
+                                           F.max("sample_ts_ns").alias("sample_ts_ns"))
+    res = res.select("series_id", "j", (grid.t_ns(F.col("j")) / F.lit(NS)).cast("bigint").alias("t"),
+                     "sample_ts_ns", "value")
+    return decode_series(res)
 
 
 # ---------------------------------------------------------------- aggregation (AG-1/2/3/5/12)
