@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.templates import annotation
@@ -29,24 +29,24 @@ class AlertRule:
     summary: str = ""
 
 
-RULE_SCHEMA = "alert string, metric string, op string, threshold double, for_ns bigint, severity string, summary string"
-
-
-def rules_table(spark: SparkSession, rules: list[AlertRule]) -> DataFrame:
-    return spark.createDataFrame(
-        [(r.alert, r.metric, r.op, float(r.threshold), duration_ns(r.for_), r.severity, r.summary) for r in rules],
-        RULE_SCHEMA)
-
-
 def _cond(op: Column, v: Column, x: Column) -> Column:
     return (F.when(op == ">", v > x).when(op == ">=", v >= x).when(op == "<", v < x)
             .when(op == "<=", v <= x).when(op == "==", v == x).when(op == "!=", v != x))
 
 
-def alert_states(v: DataFrame, rules: DataFrame, grid: Grid) -> DataFrame:
-    """``v``: instant vector (series_id, metric, labels, j, t, value); ``rules``: rules_table.
-    The rule table is configuration (a handful of rows) and is broadcast."""
-    x = v.join(F.broadcast(rules), "metric")
+def alert_states(v: DataFrame, rules: list[AlertRule], grid: Grid) -> DataFrame:
+    """``v``: instant vector (series_id, metric, labels, j, t, value); ``rules``: AlertRule list.
+
+    The rules are configuration: they become a literal array that every row filters by its
+    metric and explodes (one row per matching rule) — no join, no broadcast of data."""
+    arr = F.array(*[F.struct(F.lit(r.alert).alias("alert"), F.lit(r.metric).alias("metric"),
+                             F.lit(r.op).alias("op"), F.lit(float(r.threshold)).alias("threshold"),
+                             F.lit(duration_ns(r.for_)).alias("for_ns"), F.lit(r.severity).alias("severity"),
+                             F.lit(r.summary).alias("summary")) for r in rules])
+    x = v.filter(F.col("metric").isin(*{r.metric for r in rules}))
+    x = x.withColumn("r", F.explode(F.filter(arr, lambda r: r["metric"] == F.col("metric"))))
+    x = x.select("*", *[F.col(f"r.{c}").alias(c) for c in ("alert", "op", "threshold", "for_ns", "severity",
+                                                          "summary")]).drop("r")
     x = x.withColumn("cond", F.coalesce(_cond(F.col("op"), F.col("value"), F.col("threshold")), F.lit(False)))
     w = Window.partitionBy("alert", "series_id").orderBy("j")
     prev_j, prev_c = F.lag("j").over(w), F.lag("cond").over(w)
@@ -63,6 +63,10 @@ def alert_states(v: DataFrame, rules: DataFrame, grid: Grid) -> DataFrame:
                     .alias("active_since"))
 
 
+def rule_metrics(rules: list[AlertRule]) -> list[str]:
+    return sorted({r.metric for r in rules})
+
+
 def alerts_with_summary(states: DataFrame, rules: list[AlertRule]) -> DataFrame:
     """Attach the rendered summary of each rule (``{{ $labels.x }}``, ``{{ $value }}``)."""
     text = F.lit(None).cast("string")

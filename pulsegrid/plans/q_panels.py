@@ -39,6 +39,12 @@ def jmx_instant(spark: SparkSession, d: str) -> DataFrame:
     return pq.instant(jmx_samples(spark, d), P.GRID, P.LOOKBACK)
 
 
+def alert_input(spark: SparkSession, d: str, rules) -> DataFrame:
+    """Instant vector of only the series the rules look at (selection before evaluation)."""
+    s = jmx_samples(spark, d).filter(F.col("metric").isin(*AL.rule_metrics(rules)))
+    return pq.instant(s, P.GRID, P.LOOKBACK)
+
+
 # ---------------------------------------------------------------- oracle SQL pieces
 
 _LK = "metric, l_clientid, l_topic, l_partition, l_broker, l_request, l_name, pod"
@@ -176,7 +182,7 @@ SELECT alert, pod, CAST(t_ns // 1000000000 AS BIGINT) AS t, value, {_STATE} AS s
        CASE WHEN cond THEN CAST(t_ns // 1000000000 AS BIGINT) - (j - t0_j) * {P.STEP_NS // NS} END AS active_since
 FROM az""", headline=True)
 def q_kafka_alerts(spark, d):
-    st = AL.alert_states(jmx_instant(spark, d), AL.rules_table(spark, KAFKA_ALERTS), P.GRID)
+    st = AL.alert_states(alert_input(spark, d, KAFKA_ALERTS), KAFKA_ALERTS, P.GRID)
     return st.select("alert", label("labels", "pod").alias("pod"), "t", "value", "state", "active_since")
 
 
@@ -187,7 +193,7 @@ SELECT alert, pod, CAST(t_ns // 1000000000 AS BIGINT) AS t,
                   WHEN 'KafkaOfflinePartitions' THEN CAST(value AS VARCHAR) || ' offline partitions' END AS summary
 FROM az WHERE {_STATE} = 'firing'""")
 def q_kafka_alert_summaries(spark, d):
-    st = AL.alert_states(jmx_instant(spark, d), AL.rules_table(spark, KAFKA_ALERTS), P.GRID)
+    st = AL.alert_states(alert_input(spark, d, KAFKA_ALERTS), KAFKA_ALERTS, P.GRID)
     st = AL.alerts_with_summary(st.filter(F.col("state") == "firing"), KAFKA_ALERTS)
     return st.select("alert", label("labels", "pod").alias("pod"), "t", F.col("summary_text").alias("summary"))
 
@@ -198,7 +204,7 @@ SELECT alert, "user", CAST(t_ns // 1000000000 AS BIGINT) AS t, value, {_STATE} A
 def q_event_alerts(spark, d):
     from .q_metrics import instant_vec
 
-    st = AL.alert_states(instant_vec(spark, d), AL.rules_table(spark, EVENT_ALERTS), P.GRID)
+    st = AL.alert_states(instant_vec(spark, d), EVENT_ALERTS, P.GRID)
     return st.select("alert", label("labels", "user").alias("user"), "t", "value", "state")
 
 

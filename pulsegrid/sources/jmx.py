@@ -66,4 +66,9 @@ def relabel(lines: DataFrame, rules=KAFKA_RULES, line_col: str = "line") -> Data
                        F.lit(typ).alias("type"), labels.alias("labels"), value.alias("value"))
         branch = F.when(line.rlike(wrapped), out)
         branches = branch if branches is None else branches.when(line.rlike(wrapped), out)
-    return lines.withColumn("m", branches).select("*", "m.*").drop("m")
+    none = F.struct(F.lit(None).cast("int").alias("rule"), F.lit(None).cast("string").alias("name"),
+                    F.lit(None).cast("string").alias("type"), F.lit(None).cast("map<string,string>").alias("labels"),
+                    F.lit(None).cast("double").alias("value"))
+    # a generator keeps the rule chain evaluated once per line: filters on its fields cannot be
+    # pushed below it (through a projection they would be inlined and re-evaluate the regexes)
+    return lines.select("*", F.inline(F.array(branches.otherwise(none))))
