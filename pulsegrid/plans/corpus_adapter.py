@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import with_columns_once
+
 # ---------------------------------------------------------------- generator expressions (SQL)
 
 PATH = ("'team-' || CAST(user_id % 20 AS STRING) || '/dash-' || CAST(event_id AS STRING) || '.json'")
@@ -72,8 +74,9 @@ def a_dashboards(events: DataFrame) -> DataFrame:
                     F.array(F.struct(F.lit("A").alias("refId"), F.col("expr2").alias("expr"))).alias("targets"))
     doc = F.concat(F.lit('{"title":"dash-'), F.col("event_id").cast("string"), F.lit('","panels":['),
                    F.to_json(row), F.lit(","), F.to_json(stat), F.lit("]}"))
-    doc = F.when(F.col("invalid"), F.substring(doc, 1, 40)).otherwise(doc)  # truncated: invalid JSON
-    return x.select("path", doc.alias("json"))
+    x = with_columns_once(x, {"doc": doc})
+    doc = F.when(F.col("invalid"), F.substring("doc", 1, 40)).otherwise(F.col("doc"))  # truncated: invalid JSON
+    return with_columns_once(x.select("path", doc.alias("j")), {"json": F.col("j")}).select("path", "json")
 
 
 # ---------------------------------------------------------------- rules

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from ..functions.plan import with_columns_once
+
 TARGET_SCHEMA = "panel_id bigint, ds_type string, ds_uid string, ref string, expr string, query string"
 
 
@@ -71,14 +73,15 @@ def _parse_2level(docs: DataFrame, path: str, text: str) -> DataFrame:
     """Parse with the two-level schema and check that it explains every ``"datasource"`` key
     of the text: ``covered`` is true when the number of panels with a datasource found by
     the schema equals the number of ``"datasource"`` keys in the document."""
-    d = F.from_json(F.col(text), DOC_SCHEMA)
+    docs = with_columns_once(docs.select(path, text), {"d": F.from_json(F.col(text), DOC_SCHEMA)})
+    d = F.col("d")
     found = F.coalesce(F.aggregate(
         d["panels"], F.lit(0),
         lambda acc, p: acc + F.when(p["datasource"].isNotNull(), 1).otherwise(0)
         + F.when(p["panels"].isNull(), 0).otherwise(F.size(F.filter(p["panels"], lambda q: q["datasource"].isNotNull())))),
         F.lit(0))
     keys = F.size(F.split(F.col(text), '"datasource"', -1)) - 1
-    return docs.select(path, text, d.alias("d"), (d.isNotNull() & (found == keys)).alias("covered"))
+    return with_columns_once(docs, {"covered": d.isNotNull() & (found == keys)})
 
 
 def dashboard_targets(docs: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
@@ -96,8 +99,8 @@ def dashboard_targets(docs: DataFrame, path: str = "path", text: str = "json") -
 
 def dashboard_targets_2level(docs: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
     """SRC-4 fixed two-level variant: ``from_json`` + ``explode``, all in the JVM."""
-    parsed = docs.select(path, F.from_json(F.col(text), DOC_SCHEMA).alias("d")).filter(F.col("d").isNotNull())
-    return _explode_2level(parsed, path)
+    parsed = with_columns_once(docs.select(path, text), {"d": F.from_json(F.col(text), DOC_SCHEMA)})
+    return _explode_2level(parsed.filter(F.col("d").isNotNull()), path)
 
 
 def _explode_2level(parsed: DataFrame, path: str) -> DataFrame:
