@@ -68,16 +68,15 @@ def select_spans(spans: DataFrame, preds: Iterable[tuple[str, str, object]]) ->
 def root_attributes(spans: DataFrame) -> DataFrame:
     """DD-3: attach rootName / rootServiceName to every span of a trace.
 
-    One row per trace (partial aggregate, so a hot trace is combined map-side) joined back
-    on trace_id; a skewed trace is split by AQE's skew-join handling, which a window over
-    trace_id could not do."""
-    roots = (spans.groupBy("trace_id")
-             .agg(F.max_by("name", F.col("parent_id").isNull()).alias("root_name_any"),
-                  F.max_by(F.col("res")["service.name"], F.col("parent_id").isNull()).alias("root_svc_any"),
-                  F.bool_or(F.col("parent_id").isNull()).alias("has_root")))
-    roots = roots.select("trace_id",
-                         F.when(F.col("has_root"), F.col("root_name_any")).alias("rootName"),
-                         F.when(F.col("has_root"), F.col("root_svc_any")).alias("rootServiceName"))
+    Root spans only (a filter) reduced to one row per trace (the earliest root if a trace
+    has several), joined back on trace_id; a skewed trace is split by AQE's skew-join
+    handling, which a window over trace_id could not do. Traces without root get NULL."""
+    roots = (spans.filter(F.col("parent_id").isNull())
+             .groupBy("trace_id")
+             .agg(F.min_by(F.struct(F.col("name").alias("rootName"),
+                                    F.col("res")["service.name"].alias("rootServiceName")),
+                           F.struct("start_ns", "span_id")).alias("r"))
+             .select("trace_id", "r.rootName", "r.rootServiceName"))
     return spans.join(roots, "trace_id", "left")
 
 

@@ -70,13 +70,14 @@ def _metric_rows(req: DataFrame) -> DataFrame:
 def metrics_from_requests(req: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(samples, histograms) from parsed export requests (column ``r``)."""
     m = _metric_rows(req)
-    gauge = m.select("res", "m.name", "m.unit", F.lit("gauge").alias("kind"), F.lit(False).alias("mono"),
-                     F.explode("m.gauge.dataPoints").alias("p"))
-    sums = m.select("res", "m.name", "m.unit",
-                    F.when(F.col("m.sum.isMonotonic"), "counter").otherwise("updown").alias("kind"),
-                    F.coalesce(F.col("m.sum.isMonotonic"), F.lit(False)).alias("mono"),
-                    F.explode("m.sum.dataPoints").alias("p"))
-    pts = gauge.unionByName(sums)
+    # gauge and sum points in one generator (one pass over the requests)
+    gauge = F.transform(F.coalesce(F.col("m.gauge.dataPoints"), F.array().cast(f"array<{NUM}>")),
+                        lambda p: F.struct(F.lit("gauge").alias("kind"), F.lit(False).alias("mono"), p.alias("p")))
+    mono = F.coalesce(F.col("m.sum.isMonotonic"), F.lit(False))
+    sums = F.transform(F.coalesce(F.col("m.sum.dataPoints"), F.array().cast(f"array<{NUM}>")),
+                       lambda p: F.struct(F.when(mono, "counter").otherwise("updown").alias("kind"),
+                                          mono.alias("mono"), p.alias("p")))
+    pts = m.select("res", "m.name", "m.unit", F.inline(F.concat(gauge, sums)))
     value = F.coalesce(F.col("p.asDouble"), F.col("p.asInt").try_cast("double"))
     samples = pts.select(
         prom_name(F.col("name"), F.col("unit"), F.col("mono")).alias("metric"),
