@@ -10,6 +10,7 @@ from ..functions import names as N
 from ..functions.templates import substitute, substitute_sql
 from ..operators import coverage as C
 from ..operators import lint as LT
+from ..operators.relational import distinct_sorted
 from ..sources import corpus as S
 from ..sources.tables import read_table
 from . import corpus_adapter as A
@@ -202,7 +203,7 @@ tok AS (SELECT DISTINCT name FROM (
 @query("metric_tokens", f"""WITH {TOK_SQL} SELECT name FROM tok""")
 def q_metric_tokens(spark, d):
     r = routed(spark, d).filter((F.col("lang") == "promql") & (F.col("expr") != ""))
-    return r.select(F.explode(N.metric_tokens(F.col("expr"))).alias("name")).distinct()
+    return distinct_sorted(r.select(F.explode(N.metric_tokens(F.col("expr"))).alias("name")), "name")
 
 
 @query("classify_metric_names", f"""WITH {TOK_SQL},
