@@ -15,3 +15,19 @@ def with_columns_once(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     Emitting the values through a generator (``inline`` of a one-element array) is a barrier
     for both: later projections and filters read the generated attributes."""
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
+def left_join_keyed(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join where rows with a NULL key bypass the join (they cannot match anyway).
+
+    In a shuffle join every NULL key hashes to the same partition; when many rows lack the
+    key (logs without a trace id) that partition would hold them all."""
+    has = F.lit(True)
+    for k in keys:
+        has = has & F.col(k).isNotNull()
+    joined = left.filter(has).join(right, keys, "left")
+    rest = left.filter(~has)
+    for f in right.schema.fields:
+        if f.name not in keys:
+            rest = rest.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return joined.unionByName(rest)

@@ -11,6 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import left_join_keyed
 from ..functions.time import duration_ns
 
 # Span intrinsics that are not OTLP attributes.
@@ -77,21 +78,24 @@ def root_attributes(spans: DataFrame) -> DataFrame:
                                     F.col("res")["service.name"].alias("rootServiceName")),
                            F.struct("start_ns", "span_id")).alias("r"))
              .select("trace_id", "r.rootName", "r.rootServiceName"))
-    return spans.join(roots, "trace_id", "left")
+    return left_join_keyed(spans, roots, ["trace_id"])
 
 
 def logs_with_spans(logs: DataFrame, spans: DataFrame) -> DataFrame:
-    """DD-1: log records joined to their span on (trace_id, span_id); logs without ids kept."""
+    """DD-1: log records joined to their span on (trace_id, span_id); logs without ids kept.
+
+    Records without ids never enter the join: in a shuffle join all NULL keys hash to one
+    partition, and most log records carry no trace id."""
     s = spans.select("trace_id", "span_id", F.col("name").alias("span_name"),
                      (F.col("end_ns") - F.col("start_ns")).alias("span_duration_ns"),
                      F.col("status_code").alias("span_status"))
-    return logs.join(s, ["trace_id", "span_id"], "left")
+    return left_join_keyed(logs, s, ["trace_id", "span_id"])
 
 
 def exemplar_spans(exemplars: DataFrame, spans: DataFrame) -> DataFrame:
     """DD-2: exemplar (trace_id, span_id, value) -> the span it points at."""
     s = spans.select("trace_id", "span_id", "name", (F.col("end_ns") - F.col("start_ns")).alias("duration_ns"))
-    return exemplars.join(s, ["trace_id", "span_id"], "left")
+    return left_join_keyed(exemplars, s, ["trace_id", "span_id"])
 
 
 def count_traces(spans: DataFrame) -> DataFrame:
