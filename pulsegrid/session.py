@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +35,7 @@ def get_session(app: str = "pulsegrid", master: str | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -60,3 +65,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pulsegrid`` importable by the Python workers (UDTF walk, stateful processors).
+
+    The package is zipped in memory, written once into the shared checkpoint folder through
+    the Hadoop FileSystem API (content-addressed name), and registered with ``addPyFile`` —
+    what ``--py-files`` does at submit time. Idempotent per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.join("pulsegrid", os.path.relpath(full, root)))
+    data = buf.getvalue()
+    target = f"{checkpoint_dir(spark).rstrip('/')}/pulsegrid-pkg/pulsegrid-{hashlib.sha1(data).hexdigest()[:16]}.zip"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        out.write(bytearray(data))
+        out.close()
+    spark.sparkContext.addPyFile(target)
+    # Python processes Spark starts next to the driver (the stateful-processor runner of
+    # transformWithStateInPandas) take PYTHONPATH from the function environment, not from
+    # addPyFile: point them at the driver's copy as well.
+    env = spark.sparkContext.environment
+    parent = os.path.dirname(root)
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if parent not in paths:
+        env["PYTHONPATH"] = os.pathsep.join(paths + [parent])
+    _SHIPPED.add(app)

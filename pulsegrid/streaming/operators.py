@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.names import topic_parts
 from ..functions.time import duration_ns
+from ..session import ship_package
 
 NS = 1_000_000_000
 
@@ -83,6 +84,7 @@ class CounterIncrements(StatefulProcessor):
 
 def stream_increments(samples: DataFrame, delay: str) -> DataFrame:
     """Per-point counter increments of a sample stream (state: one row per series)."""
+    ship_package(samples.sparkSession)
     x = samples.select("series_id", "ts", "ts_ns", "value").withWatermark("ts", delay)
     return x.groupBy("series_id").transformWithStateInPandas(
         statefulProcessor=CounterIncrements(), outputStructType=INC_SCHEMA, outputMode="Append",
@@ -162,6 +164,7 @@ def _compare(op: str, v: float, x: float) -> bool:
 def stream_alerts(samples: DataFrame, rules: list, max_gap: str, delay: str) -> DataFrame:
     """STR-3: rules = [AlertRule]; the rule list is configuration, joined by metric."""
     spark = samples.sparkSession
+    ship_package(spark)
     rows = [(r.alert, r.metric) for r in rules]
     rt = spark.createDataFrame(rows, "alert string, metric string")
     conf = {r.alert: (r.op, float(r.threshold), duration_ns(r.for_)) for r in rules}
