@@ -22,12 +22,32 @@ _DEFAULTS = {
 }
 
 
+# Sizing for the large-cluster target (~100 TB input, ~1000 executors). Shuffle partitions
+# are an upper bound that AQE coalesces to ~256 MB; scans split files at 512 MB; a shuffle
+# partition 5x the median and above 512 MB counts as skewed and is split by AQE; broadcast
+# is decided on runtime sizes below 64 MB; stateful streaming keeps state in RocksDB.
+CLUSTER_PROFILE = {
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
 def get_session(app: str = "pulsegrid", master: str | None = None,
-                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra: dict | None = None,
+                profile: str | None = None) -> SparkSession:
+    """Session with pulsegrid's defaults; ``profile="cluster"`` adds CLUSTER_PROFILE."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
+    for k, v in {**_DEFAULTS, **(CLUSTER_PROFILE if profile == "cluster" else {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -77,11 +77,12 @@ def metrics_from_requests(req: DataFrame) -> tuple[DataFrame, DataFrame]:
     sums = F.transform(F.coalesce(F.col("m.sum.dataPoints"), F.array().cast(f"array<{NUM}>")),
                        lambda p: F.struct(F.when(mono, "counter").otherwise("updown").alias("kind"),
                                           mono.alias("mono"), p.alias("p")))
-    pts = m.select("res", "m.name", "m.unit", F.inline(F.concat(gauge, sums)))
+    # names are normalised once per metric, before its points are exploded
+    pts = m.select("res", prom_name(F.col("m.name"), F.col("m.unit"), mono).alias("metric"), "m.unit",
+                   F.inline(F.concat(gauge, sums)))
     value = F.coalesce(F.col("p.asDouble"), F.col("p.asInt").try_cast("double"))
     samples = pts.select(
-        prom_name(F.col("name"), F.col("unit"), F.col("mono")).alias("metric"),
-        "kind", "unit",
+        "metric", "kind", "unit",
         merge_maps(F.col("res"), attributes_to_map("p.attributes")).alias("labels"),
         _ns(F.col("p.timeUnixNano")).alias("ts_ns"),
         value.alias("value"),
@@ -89,9 +90,10 @@ def metrics_from_requests(req: DataFrame) -> tuple[DataFrame, DataFrame]:
     samples = (samples.withColumn("ts", F.timestamp_micros(F.floor(F.col("ts_ns") / 1000).cast("bigint")))
                .withColumn("series_id", series_key("metric", "labels")))
 
-    h = m.select("res", "m.name", "m.unit", F.explode("m.histogram.dataPoints").alias("p"))
+    h = m.select("res", prom_name(F.col("m.name"), F.col("m.unit"), F.lit(False)).alias("metric"),
+                 F.explode("m.histogram.dataPoints").alias("p"))
     hist = h.select(
-        prom_name(F.col("name"), F.col("unit"), F.lit(False)).alias("metric"),
+        "metric",
         merge_maps(F.col("res"), attributes_to_map("p.attributes")).alias("labels"),
         _ns(F.col("p.timeUnixNano")).alias("ts_ns"),
         F.col("p.count").try_cast("bigint").alias("count"),
