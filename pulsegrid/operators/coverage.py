@@ -156,42 +156,68 @@ def _tokens(c: Column) -> Column:
     return F.split(F.trim(c), r"\s+")
 
 
-MAX_SHORT_NEEDLES = 100_000
-
-
 def contains_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_text: str,
-                  needle_id: str, needle_text: str, n: int = 8,
-                  max_short: int = MAX_SHORT_NEEDLES) -> DataFrame:
-    """JN-6: pairs (hay_id, needle_id) where the needle text occurs in the hay text.
-
-    Needles with at least n + 2 tokens: candidates by an equi-join on the hash of the
-    needle's word n-gram at tokens 2..n+1 (the first and last needle tokens may be glued to
-    neighbouring haystack text) against every hay n-gram hash; then ``contains`` verifies.
-    Shorter needles: a nested-loop join against a broadcast of only those needles.
-    Both branches are exact; their union is the answer."""
+                  needle_id: str, needle_text: str, n: int = 8) -> DataFrame:
+    """JN-6: all pairs (hay_id, needle_id) where the needle text occurs in the hay text.
+
+    Every needle takes an equi-join for its candidates; ``contains`` verifies each one, so the
+    result is exact and no needle is broadcast, capped or dropped.
+
+    * Needles of k >= 3 tokens: their middle tokens 2..k-1 must appear in the hay as whole,
+      consecutive tokens (the first and last may be glued to neighbouring text). The key is
+      the hash of the first min(k-2, n) middle tokens, joined against the hash of every hay
+      token gram of that length (one pass per gram length present, at most n).
+    * Needles of 1-2 tokens: their longer token is a substring of one hay token. The key is
+      every substring of the distinct hay vocabulary with a length some anchor has; the
+      matching vocabulary is mapped back to the documents that use it.
+    """
     nd = needles.select(F.col(needle_id).alias("nid"), F.col(needle_text).alias("ntext"))
     nd = nd.withColumn("ntok", _tokens(F.col("ntext")))
-    long_n = nd.filter(F.size("ntok") >= n + 2).select(
-        "nid", "ntext", F.xxhash64(F.transform(F.slice("ntok", 2, n), lambda w: F.xxhash64(w))).alias("h"))
-    short_n = nd.filter(F.size("ntok") < n + 2).select("nid", "ntext")
-
     hy = hay.select(F.col(hay_id).alias("hid"), F.col(hay_text).alias("htext"))
-    # per document: token hashes, then one hash per n-gram position (no per-row array copies)
+
+    # ---- k >= 3: middle-gram hashes
+    glen = F.least(F.size("ntok") - F.lit(2), F.lit(n))
+    mid = nd.filter(F.size("ntok") >= 3).select(
+        "nid", glen.alias("L"),
+        F.xxhash64(F.transform(F.slice("ntok", F.lit(2), glen), lambda w: F.xxhash64(w))).alias("h"))
+    lengths = sorted(r.L for r in mid.select("L").distinct().collect())  # a subset of 1..n
     th = hy.select("hid", F.transform(_tokens(F.col("htext")), lambda w: F.xxhash64(w)).alias("th"))
-    grams = th.filter(F.size("th") >= n).select("hid", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size("th") - F.lit(n - 1)),
-        lambda i: F.xxhash64(F.slice("th", i, n)))).alias("h"))
-    cand = grams.join(long_n.select("nid", "h"), "h").select("hid", "nid").distinct()
-    long_pairs = (cand.join(hy, "hid").join(long_n.select("nid", "ntext"), "nid")
-                  .filter(F.contains(F.col("htext"), F.col("ntext"))).select("hid", "nid"))
-    # the broadcast side must have a proven bound: count it (a cheap aggregate) first
-    n_short = short_n.count()
-    if n_short > max_short:
-        raise ValueError(f"{n_short} needles shorter than {n + 2} tokens exceed the broadcast bound "
-                         f"{max_short}; lower n so that more needles take the n-gram join")
-    short_pairs = (hy.join(F.broadcast(short_n), F.contains(F.col("htext"), F.col("ntext")))
-                   .select("hid", "nid"))
-    return long_pairs.unionByName(short_pairs).select(F.col("hid").alias(hay_id), F.col("nid").alias(needle_id))
+    grams = None
+    for L in lengths:
+        g = th.filter(F.size("th") >= L).select(
+            "hid", F.lit(L).alias("L"),
+            F.explode(F.transform(F.sequence(F.lit(1), F.size("th") - F.lit(L - 1)),
+                                  lambda i: F.xxhash64(F.slice("th", i, L)))).alias("h"))
+        grams = g if grams is None else grams.unionByName(g)
+    cands = []
+    if grams is not None:
+        cands.append(grams.join(mid, ["L", "h"]).select("hid", "nid"))
+
+    # ---- k <= 2: substrings of the vocabulary
+    t0, t1 = F.get(F.col("ntok"), 0), F.get(F.col("ntok"), 1)
+    anchor = F.when(F.size("ntok") == 1, t0).when(F.length(t1) > F.length(t0), t1).otherwise(t0)
+    short = nd.filter(F.size("ntok") <= 2).select("nid", anchor.alias("sub"))
+    alens = sorted(r.l for r in short.select(F.length("sub").alias("l")).distinct().collect())
+    if alens:
+        vocab = hy.select("hid", F.explode(F.array_distinct(_tokens(F.col("htext")))).alias("tok"))
+        words = vocab.select("tok").distinct()
+        subs = None
+        for ln in alens:
+            sw = words.filter(F.length("tok") >= ln).select(
+                "tok", F.explode(F.transform(F.sequence(F.lit(1), F.length("tok") - F.lit(ln - 1)),
+                                             lambda i: F.substring(F.col("tok"), i, ln))).alias("sub"))
+            subs = sw if subs is None else subs.unionByName(sw)
+        hit = subs.join(short, "sub").select("tok", "nid").distinct()
+        cands.append(vocab.join(hit, "tok").select("hid", "nid"))
+
+    if not cands:
+        return hy.select(F.col("hid").alias(hay_id), F.lit(None).cast(nd.schema["nid"].dataType).alias(needle_id)) \
+            .filter(F.lit(False))
+    cand = cands[0] if len(cands) == 1 else cands[0].unionByName(cands[1])
+    cand = cand.distinct()
+    pairs = (cand.join(hy, "hid").join(nd.select("nid", "ntext"), "nid")
+             .filter(F.contains(F.col("htext"), F.col("ntext"))).select("hid", "nid"))
+    return pairs.select(F.col("hid").alias(hay_id), F.col("nid").alias(needle_id))
 
 
 def probe(samples: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -177,3 +177,23 @@ def test_or_default_and_contains_join(spark):
                                "nid long, text string")
     pairs = {(r.id, r.nid) for r in C.contains_join(hay, nd, "id", "text", "nid", "text", n=4).collect()}
     assert pairs == {(1, 10), (2, 10), (3, 11)}
+
+
+def test_contains_join_matches_brute_force(spark):
+    rnd = random.Random(7)
+    words = ["al", "be", "ga", "de", "ep", "ze", "et", "th", "io", "ka", "la"]
+    docs = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 40)))) for i in range(40)]
+    nds = []
+    for j in range(60):  # substrings of documents of every token length, glued ends, and misses
+        src = docs[rnd.randrange(len(docs))][1]
+        if len(src) > 4 and rnd.random() < 0.8:
+            a = rnd.randrange(len(src) - 2)
+            b = min(len(src), a + rnd.randint(1, 45))
+            nds.append((100 + j, src[a:b]))
+        else:
+            nds.append((100 + j, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 12)))))
+    hay = spark.createDataFrame(docs, "id long, text string")
+    nd = spark.createDataFrame(nds, "nid long, text string")
+    got = {(r.id, r.nid) for r in C.contains_join(hay, nd, "id", "text", "nid", "text", n=4).collect()}
+    want = {(i, j) for i, t in docs for j, x in nds if x in t}
+    assert got == want and len(want) > 30
