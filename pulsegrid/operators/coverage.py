@@ -9,7 +9,6 @@ shuffle join beyond it. Only literal tables of fixed size are broadcast explicit
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -237,7 +236,3 @@ def probe(samples: DataFrame, catalog: DataFrame) -> DataFrame:
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """Small fixed table (e.g. a mapping that is part of the check's definition)."""
     return spark.createDataFrame(rows, schema)
-
-
-def _escape(s: str) -> str:
-    return re.sub(r"'", "''", s)

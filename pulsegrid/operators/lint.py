@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.names import json_valid
 from ..functions.time import floor_div
-from .coverage import FINDING_COLS, finding, per_subject
+from .coverage import finding, per_subject
 
 # Target checks as (check, language, pattern that flags, pattern that clears).
 # ``clears`` is a plain substring for the log check and a regex for the histogram check.
