@@ -66,18 +66,29 @@ def reverse_map(required: DataFrame, mapping: DataFrame, col: str = "prom_name")
     return j.withColumn("otel_name", F.coalesce(F.col("otel_name"), F.lit("unknown")))
 
 
-def label_coverage(labels: DataFrame, provided_keys: DataFrame, builtin_present: DataFrame) -> DataFrame:
+def label_coverage(labels: DataFrame, provided_keys: DataFrame, builtin_present: DataFrame,
+                   mode: str = "equal") -> DataFrame:
     """JN-5: ``labels(label, source)`` with source ``resource:k`` / ``attribute:k`` /
     ``builtin:f`` / other; ``provided_keys(scope, key)``; ``builtin_present(field)``.
 
-    One left join against the union of key tables; the status comes from a ``when`` chain."""
+    One left join against the union of key tables; the status comes from a ``when`` chain.
+    ``mode="substring"`` reproduces a substring search (a wanted key is covered when it
+    occurs inside any provided key of its scope): the label list is the checked configuration
+    and is broadcast against the distinct provided keys."""
     scope = F.split_part(F.col("source"), F.lit(":"), F.lit(1))
     key = F.regexp_extract(F.col("source"), r"^[^:]*:(.*)$", 1)
     lab = labels.select("label", "source", scope.alias("scope"), key.alias("key"))
     avail = (provided_keys.select("scope", "key")
              .unionByName(builtin_present.select(F.lit("builtin").alias("scope"), F.col("field").alias("key")))
              .distinct().withColumn("__hit", F.lit(True)))
-    j = lab.join(avail, ["scope", "key"], "left")
+    if mode == "substring":
+        hit = (avail.select("scope", F.col("key").alias("pkey"))
+               .join(F.broadcast(lab.select("label", "scope", "key")),
+                     ["scope"]).filter(F.contains(F.col("pkey"), F.col("key")))
+               .select("label").distinct().withColumn("__hit", F.lit(True)))
+        j = lab.join(hit, "label", "left")
+    else:
+        j = lab.join(avail, ["scope", "key"], "left")
     known = F.col("scope").isin("resource", "attribute", "builtin")
     status = F.when(~known, "WARN").when(F.col("__hit"), "PASS").otherwise("FAIL")
     detail = F.when(~known, F.lit("unknown source")).otherwise(F.concat_ws(".", F.col("scope"), F.col("key")))

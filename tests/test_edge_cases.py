@@ -197,3 +197,61 @@ def test_contains_join_matches_brute_force(spark):
     got = {(r.id, r.nid) for r in C.contains_join(hay, nd, "id", "text", "nid", "text", n=4).collect()}
     want = {(i, j) for i, t in docs for j, x in nds if x in t}
     assert got == want and len(want) > 30
+
+
+def test_label_coverage_equality_and_substring_modes(spark):
+    labels = spark.createDataFrame([("service_name", "resource:service.name"), ("log_type", "attribute:log_type"),
+                                    ("lvl", "builtin:severityText"), ("odd", "other:x")], "label string, source string")
+    keys = spark.createDataFrame([("resource", "service.namespace"), ("attribute", "log_type")], "scope string, key string")
+    builtin = spark.createDataFrame([("severityText",)], "field string")
+    eq = {r.subject: r.status for r in C.label_coverage(labels, keys, builtin).collect()}
+    sub = {r.subject: r.status for r in C.label_coverage(labels, keys, builtin, mode="substring").collect()}
+    assert eq == {"service_name": "FAIL", "log_type": "PASS", "lvl": "PASS", "odd": "WARN"}
+    assert sub["service_name"] == "PASS"  # 'service.name' occurs inside 'service.namespace'
+
+
+def test_prom_name_rule(spark):
+    from pulsegrid.functions.names import prom_name
+
+    rows = [("http.server.request.duration", "s", False, "http_server_request_duration_seconds"),
+            ("jvm.memory.used", "By", False, "jvm_memory_used_bytes"),
+            ("jvm.cpu.recent_utilization", "1", False, "jvm_cpu_recent_utilization_ratio"),
+            ("jvm.cpu.time", "s", True, "jvm_cpu_time_seconds_total"),
+            ("jvm.thread.count", "{thread}", False, "jvm_thread_count"),
+            ("jvm.class.loaded", "{class}", True, "jvm_class_loaded_total"),
+            ("db.client.connections.wait_time", "ms", False, "db_client_connections_wait_time_milliseconds")]
+    df = spark.createDataFrame(rows, "name string, unit string, mono boolean, want string")
+    got = df.select(prom_name("name", "unit", "mono").alias("got"), "want").collect()
+    assert all(r.got == r.want for r in got)
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_histogram_quantile_brute_force(spark, seed):
+    from pulsegrid.functions import histograms as H
+
+    rnd = random.Random(seed)
+    bounds = [0.5, 1.0, 2.5, 5.0]
+    rows = []
+    for g in range(6):
+        counts = [rnd.choice([0, 0, 1, 3, 7]) for _ in range(len(bounds) + 1)]
+        rows.append(("m", g, 1, counts, bounds))
+    hist = spark.createDataFrame(rows, "metric string, g long, ts_ns long, counts array<bigint>, bounds array<double>")
+    got = {(r.g, r.q): r.value for r in H.histogram_quantile(hist, [0.25, 0.5, 0.9, 1.0], by=["g"]).collect()}
+    for _, g, _, counts, bnds in rows:
+        cum = [sum(counts[:i + 1]) for i in range(len(counts))]
+        les = bnds + [float("inf")]
+        for q in [0.25, 0.5, 0.9, 1.0]:
+            tot = cum[-1]
+            if tot == 0:
+                want = None
+            else:
+                i = next(k for k, c in enumerate(cum) if c >= q * tot)
+                if les[i] == float("inf"):
+                    want = les[-2]
+                else:
+                    lo, lc = (0.0, 0) if i == 0 else (les[i - 1], cum[i - 1])
+                    want = les[i] if cum[i] == lc else lo + (les[i] - lo) * (q * tot - lc) / (cum[i] - lc)
+            if want is None:
+                assert got[(g, q)] is None
+            else:
+                assert got[(g, q)] == pytest.approx(want)
