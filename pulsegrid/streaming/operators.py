@@ -46,15 +46,22 @@ def dedup_points(samples: DataFrame, delay: str | None = None) -> DataFrame:
 # ---------------------------------------------------------------- counter increments (state per series)
 
 INC_SCHEMA = "series_id string, ts timestamp, ts_ns long, value double, prev_ts_ns long, inc double"
-_LAST = T.StructType([T.StructField("ts_ns", T.LongType()), T.StructField("value", T.DoubleType())])
+_LAST = T.StructType([T.StructField("ts_ns", T.LongType()), T.StructField("value", T.DoubleType()),
+                      T.StructField("timer_ms", T.LongType())])
 
 
 class CounterIncrements(StatefulProcessor):
     """Keeps the last (ts_ns, value) of a series; emits each new point's increment
     (``v - prev`` or ``v`` after a reset). Points at or before the stored one are late and
-    dropped; equal timestamps in one batch keep the larger value."""
+    dropped; equal timestamps in one batch keep the larger value. The state of a series that
+    stops reporting is evicted by an event-time timer once the watermark passes its last
+    sample + ``ttl_ms`` (series churn does not grow the store forever)."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", _LAST)
 
     def handleInputRows(self, key, rows, timerValues):
@@ -75,19 +82,44 @@ class CounterIncrements(StatefulProcessor):
                             "value": pdf["value"].values, "prev_ts_ns": prev_t.astype("Int64").values,
                             "inc": inc.values})
         last = pdf.iloc[-1]
-        self.last.update((int(last["ts_ns"]), float(last["value"])))
+        timer = _arm(self.handle, prev[2] if prev is not None else None, int(last["ts_ns"]), self.ttl_ms)
+        self.last.update((int(last["ts_ns"]), float(last["value"]), timer))
         yield out
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.last.exists():
+            ts, v, _ = self.last.get()
+            due = ts // 1_000_000 + self.ttl_ms
+            if due > expiredTimerInfo.getExpiryTimeInMs():  # newer samples arrived: re-arm
+                self.handle.registerTimer(due)
+                self.last.update((ts, v, due))
+            else:
+                self.last.clear()
+        return iter([])
+
     def close(self) -> None:
         pass
 
 
-def stream_increments(samples: DataFrame, delay: str) -> DataFrame:
-    """Per-point counter increments of a sample stream (state: one row per series)."""
+def _arm(handle: StatefulProcessorHandle, timer_ms, last_ts_ns: int, ttl_ms: int | None):
+    """At most one pending eviction timer per key. It is registered once; when it fires and the
+    key has seen newer samples it is moved to last sample + ttl, else the state is dropped —
+    one timer call per key per ttl period instead of one per batch."""
+    if not ttl_ms:
+        return None
+    if timer_ms is None:
+        timer_ms = last_ts_ns // 1_000_000 + ttl_ms
+        handle.registerTimer(timer_ms)
+    return timer_ms
+
+
+def stream_increments(samples: DataFrame, delay: str, state_ttl: str | None = "7d") -> DataFrame:
+    """Per-point counter increments of a sample stream (state: one row per live series)."""
     ship_package(samples.sparkSession)
     x = samples.select("series_id", "ts", "ts_ns", "value").withWatermark("ts", delay)
+    ttl = duration_ns(state_ttl) // 1_000_000 if state_ttl else None
     return x.groupBy("series_id").transformWithStateInPandas(
-        statefulProcessor=CounterIncrements(), outputStructType=INC_SCHEMA, outputMode="Append",
+        statefulProcessor=CounterIncrements(ttl), outputStructType=INC_SCHEMA, outputMode="Append",
         timeMode="EventTime", eventTimeColumnName="ts")
 
 
@@ -111,7 +143,7 @@ def stream_rate(samples: DataFrame, range_: str, step: str, delay: str) -> DataF
 
 ALERT_OUT = "alert string, series_id string, ts timestamp, ts_ns long, value double, state string, active_since_ns long"
 _ALERT_STATE = T.StructType([T.StructField("t0", T.LongType()), T.StructField("last_ts", T.LongType()),
-                             T.StructField("cond", T.BooleanType())])
+                             T.StructField("cond", T.BooleanType()), T.StructField("timer_ms", T.LongType())])
 
 
 class AlertStates(StatefulProcessor):
@@ -120,10 +152,11 @@ class AlertStates(StatefulProcessor):
     Rules are configuration: ``{alert: (op, threshold, for_ns)}``. A gap larger than
     ``max_gap_ns`` between samples ends the island (the batch 'missing step')."""
 
-    def __init__(self, rules: dict, max_gap_ns: int):
-        self.rules, self.max_gap = rules, max_gap_ns
+    def __init__(self, rules: dict, max_gap_ns: int, ttl_ms: int | None = None):
+        self.rules, self.max_gap, self.ttl_ms = rules, max_gap_ns, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.st = handle.getValueState("st", _ALERT_STATE)
 
     def handleInputRows(self, key, rows, timerValues):
@@ -132,7 +165,7 @@ class AlertStates(StatefulProcessor):
         pdf = pd.concat(list(rows), ignore_index=True)
         pdf = pdf.sort_values(["ts_ns", "value"]).drop_duplicates("ts_ns", keep="last")
         st = self.st.get() if self.st.exists() else None
-        t0, last_ts, last_cond = (st if st is not None else (None, None, False))
+        t0, last_ts, last_cond, timer = (st if st is not None else (None, None, False, None))
         out = []
         for ts_ns, ts, v in zip(pdf["ts_ns"], pdf["ts"], pdf["value"]):
             ts_ns = int(ts_ns)
@@ -148,11 +181,23 @@ class AlertStates(StatefulProcessor):
             out.append((alert, sid, ts, ts_ns, float(v), state, t0))
             last_ts, last_cond = ts_ns, cond
         if last_ts is not None:
-            self.st.update((t0, last_ts, bool(last_cond)))
+            timer = _arm(self.handle, timer, last_ts, self.ttl_ms)
+            self.st.update((t0, last_ts, bool(last_cond), timer))
         if out:
             yield pd.DataFrame(out, columns=["alert", "series_id", "ts", "ts_ns", "value", "state",
                                              "active_since_ns"]).astype({"active_since_ns": "Int64"})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.st.exists():
+            t0, last_ts, cond, _ = self.st.get()
+            due = last_ts // 1_000_000 + self.ttl_ms
+            if due > expiredTimerInfo.getExpiryTimeInMs():
+                self.handle.registerTimer(due)
+                self.st.update((t0, last_ts, cond, due))
+            else:
+                self.st.clear()
+        return iter([])
+
     def close(self) -> None:
         pass
 
@@ -161,8 +206,10 @@ def _compare(op: str, v: float, x: float) -> bool:
     return {">": v > x, ">=": v >= x, "<": v < x, "<=": v <= x, "==": v == x, "!=": v != x}[op]
 
 
-def stream_alerts(samples: DataFrame, rules: list, max_gap: str, delay: str) -> DataFrame:
-    """STR-3: rules = [AlertRule]; the rule list is configuration, joined by metric."""
+def stream_alerts(samples: DataFrame, rules: list, max_gap: str, delay: str,
+                  state_ttl: str | None = "7d") -> DataFrame:
+    """STR-3: rules = [AlertRule]; the rule list is configuration, joined by metric. State per
+    (rule, series) expires after ``state_ttl`` without samples."""
     spark = samples.sparkSession
     ship_package(spark)
     rows = [(r.alert, r.metric) for r in rules]
@@ -171,8 +218,10 @@ def stream_alerts(samples: DataFrame, rules: list, max_gap: str, delay: str) ->
     x = samples.join(F.broadcast(rt), "metric").select("alert", "series_id", "ts", "ts_ns", "value")
     x = x.withWatermark("ts", delay)
     return x.groupBy("alert", "series_id").transformWithStateInPandas(
-        statefulProcessor=AlertStates(conf, duration_ns(max_gap)), outputStructType=ALERT_OUT,
-        outputMode="Append", timeMode="None")
+        statefulProcessor=AlertStates(conf, duration_ns(max_gap),
+                                      duration_ns(state_ttl) // 1_000_000 if state_ttl else None),
+        outputStructType=ALERT_OUT,
+        outputMode="Append", timeMode="EventTime")
 
 
 # ---------------------------------------------------------------- topic routing (STR-4)
