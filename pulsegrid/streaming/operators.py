@@ -135,8 +135,21 @@ def windowed_rate(incs: DataFrame, range_: str, step: str) -> DataFrame:
             .select(*_window_cols("w"), "series_id", (F.col("increase") / span).alias("value")))
 
 
-def stream_rate(samples: DataFrame, range_: str, step: str, delay: str) -> DataFrame:
-    return windowed_rate(stream_increments(samples, delay), range_, step)
+def stream_rate(samples: DataFrame, range_: str, step: str, delay: str, state_ttl: str = "7d") -> DataFrame:
+    """Eviction never changes a result: the TTL is raised to at least the range, and an increment
+    only counts when its predecessor lies inside the window."""
+    ttl_ns = max(duration_ns(state_ttl), _interval_ns(range_))
+    return windowed_rate(stream_increments(samples, delay, f"{ttl_ns}ns"), range_, step)
+
+
+def _interval_ns(text: str) -> int:
+    """'1 day' / '6 hours' / '5m' -> ns."""
+    units = {"day": "d", "days": "d", "hour": "h", "hours": "h", "minute": "m", "minutes": "m",
+             "second": "s", "seconds": "s"}
+    parts = text.split()
+    if len(parts) == 2:
+        return duration_ns(parts[0] + units.get(parts[1], parts[1]))
+    return duration_ns(text)
 
 
 # ---------------------------------------------------------------- alerts (state per rule x series)
@@ -212,6 +225,8 @@ def stream_alerts(samples: DataFrame, rules: list, max_gap: str, delay: str,
     (rule, series) expires after ``state_ttl`` without samples."""
     spark = samples.sparkSession
     ship_package(spark)
+    if state_ttl and duration_ns(state_ttl) < duration_ns(max_gap):
+        state_ttl = max_gap  # an evicted key must be one whose next sample starts a new island anyway
     rows = [(r.alert, r.metric) for r in rules]
     rt = spark.createDataFrame(rows, "alert string, metric string")
     conf = {r.alert: (r.op, float(r.threshold), duration_ns(r.for_)) for r in rules}
