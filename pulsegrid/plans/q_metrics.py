@@ -142,8 +142,12 @@ def flagship(spark, d) -> DataFrame:
 
 # ---------------------------------------------------------------- WN-3 and instant aggregations
 
-def instant_vec(spark, d) -> DataFrame:
-    return pq.instant(samples(spark, d), P.GRID, P.LOOKBACK)
+def instant_vec(spark, d, metric: str | None = None) -> DataFrame:
+    """Instant vector; selecting the metric first lets the scan filter on it (pushed down)."""
+    s = samples(spark, d)
+    if metric is not None:
+        s = pq.select_series(s, metric)
+    return pq.instant(s, P.GRID, P.LOOKBACK)
 
 
 @query("instant_vector", f"""WITH {INSTANT_SQL}
@@ -156,14 +160,14 @@ def q_instant_vector(spark, d):
 @query("sum_all", f"""WITH {INSTANT_SQL}
 SELECT {_t()} AS t, round(sum(value), 6) AS value FROM i WHERE metric = 'view' GROUP BY t_ns""")
 def q_sum_all(spark, d):
-    v = pq.select_series(instant_vec(spark, d), "view")
+    v = instant_vec(spark, d, "view")
     return pq.agg_by(v, "sum", []).select("t", F.round("value", 6).alias("value"))
 
 
 @query("sum_by_pod", f"""WITH {INSTANT_SQL}
 SELECT {_t()} AS t, pod, round(sum(value), 6) AS value FROM i WHERE metric = 'view' GROUP BY t_ns, pod""")
 def q_sum_by_pod(spark, d):
-    v = pq.select_series(instant_vec(spark, d), "view")
+    v = instant_vec(spark, d, "view")
     return pq.agg_by(v, "sum", ["pod"]).select("t", "pod", F.round("value", 6).alias("value"))
 
 
@@ -171,7 +175,7 @@ def q_sum_by_pod(spark, d):
 SELECT {_t()} AS t, CAST(count(*) AS DOUBLE) AS n_series, CAST(count(DISTINCT pod) AS DOUBLE) AS n_pods
 FROM i WHERE metric = 'click' GROUP BY t_ns""")
 def q_count_series(spark, d):
-    v = pq.select_series(instant_vec(spark, d), "click")
+    v = instant_vec(spark, d, "click")
     n = pq.agg_by(v, "count", []).withColumnRenamed("value", "n_series")
     p = pq.count_distinct_label(v, "pod").withColumnRenamed("value", "n_pods")
     return n.join(p, ["j", "t"]).select("t", "n_series", "n_pods")
@@ -190,7 +194,7 @@ SELECT t, "user", pod, value, rank FROM (
          row_number() OVER (PARTITION BY j ORDER BY value DESC, {SID}) AS rank
   FROM i WHERE metric = 'view') WHERE rank <= {P.TOPK}""")
 def q_topk_per_step(spark, d):
-    v = pq.topk(pq.select_series(instant_vec(spark, d), "view"), P.TOPK)
+    v = pq.topk(instant_vec(spark, d, "view"), P.TOPK)
     return v.select("t", label("labels", "user").alias("user"), label("labels", "pod").alias("pod"),
                     "value", F.col("rank").cast("bigint").alias("rank"))
 
@@ -201,7 +205,7 @@ SELECT pod, round(arg_max(value, t_ns), 6) AS last, round(avg(value), 6) AS mean
        round(max(value), 6) AS max, {_t('max(t_ns)')} AS last_t
 FROM a GROUP BY pod""")
 def q_panel_reduce_by_pod(spark, d):
-    v = pq.agg_by(pq.select_series(instant_vec(spark, d), "view"), "sum", ["pod"])
+    v = pq.agg_by(instant_vec(spark, d, "view"), "sum", ["pod"])
     red = reduce_series(v, ["pod"], ["lastNotNull", "mean", "max"], time_col="t")
     return red.select("pod", F.round("last", 6).alias("last"), F.round("mean", 6).alias("mean"),
                       F.round("max", 6).alias("max"), "last_t")

@@ -35,8 +35,11 @@ def jmx_samples(spark: SparkSession, d: str) -> DataFrame:
     return s.withColumn("series_id", series_key("metric", "labels"))
 
 
-def jmx_instant(spark: SparkSession, d: str) -> DataFrame:
-    return pq.instant(jmx_samples(spark, d), P.GRID, P.LOOKBACK)
+def jmx_instant(spark: SparkSession, d: str, metric: str | None = None, matchers=()) -> DataFrame:
+    s = jmx_samples(spark, d)
+    if metric is not None:
+        s = pq.select_series(s, metric, matchers)
+    return pq.instant(s, P.GRID, P.LOOKBACK)
 
 
 def alert_input(spark: SparkSession, d: str, rules) -> DataFrame:
@@ -77,7 +80,7 @@ a AS (SELECT l_topic AS topic, t_ns, sum(value) AS value FROM ji WHERE metric =
 SELECT topic AS legend, round(arg_max(value, t_ns), 6) AS last, round(avg(value), 6) AS mean,
        round(max(value), 6) AS max FROM a GROUP BY topic""")
 def q_kafka_messages_in_by_topic(spark, d):
-    v = pq.select_series(jmx_instant(spark, d), MSG_IN, [("namespace", "=", "kafka")])
+    v = jmx_instant(spark, d, MSG_IN, [("namespace", "=", "kafka")])
     s = pq.agg_by(v, "sum", ["topic"]).withColumn("labels", F.create_map(F.lit("topic"), F.col("topic")))
     red = reduce_series(s.withColumn("legend", legend("{{ topic }}")), ["legend"], ["lastNotNull", "mean", "max"])
     return red.select("legend", F.round("last", 6).alias("last"), F.round("mean", 6).alias("mean"),
@@ -98,7 +101,7 @@ r AS (SELECT arg_max(value, t_ns) AS last, max(t_ns) AS t_ns FROM a)
 SELECT round(last, 6) AS last, {_steps_sql('last', UNDER_REP_STEPS)} AS color,
        CAST(t_ns // 1000000000 AS BIGINT) AS last_t FROM r WHERE t_ns IS NOT NULL""")
 def q_kafka_under_replicated_stat(spark, d):
-    v = pq.select_series(jmx_instant(spark, d), UNDER_REP, [("namespace", "=", "kafka")])
+    v = jmx_instant(spark, d, UNDER_REP, [("namespace", "=", "kafka")])
     s = pq.agg_by(v, "sum", []).withColumn("k", F.lit(1))
     red = reduce_series(s, ["k"], ["lastNotNull"])
     return red.select(F.round("last", 6).alias("last"), PN.threshold_color("last", UNDER_REP_STEPS).alias("color"),
@@ -112,7 +115,7 @@ SELECT CAST(t_ns // 1000000000 AS BIGINT) AS t, CAST(n_series AS DOUBLE) AS n_se
        CASE n_pods WHEN 0 THEN 'No Active Controller' WHEN 1 THEN 'Active' ELSE CAST(n_pods AS VARCHAR) END AS pods_text,
        {_steps_sql('n_pods', BROKER_STEPS)} AS color FROM a""")
 def q_kafka_online_brokers(spark, d):
-    v = pq.select_series(jmx_instant(spark, d), OFFLINE, [("namespace", "=", "kafka")])
+    v = jmx_instant(spark, d, OFFLINE, [("namespace", "=", "kafka")])
     n = pq.agg_by(v, "count", []).withColumnRenamed("value", "n_series")
     p = pq.count_distinct_label(v, "pod").withColumnRenamed("value", "n_pods")
     j = n.join(p, ["j", "t"])
