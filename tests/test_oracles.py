@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from pulsegrid.plans import registry
 from tests.conftest import SF_SMALL
 from tests.helpers import duck, rows
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

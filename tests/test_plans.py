@@ -2,13 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as E
+from pulsegrid.plans import registry
 from pulsegrid.operators import promql as pq
 from pulsegrid.plans.adapters import a_samples
 from pulsegrid.sources import store
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
+QUERIES = registry.queries()
 
 
 def _plan(df):
