@@ -40,12 +40,12 @@ _BLANK = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
 
 @query("op1_line_dedup", f"""
 WITH parts AS (SELECT doc_id, source, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-lines AS (SELECT doc_id, source, unnest(list_distinct(list_filter(list_transform(ls, x -> trim(x, {_BLANK})), x -> x <> ''))) AS line FROM parts),
+lines AS (SELECT doc_id, source, unnest(list_distinct(list_filter(list_transform(ls, lambda x: trim(x, {_BLANK})), lambda x: x <> ''))) AS line FROM parts),
 counts AS (SELECT source, line, count(*) AS n FROM lines GROUP BY ALL),
 totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY ALL),
 drops AS (SELECT c.source, list(line) AS gone FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
           WHERE n >= {lines.MIN_PAGES} AND n > pages * {lines.RATIO}::DOUBLE GROUP BY ALL),
-kept AS (SELECT p.*, CASE WHEN d.gone IS NULL THEN ls ELSE list_filter(ls, x -> NOT list_contains(gone, trim(x, {_BLANK}))) END AS k
+kept AS (SELECT p.*, CASE WHEN d.gone IS NULL THEN ls ELSE list_filter(ls, lambda x: NOT list_contains(gone, trim(x, {_BLANK}))) END AS k
          FROM parts p LEFT JOIN drops d ON p.source IS NOT DISTINCT FROM d.source)
 SELECT doc_id, source, CASE WHEN len(k) = len(ls) THEN text ELSE array_to_string(k, chr(10)) END AS text,
        CASE WHEN text IS NULL THEN 0 ELSE len(ls) END::BIGINT AS n_lines, (len(ls) - len(k))::BIGINT AS n_dropped FROM kept
