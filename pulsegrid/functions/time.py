@@ -21,29 +21,29 @@ UNIT_NS = {
     "w": 7 * 86400 * 1_000_000_000,
 }
 
-_DUR = re.compile(r"^(\d+)(ns|us|ms|s|m|h|d|w)$")
+# One grammar for literals and columns: one or more whole numbers with a unit, nothing between.
+_PART = r"(\d+)(ns|us|ms|s|m|h|d|w)"
+_DURATION = rf"^(?:{_PART.replace('(', '(?:', 1).replace('(ns', '(?:ns')})+$"
 
 
 def duration_ns(text: str | int) -> int:
-    """Parse a duration literal such as ``5m`` or ``100ms`` (driver-side parameter)."""
+    """A duration literal such as ``5m`` or ``1h30m`` in nanoseconds; anything else is an error."""
     if isinstance(text, int):
         return text
-    total, rest = 0, text.strip()
-    # compound literals like 1h30m are a sequence of simple ones
-    for num, unit in re.findall(r"(\d+)(ns|us|ms|s|m|h|d|w)", rest):
-        total += int(num) * UNIT_NS[unit]
-    if total == 0 and not _DUR.match(rest or "0s"):
+    text = text.strip()
+    if not re.match(_DURATION, text):
         raise ValueError(f"not a duration: {text!r}")
-    return total
+    return sum(int(n) * UNIT_NS[u] for n, u in re.findall(_PART, text))
 
 
 def duration_ns_col(c: Column | str) -> Column:
-    """SC-9 as an expression: ``'5m'`` -> 300000000000; anything else -> NULL."""
-    c = F.col(c) if isinstance(c, str) else c
-    num = F.regexp_extract(c, r"^(\d+)(ns|us|ms|s|m|h|d|w)$", 1)
-    unit = F.regexp_extract(c, r"^(\d+)(ns|us|ms|s|m|h|d|w)$", 2)
-    factor = F.create_map(*[x for k, v in UNIT_NS.items() for x in (F.lit(k), F.lit(v))])[unit]
-    return F.when(num != "", num.cast("bigint") * factor)
+    """SC-9 as an expression, the same grammar; anything else -> NULL."""
+    c = F.trim(F.col(c) if isinstance(c, str) else c)
+    factor = F.create_map(*[x for k, v in UNIT_NS.items() for x in (F.lit(k), F.lit(v))])
+    parts = F.regexp_extract_all(c, F.lit(_PART), F.lit(0))
+    total = F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, x: a + F.regexp_extract(x, _PART, 1).cast("bigint")
+                        * factor[F.regexp_extract(x, _PART, 2)])
+    return F.when(c.rlike(_DURATION), total)
 
 
 def epoch_ns(ts: Column | str) -> Column:
@@ -52,12 +52,6 @@ def epoch_ns(ts: Column | str) -> Column:
     return F.unix_micros(ts.cast("timestamp")) * F.lit(1000)
 
 
-def ns_to_ts(ns: Column | str) -> Column:
-    """SC-8: epoch-ns (BIGINT or numeric string) -> TIMESTAMP (microsecond precision)."""
-    ns = F.col(ns) if isinstance(ns, str) else ns
-    return F.timestamp_micros(F.floor(ns.try_cast("bigint") / F.lit(1000)).cast("bigint"))
-
-
 def to_epoch_ns(value: str | int | _dt.datetime) -> int:
     if isinstance(value, int):
         return value

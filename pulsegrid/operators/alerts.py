@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.labels import matchers
 from ..functions.templates import annotation
 from ..functions.time import Grid, duration_ns
 
@@ -27,6 +28,8 @@ class AlertRule:
     for_: str
     severity: str = "warning"
     summary: str = ""
+    matchers: tuple[tuple[str, str, str], ...] = ()  # (label, =|!=|=~|!~, value)
+    description: str = ""
 
 
 def _cond(op: Column, v: Column, x: Column) -> Column:
@@ -45,6 +48,7 @@ def alert_states(v: DataFrame, rules: list[AlertRule], grid: Grid) -> DataFrame:
                              F.lit(r.summary).alias("summary")) for r in rules])
     x = v.filter(F.col("metric").isin(*{r.metric for r in rules}))
     x = x.withColumn("r", F.explode(F.filter(arr, lambda r: r["metric"] == F.col("metric"))))
+    x = x.filter(selected(rules, F.col("r.alert"), F.col("labels")))
     x = x.select("*", *[F.col(f"r.{c}").alias(c) for c in ("alert", "op", "threshold", "for_ns", "severity",
                                                           "summary")]).drop("r")
     x = x.withColumn("cond", F.coalesce(_cond(F.col("op"), F.col("value"), F.col("threshold")), F.lit(False)))
@@ -63,13 +67,25 @@ def alert_states(v: DataFrame, rules: list[AlertRule], grid: Grid) -> DataFrame:
                     .alias("active_since"))
 
 
+def selected(rules: list[AlertRule], alert: Column, labels: Column) -> Column:
+    """Whether a series' labels meet the matchers of the rule named ``alert``."""
+    cond = F.lit(True)
+    for r in rules:
+        if r.matchers:
+            cond = F.when(alert == r.alert, matchers(labels, r.matchers)).otherwise(cond)
+    return cond
+
+
 def rule_metrics(rules: list[AlertRule]) -> list[str]:
     return sorted({r.metric for r in rules})
 
 
 def alerts_with_summary(states: DataFrame, rules: list[AlertRule]) -> DataFrame:
-    """Attach the rendered summary of each rule (``{{ $labels.x }}``, ``{{ $value }}``)."""
-    text = F.lit(None).cast("string")
-    for r in rules:
-        text = F.when(F.col("alert") == r.alert, annotation(r.summary)).otherwise(text)
-    return states.withColumn("summary_text", text)
+    """Attach the rendered annotations of each rule (``{{ $labels.x }}``, ``{{ $value }}``)."""
+    texts = {"summary_text": "summary", "description_text": "description"}
+    for col, field in texts.items():
+        text = F.lit(None).cast("string")
+        for r in rules:
+            text = F.when(F.col("alert") == r.alert, annotation(getattr(r, field))).otherwise(text)
+        states = states.withColumn(col, text)
+    return states

@@ -133,7 +133,10 @@ BEAN_SQL = """CASE event_type
   WHEN 'signup' THEN 'kafka.network<type=RequestMetrics, name=TotalTimeMs, request='
        || CASE WHEN user_id % 2 = 0 THEN 'Produce' ELSE 'Fetch' END || '>Value: ' || CAST(value AS STRING)
   ELSE CASE user_id % 3
-       WHEN 0 THEN 'java.lang<type=Memory, name=Heap><HeapMemoryUsage>: ' || CAST(CAST(floor(value) AS BIGINT) AS STRING)
+       WHEN 0 THEN 'java.lang<type=Memory, name=Heap><HeapMemoryUsage>: ' || CASE event_id % 3
+            WHEN 0 THEN CAST(CAST(floor(value) AS BIGINT) AS STRING)
+            WHEN 1 THEN CAST(value AS STRING)
+            ELSE CAST(CAST(floor(value) AS BIGINT) AS STRING) || '.25E3' END
        WHEN 1 THEN 'kafka.log<type=Log, name=Size, topic=orders-' || CAST(user_id % 5 AS STRING)
             || ', partition=>Value: ' || CAST(value AS STRING)
        ELSE 'kafka.server<type=SessionExpireListener, name=ZooKeeperSyncConnectsPerSec, clientId=c1, brokerHost=b'

@@ -42,10 +42,30 @@ def jmx_instant(spark: SparkSession, d: str, metric: str | None = None, matchers
     return pq.instant(s, P.GRID, P.LOOKBACK)
 
 
+def state_samples(spark: SparkSession, d: str) -> DataFrame:
+    """What the cluster's state exporters report, rendered from events: readiness of broker pods
+    (one series for each condition, complementary; broker-0 is always ready) and consumer lag."""
+    ev = read_table(spark, d, "events").filter("event_type IN ('click', 'view') AND value IS NOT NULL")
+    pod = F.concat(F.lit("broker-"), (F.col("user_id") % 3).cast("string"))
+    ready = F.when((F.col("user_id") % 3 == 0) | (F.col("value") < 300), 1.0).otherwise(0.0)
+    ns = F.lit("kafka").alias("namespace")
+
+    def one(metric, labels, value):
+        pairs = F.create_map(*[x for k, c in labels.items() for x in (F.lit(k), c)])
+        return F.struct(F.lit(metric).alias("metric"), pairs.alias("labels"), value.alias("value"))
+    rows = F.when(F.col("event_type") == "click", F.array(
+        one(READY, {"namespace": ns, "pod": pod, "condition": F.lit("true")}, ready),
+        one(READY, {"namespace": ns, "pod": pod, "condition": F.lit("false")}, 1.0 - ready))).otherwise(F.array(
+            one(LAG, {"namespace": ns, "pod": pod, "consumergroup": F.concat(F.lit("g"), (F.col("user_id") % 4).cast("string"))},
+                F.col("value") * 50)))
+    x = ev.select(epoch_ns("ts").alias("ts_ns"), F.inline(rows))
+    return x.withColumn("series_id", series_key("metric", "labels")).select("metric", "labels", "ts_ns", "value", "series_id")
+
+
 def alert_input(spark: SparkSession, d: str, rules) -> DataFrame:
     """Instant vector of only the series the rules look at (selection before evaluation)."""
-    s = jmx_samples(spark, d).filter(F.col("metric").isin(*AL.rule_metrics(rules)))
-    return pq.instant(s, P.GRID, P.LOOKBACK)
+    s = jmx_samples(spark, d).unionByName(state_samples(spark, d))
+    return pq.instant(s.filter(F.col("metric").isin(*AL.rule_metrics(rules))), P.GRID, P.LOOKBACK)
 
 
 # ---------------------------------------------------------------- oracle SQL pieces
@@ -62,6 +82,27 @@ ji AS (SELECT * FROM (
          FROM js JOIN g ON js.ts_ns >= g.t_ns - {P.LOOKBACK_NS} AND js.ts_ns < g.t_ns) WHERE rn = 1)"""
 
 
+_AK = _LK + ", condition, consumergroup"
+ALERT_JS_SQL = _jmx_sql(extra=True) + f""",
+js0 AS (SELECT metric, l_clientid, l_topic, l_partition, l_broker, l_request, l_name,
+              'broker-' || CAST(user_id % 3 AS VARCHAR) AS pod, ts_ns, value, NULL AS condition, NULL AS consumergroup
+       FROM jx WHERE rule IS NOT NULL AND value IS NOT NULL),
+st AS (SELECT *, CASE WHEN user_id % 3 = 0 OR value < 300 THEN 1.0 ELSE 0.0 END AS ready FROM events
+       WHERE event_type IN ('click', 'view') AND value IS NOT NULL),
+js AS (SELECT * FROM js0
+       UNION ALL SELECT 'kube_pod_status_ready', NULL, NULL, NULL, NULL, NULL, NULL, 'broker-' || CAST(user_id % 3 AS VARCHAR),
+              epoch_us(ts) * 1000, CASE c WHEN 'true' THEN ready ELSE 1.0 - ready END, c, NULL
+       FROM st, (VALUES ('true'), ('false')) v(c) WHERE event_type = 'click'
+       UNION ALL SELECT 'kafka_consumergroup_group_lag', NULL, NULL, NULL, NULL, NULL, NULL, 'broker-' || CAST(user_id % 3 AS VARCHAR),
+              epoch_us(ts) * 1000, value * 50, NULL, 'g' || CAST(user_id % 4 AS VARCHAR) FROM st WHERE event_type = 'view'),
+g AS (SELECT range AS j, {P.START_NS} + range * {P.STEP_NS} AS t_ns FROM range(0, {P.N_POINTS})),
+ji AS (SELECT * FROM (
+         SELECT js.*, g.j, g.t_ns,
+                row_number() OVER (PARTITION BY {_AK}, g.j ORDER BY ts_ns DESC, value DESC) AS rn
+         FROM js JOIN g ON js.ts_ns >= g.t_ns - {P.LOOKBACK_NS} AND js.ts_ns < g.t_ns)
+       WHERE rn = 1 AND condition IS DISTINCT FROM 'false')"""
+
+
 # ---------------------------------------------------------------- panels
 
 MSG_IN = "kafka_server_brokertopicmetrics_messagesinpersec"
@@ -143,16 +184,21 @@ def q_kafka_request_rate(spark, d):
 
 # ---------------------------------------------------------------- alerts
 
-# Broker alert rules (metric, comparison, threshold, hold time, severity).
+READY, LAG = "kube_pod_status_ready", "kafka_consumergroup_group_lag"
+
+# Broker alert rules (metric, comparison, threshold, hold time, severity, texts, selector).
 KAFKA_ALERTS = [
-    AL.AlertRule("KafkaBrokerNotReady", "kube_pod_status_ready", "==", 0, "5m", "critical",
-                 "broker {{ $labels.pod }} not ready"),
+    AL.AlertRule("KafkaBrokerNotReady", READY, "==", 0, "5m", "critical", "broker {{ $labels.pod }} not ready",
+                 (("namespace", "=", "kafka"), ("pod", "=~", "broker-.*"), ("condition", "=", "true")),
+                 "{{ $labels.pod }} in {{ $labels.namespace }} reports ready = {{ $value }}"),
     AL.AlertRule("KafkaUnderReplicatedPartitions", UNDER_REP, ">", 0, "5m", "warning",
-                 "{{ $labels.pod }}: {{ $value }} under-replicated partitions"),
+                 "{{ $labels.pod }}: {{ $value }} under-replicated partitions", (),
+                 "replicas of {{ $labels.pod }} lag"),
     AL.AlertRule("KafkaOfflinePartitions", OFFLINE, ">", 0, "1m", "critical",
-                 "{{ $value }} offline partitions"),
-    AL.AlertRule("KafkaConsumerLagHigh", "kafka_consumergroup_group_lag", ">", 10000, "10m", "warning",
-                 "consumer group {{ $labels.consumergroup }} lag {{ $value }}"),
+                 "{{ $value }} offline partitions", (), "no leader for {{ $value }} partitions"),
+    AL.AlertRule("KafkaConsumerLagHigh", LAG, ">", 10000, "10m", "warning",
+                 "consumer group {{ $labels.consumergroup }} lag {{ $value }}", (("consumergroup", "!=", ""),),
+                 "{{ $labels.consumergroup }} is behind by {{ $value }}"),
 ]
 # a rule over the event samples whose hold time spans several grid steps
 EVENT_ALERTS = [AL.AlertRule("ViewHigh", "view", ">", 200, "3h", "warning", "user {{ $labels.user }} at {{ $value }}")]
@@ -180,7 +226,7 @@ az AS (SELECT *, last_value(CASE WHEN start THEN j END IGNORE NULLS)
 _STATE = f"""CASE WHEN NOT cond THEN 'inactive' WHEN (j - t0_j) * {P.STEP_NS} < for_ns THEN 'pending' ELSE 'firing' END"""
 
 
-@query("kafka_alerts", f"""WITH {JS_SQL}, {_alert_sql(KAFKA_ALERTS)}, {_alert_states_sql(_LK)}
+@query("kafka_alerts", f"""WITH {ALERT_JS_SQL}, {_alert_sql(KAFKA_ALERTS)}, {_alert_states_sql(_AK)}
 SELECT alert, pod, CAST(t_ns // 1000000000 AS BIGINT) AS t, value, {_STATE} AS state,
        CASE WHEN cond THEN CAST(t_ns // 1000000000 AS BIGINT) - (j - t0_j) * {P.STEP_NS // NS} END AS active_since
 FROM az""", headline=True)
@@ -189,16 +235,22 @@ def q_kafka_alerts(spark, d):
     return st.select("alert", label("labels", "pod").alias("pod"), "t", "value", "state", "active_since")
 
 
-@query("kafka_alert_summaries", f"""WITH {JS_SQL}, {_alert_sql(KAFKA_ALERTS)}, {_alert_states_sql(_LK)}
+@query("kafka_alert_summaries", f"""WITH {ALERT_JS_SQL}, {_alert_sql(KAFKA_ALERTS)}, {_alert_states_sql(_AK)},
+f AS (SELECT *, CAST(value AS VARCHAR) AS v FROM az WHERE {_STATE} = 'firing')
 SELECT alert, pod, CAST(t_ns // 1000000000 AS BIGINT) AS t,
-       CASE alert WHEN 'KafkaUnderReplicatedPartitions' THEN pod || ': ' || CAST(value AS VARCHAR)
-                                                             || ' under-replicated partitions'
-                  WHEN 'KafkaOfflinePartitions' THEN CAST(value AS VARCHAR) || ' offline partitions' END AS summary
-FROM az WHERE {_STATE} = 'firing'""")
+       CASE alert WHEN 'KafkaBrokerNotReady' THEN 'broker ' || pod || ' not ready'
+                  WHEN 'KafkaUnderReplicatedPartitions' THEN pod || ': ' || v || ' under-replicated partitions'
+                  WHEN 'KafkaOfflinePartitions' THEN v || ' offline partitions'
+                  ELSE 'consumer group ' || consumergroup || ' lag ' || v END AS summary,
+       CASE alert WHEN 'KafkaBrokerNotReady' THEN pod || ' in kafka reports ready = ' || v
+                  WHEN 'KafkaUnderReplicatedPartitions' THEN 'replicas of ' || pod || ' lag'
+                  WHEN 'KafkaOfflinePartitions' THEN 'no leader for ' || v || ' partitions'
+                  ELSE consumergroup || ' is behind by ' || v END AS description FROM f""")
 def q_kafka_alert_summaries(spark, d):
     st = AL.alert_states(alert_input(spark, d, KAFKA_ALERTS), KAFKA_ALERTS, P.GRID)
     st = AL.alerts_with_summary(st.filter(F.col("state") == "firing"), KAFKA_ALERTS)
-    return st.select("alert", label("labels", "pod").alias("pod"), "t", F.col("summary_text").alias("summary"))
+    return st.select("alert", label("labels", "pod").alias("pod"), "t", F.col("summary_text").alias("summary"),
+                     F.col("description_text").alias("description"))
 
 
 @query("event_alerts", f"""WITH {INSTANT_SQL}, ji AS (SELECT metric, "user", pod, j, t_ns, value FROM i), {_alert_sql(EVENT_ALERTS)},

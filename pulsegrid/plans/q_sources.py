@@ -113,9 +113,8 @@ def _jmx_sql(extra: bool = False) -> str:
                 parts.append("'" + t[pos:] + "'")
             return " || ".join(parts)
 
-        ng = re.compile(pat).groups
-        val = (f"TRY_CAST(regexp_extract(line, '{w}', {ng}) AS DOUBLE)" if pat.endswith(r"(\d+)")
-               else "TRY_CAST(regexp_extract(line, ':\\s*([-+0-9.eE]+)\\s*$', 1) AS DOUBLE)")
+        # the value does not follow from the rule table: it is what stands after the line's last colon
+        val = "TRY_CAST(trim(list_extract(string_split(line, ':'), -1)) AS DOUBLE)"
         name = f"lower(regexp_replace(regexp_replace({tmpl(name_t)}, '[^a-zA-Z0-9:_]', '_', 'g'), '__+', '_', 'g'))"
         lab = {k.lower(): tmpl(v) for k, v in labs.items()}
         branches.append((w, i, name, typ, lab, val))

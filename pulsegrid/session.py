@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
-import io
 import os
 import tempfile
-import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -55,7 +52,7 @@ def get_session(app: str = "pulsegrid", master: str | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
-    ship_package(spark)
+    let_workers_import(spark)
     return spark
 
 
@@ -65,16 +62,20 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and workers share this machine (``local[...]``, ``local-cluster[...]``)."""
+    return spark.sparkContext.master.startswith("local")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system);
-    only when it is unset (local tests) do we create a private one.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    On a cluster the deployment must set it (a shared file system): each machine would see only
+    its own files of a local folder, so none is made up there. In local mode a private one is."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d
@@ -87,42 +88,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``pulsegrid`` importable by the Python workers (UDTF walk, stateful processors).
+def let_workers_import(spark: SparkSession) -> None:
+    """In local masters, Python workers find this source tree as the driver does.
 
-    The package is zipped in memory, written once into the shared checkpoint folder through
-    the Hadoop FileSystem API (content-addressed name), and registered with ``addPyFile`` —
-    what ``--py-files`` does at submit time. Idempotent per application."""
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
+    On a cluster the package is installed, or submitted with ``--py-files``; nothing is shipped here."""
+    if not is_local(spark):
         return
-    root = os.path.dirname(os.path.abspath(__file__))
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        for d, _, files in sorted(os.walk(root)):
-            for f in sorted(files):
-                if f.endswith(".py"):
-                    full = os.path.join(d, f)
-                    z.write(full, os.path.join("pulsegrid", os.path.relpath(full, root)))
-    data = buf.getvalue()
-    target = f"{checkpoint_dir(spark).rstrip('/')}/pulsegrid-pkg/pulsegrid-{hashlib.sha1(data).hexdigest()[:16]}.zip"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        out = fs.create(path, True)
-        out.write(bytearray(data))
-        out.close()
-    spark.sparkContext.addPyFile(target)
-    # Python processes Spark starts next to the driver (the stateful-processor runner of
-    # transformWithStateInPandas) take PYTHONPATH from the function environment, not from
-    # addPyFile: point them at the driver's copy as well.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment
-    parent = os.path.dirname(root)
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if parent not in paths:
-        env["PYTHONPATH"] = os.pathsep.join(paths + [parent])
-    _SHIPPED.add(app)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])

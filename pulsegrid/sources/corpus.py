@@ -59,9 +59,9 @@ def _s(v):
 
 def dashboard_targets_any_depth(docs: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
     """SRC-4 (any depth) through the Python walk only."""
-    from ..session import ship_package
+    from ..session import let_workers_import
 
-    ship_package(docs.sparkSession)
+    let_workers_import(docs.sparkSession)
     return docs.select(path, text).lateralJoin(DashboardWalk(F.col(text).outer())).drop(text)
 
 

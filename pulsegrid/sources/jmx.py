@@ -3,7 +3,8 @@
 Each rule is ``(pattern, name template, type, {label: template})``. A line is matched by the
 first rule whose pattern occurs in it (the pattern is wrapped as ``^.*(?:P).*$``), ``$n``
 in templates refers to the n-th group, names and label names are lower-cased, and the
-sample value is the number after the last ``:`` unless the rule captures it.
+sample value is the number after the last ``:`` (fractions and exponents included); a
+group of the pattern is not a value, no rule names one.
 The rules are data: the expressions are built from them at plan time and run as one
 ``coalesce`` of ``when`` branches in rule order (no per-row Python).
 """
@@ -56,10 +57,8 @@ def relabel(lines: DataFrame, rules=KAFKA_RULES, line_col: str = "line") -> Data
     branches = None
     for i, (pat, name_t, typ, labs) in enumerate(rules):
         wrapped = f"^.*(?:{pat}).*$"
-        ngroups = re.compile(pat).groups
         labmap = {k.lower(): _template(line, wrapped, v) for k, v in labs.items()}
-        value = (F.regexp_extract(line, wrapped, ngroups).try_cast("double") if pat.endswith(r"(\d+)")
-                 else F.regexp_extract(line, r":\s*([-+0-9.eE]+)\s*$", 1).try_cast("double"))
+        value = F.regexp_extract(line, r":\s*([-+0-9.eE]+)\s*$", 1).try_cast("double")
         labels = (F.create_map(*[x for k in sorted(labmap) for x in (F.lit(k), labmap[k])]) if labmap
                   else F.create_map().cast("map<string,string>"))
         out = F.struct(F.lit(i).alias("rule"), _safe_name(_template(line, wrapped, name_t)).alias("name"),

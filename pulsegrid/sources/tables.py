@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_utc, ship_package
+from ..session import ensure_utc, let_workers_import
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -18,17 +18,5 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ensure_utc(spark)
-    ship_package(spark)
+    let_workers_import(spark)
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-class Tables:
-    """Lazy accessor: ``Tables(spark, dir).events``."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return read_table(self.spark, self.sf_dir, name)
-        raise AttributeError(name)

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.names import topic_parts
 from ..functions.time import duration_ns
-from ..session import ship_package
+from ..session import let_workers_import
 
 NS = 1_000_000_000
 
@@ -115,7 +115,7 @@ def _arm(handle: StatefulProcessorHandle, timer_ms, last_ts_ns: int, ttl_ms: int
 
 def stream_increments(samples: DataFrame, delay: str, state_ttl: str | None = "7d") -> DataFrame:
     """Per-point counter increments of a sample stream (state: one row per live series)."""
-    ship_package(samples.sparkSession)
+    let_workers_import(samples.sparkSession)
     x = samples.select("series_id", "ts", "ts_ns", "value").withWatermark("ts", delay)
     ttl = duration_ns(state_ttl) // 1_000_000 if state_ttl else None
     return x.groupBy("series_id").transformWithStateInPandas(
@@ -224,7 +224,7 @@ def stream_alerts(samples: DataFrame, rules: list, max_gap: str, delay: str,
     """STR-3: rules = [AlertRule]; the rule list is configuration, joined by metric. State per
     (rule, series) expires after ``state_ttl`` without samples."""
     spark = samples.sparkSession
-    ship_package(spark)
+    let_workers_import(spark)
     if state_ttl and duration_ns(state_ttl) < duration_ns(max_gap):
         state_ttl = max_gap  # an evicted key must be one whose next sample starts a new island anyway
     rows = [(r.alert, r.metric) for r in rules]
