@@ -32,7 +32,7 @@ class AlertRule:
     description: str = ""
 
 
-def _cond(op: Column, v: Column, x: Column) -> Column:
+def holds(op: Column, v: Column, x: Column) -> Column:
     return (F.when(op == ">", v > x).when(op == ">=", v >= x).when(op == "<", v < x)
             .when(op == "<=", v <= x).when(op == "==", v == x).when(op == "!=", v != x))
 
@@ -51,7 +51,7 @@ def alert_states(v: DataFrame, rules: list[AlertRule], grid: Grid) -> DataFrame:
     x = x.filter(selected(rules, F.col("r.alert"), F.col("labels")))
     x = x.select("*", *[F.col(f"r.{c}").alias(c) for c in ("alert", "op", "threshold", "for_ns", "severity",
                                                           "summary")]).drop("r")
-    x = x.withColumn("cond", F.coalesce(_cond(F.col("op"), F.col("value"), F.col("threshold")), F.lit(False)))
+    x = x.withColumn("cond", F.coalesce(holds(F.col("op"), F.col("value"), F.col("threshold")), F.lit(False)))
     w = Window.partitionBy("alert", "series_id").orderBy("j")
     prev_j, prev_c = F.lag("j").over(w), F.lag("cond").over(w)
     start = F.col("cond") & (prev_j.isNull() | (prev_j != F.col("j") - 1) | ~prev_c)

@@ -73,7 +73,7 @@ def q_stream_log_counts(spark, d):
     return out.select("t", "level", "value")
 
 
-# ---------------------------------------------------------------- STR-2 rate (stateful increments)
+# ---------------------------------------------------------------- STR-2 rate
 
 @query("stream_rates", f"""WITH {S0},
 s AS (SELECT metric, "user", ts_ns, max(value) AS value FROM s0 GROUP BY metric, "user", ts_ns),
@@ -88,7 +88,6 @@ FROM p JOIN g ON p.ts_ns >= g.t_ns - {24 * HOUR_NS} AND p.ts_ns < g.t_ns
 WHERE {_closed('g.t_ns')}
 GROUP BY metric, "user", g.t_ns HAVING count(*) >= 2 AND max(ts_ns) > min(ts_ns)""")
 def q_stream_rates(spark, d):
-    ingest.use_rocksdb(spark)
     s = a_samples(stream_table(spark, d, "events"))
     out = run_available_now(spark, SO.stream_rate(s, "1 day", "1 hour", "1 hour"), "rates")
     out = decode_series(out)
@@ -97,37 +96,43 @@ def q_stream_rates(spark, d):
 
 # ---------------------------------------------------------------- STR-3 alerts
 
-STREAM_ALERT = AlertRule("ViewHigh", "view", ">", 100, "6h", "warning")
-MAX_GAP = "2d"
+STREAM_ALERTS = [AlertRule("ViewHigh", "view", ">", 100, "6h", "warning"),
+                 AlertRule("ClickLow", "click", "<", 200, "2h", "info", matchers=(("user", "!=", "1"),))]
+LOOKBACK_NS = 12 * HOUR_NS
 
 
-@query("stream_alert_states", f"""WITH {S0},
-s AS (SELECT "user", ts_ns, max(value) AS value FROM s0 WHERE metric = 'view' GROUP BY "user", ts_ns),
-a AS (SELECT *, value > 100 AS cond, lag(ts_ns) OVER w AS prev_ts, lag(value > 100) OVER w AS prev_c
-      FROM s WINDOW w AS (PARTITION BY "user" ORDER BY ts_ns)),
-b AS (SELECT *, cond AND (prev_ts IS NULL OR ts_ns - prev_ts > {2 * 86400 * 10**9} OR NOT prev_c) AS start FROM a),
-c AS (SELECT *, last_value(CASE WHEN start THEN ts_ns END IGNORE NULLS)
-                  OVER (PARTITION BY "user" ORDER BY ts_ns ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t0 FROM b)
-SELECT 'ViewHigh' AS alert, "user", ts_ns, value,
-       CASE WHEN NOT cond THEN 'inactive' WHEN ts_ns - t0 < {6 * HOUR_NS} THEN 'pending' ELSE 'firing' END AS state
-FROM c""")
+def _state_sql(alert: str, metric: str, cond: str, steps: int, where: str = "true") -> str:
+    return f"""SELECT '{alert}' AS alert, "user", CAST(t_ns // 1000000000 AS BIGINT) AS t, value,
+       CASE WHEN NOT c THEN 'inactive' WHEN sum(c::INT) OVER (PARTITION BY "user" ORDER BY t_ns
+              RANGE BETWEEN {steps * HOUR_NS} PRECEDING AND CURRENT ROW) > {steps} THEN 'firing' ELSE 'pending' END AS state
+FROM (SELECT *, {cond} AS c FROM v WHERE metric = '{metric}' AND {where})"""
+
+
+@query("stream_alert_states", f"""WITH {S0}, {_hour_grid(LOOKBACK_NS)},
+v AS (SELECT metric, "user", g.t_ns, arg_max(value, (ts_ns, value)) AS value
+      FROM s0 JOIN g ON s0.ts_ns >= g.t_ns - {LOOKBACK_NS} AND s0.ts_ns < g.t_ns
+      WHERE {_closed(f'g.t_ns + {HOUR_NS}')} GROUP BY metric, "user", g.t_ns)
+{_state_sql('ViewHigh', 'view', 'value > 100', 6)} UNION ALL
+{_state_sql('ClickLow', 'click', 'value < 200', 2, "\"user\" <> '1'")}""")
 def q_stream_alert_states(spark, d):
-    ingest.use_rocksdb(spark)
     s = a_samples(stream_table(spark, d, "events"))
-    out = run_available_now(spark, SO.stream_alerts(s, [STREAM_ALERT], max_gap=MAX_GAP, delay="1 hour"), "alerts")
-    out = decode_series(out)
-    return out.select("alert", label("labels", "user").alias("user"), "ts_ns", "value", "state")
+    out = run_available_now(spark, SO.stream_alerts(s, STREAM_ALERTS, "12h", "1h", "1 hour"), "alerts")
+    # a state is final once the watermark is a step past it
+    newest = read_table(spark, d, "events").agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).scalar()
+    out = decode_series(out.filter((F.col("t") + 3600 + DELAY_S) * 1_000_000 <= newest))
+    return out.select("alert", label("labels", "user").alias("user"), "t", "value", "state")
 
 
 # ---------------------------------------------------------------- STR-6 dedup
 
-@query("stream_dedup_points", f"""WITH {S0} SELECT DISTINCT metric, "user", ts_ns FROM s0""")
+@query("stream_dedup_points", f"""WITH {S0} SELECT metric, "user", ts_ns, max(value) AS value FROM s0
+WHERE ts_ns <= (SELECT max(epoch_us(ts)) * 1000 FROM events) - {DELAY_S * 10**9} GROUP BY ALL""")
 def q_stream_dedup_points(spark, d):
     s = a_samples(stream_table(spark, d, "events"))
-    twice = s.unionByName(s)  # every point delivered twice
-    out = run_available_now(spark, SO.dedup_points(twice, "1 hour").select("series_id", "ts_ns"), "dedup")
+    lower = s.withColumn("value", F.col("value") - 1)  # every point delivered twice, with another value
+    out = run_available_now(spark, SO.dedup_points(s.unionByName(lower), "1 hour"), "dedup")
     out = decode_series(out)
-    return out.select("metric", label("labels", "user").alias("user"), "ts_ns")
+    return out.select("metric", label("labels", "user").alias("user"), "ts_ns", "value")
 
 
 # ---------------------------------------------------------------- STR-1 ingest

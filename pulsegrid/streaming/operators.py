@@ -10,15 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.names import topic_parts
+from ..functions.plan import with_columns_once
 from ..functions.time import duration_ns
-from ..session import let_workers_import
+from ..operators.alerts import holds, selected
 
 NS = 1_000_000_000
 
@@ -36,207 +34,87 @@ def stream_log_count(logs: DataFrame, range_: str, step: str, by: Sequence[str],
 
 
 def dedup_points(samples: DataFrame, delay: str | None = None) -> DataFrame:
-    """STR-6: repeated (series, ts) points count once. In a stream the dedup state is bounded
-    by the watermark; in batch it is a plain ``dropDuplicates``."""
+    """STR-6: repeated (series, ts) points count once, with the larger value. In a stream a point
+    is emitted when the watermark passes its time, so every repetition within ``delay`` is seen."""
     if samples.isStreaming:
-        return samples.withWatermark("ts", delay or "10 minutes").dropDuplicatesWithinWatermark(["series_id", "ts_ns"])
-    return samples.dropDuplicates(["series_id", "ts_ns"])
-
-
-# ---------------------------------------------------------------- counter increments (state per series)
-
-INC_SCHEMA = "series_id string, ts timestamp, ts_ns long, value double, prev_ts_ns long, inc double"
-_LAST = T.StructType([T.StructField("ts_ns", T.LongType()), T.StructField("value", T.DoubleType()),
-                      T.StructField("timer_ms", T.LongType())])
-
-
-class CounterIncrements(StatefulProcessor):
-    """Keeps the last (ts_ns, value) of a series; emits each new point's increment
-    (``v - prev`` or ``v`` after a reset). Points at or before the stored one are late and
-    dropped; equal timestamps in one batch keep the larger value. The state of a series that
-    stops reporting is evicted by an event-time timer once the watermark passes its last
-    sample + ``ttl_ms`` (series churn does not grow the store forever)."""
-
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", _LAST)
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = (pdf.sort_values(["ts_ns", "value"]).drop_duplicates("ts_ns", keep="last"))
-        prev = self.last.get() if self.last.exists() else None
-        if prev is not None:
-            pdf = pdf[pdf["ts_ns"] > prev[0]]
-        if pdf.empty:
-            return
-        prev_v = pdf["value"].shift(1)
-        prev_t = pdf["ts_ns"].shift(1)
-        if prev is not None:
-            prev_v.iloc[0], prev_t.iloc[0] = prev[1], prev[0]
-        inc = pdf["value"].where(pdf["value"] < prev_v, pdf["value"] - prev_v)
-        inc = inc.where(prev_v.notna(), 0.0)
-        out = pd.DataFrame({"series_id": key[0], "ts": pdf["ts"].values, "ts_ns": pdf["ts_ns"].values,
-                            "value": pdf["value"].values, "prev_ts_ns": prev_t.astype("Int64").values,
-                            "inc": inc.values})
-        last = pdf.iloc[-1]
-        timer = _arm(self.handle, prev[2] if prev is not None else None, int(last["ts_ns"]), self.ttl_ms)
-        self.last.update((int(last["ts_ns"]), float(last["value"]), timer))
-        yield out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.last.exists():
-            ts, v, _ = self.last.get()
-            due = ts // 1_000_000 + self.ttl_ms
-            if due > expiredTimerInfo.getExpiryTimeInMs():  # newer samples arrived: re-arm
-                self.handle.registerTimer(due)
-                self.last.update((ts, v, due))
-            else:
-                self.last.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-def _arm(handle: StatefulProcessorHandle, timer_ms, last_ts_ns: int, ttl_ms: int | None):
-    """At most one pending eviction timer per key. It is registered once; when it fires and the
-    key has seen newer samples it is moved to last sample + ttl, else the state is dropped —
-    one timer call per key per ttl period instead of one per batch."""
-    if not ttl_ms:
-        return None
-    if timer_ms is None:
-        timer_ms = last_ts_ns // 1_000_000 + ttl_ms
-        handle.registerTimer(timer_ms)
-    return timer_ms
-
-
-def stream_increments(samples: DataFrame, delay: str, state_ttl: str | None = "7d") -> DataFrame:
-    """Per-point counter increments of a sample stream (state: one row per live series)."""
-    let_workers_import(samples.sparkSession)
-    x = samples.select("series_id", "ts", "ts_ns", "value").withWatermark("ts", delay)
-    ttl = duration_ns(state_ttl) // 1_000_000 if state_ttl else None
-    return x.groupBy("series_id").transformWithStateInPandas(
-        statefulProcessor=CounterIncrements(ttl), outputStructType=INC_SCHEMA, outputMode="Append",
-        timeMode="EventTime", eventTimeColumnName="ts")
-
-
-def windowed_rate(incs: DataFrame, range_: str, step: str) -> DataFrame:
-    """STR-2 rate over increments: per (window, series) increase counts only pairs whose
-    previous point is inside the window; rate = increase / (last - first) seconds."""
-    x = incs.withColumn("w", F.window("ts", range_, step)).groupBy("w", "series_id").agg(
-        F.sum(F.when(F.col("prev_ts_ns") >= F.unix_micros(F.col("w.start")) * 1000, F.col("inc"))
-              .otherwise(F.lit(0.0))).alias("increase"),
-        F.min("ts_ns").alias("first_ts"), F.max("ts_ns").alias("last_ts"), F.count(F.lit(1)).alias("n"))
-    span = (F.col("last_ts") - F.col("first_ts")) / F.lit(float(NS))
-    return (x.filter((F.col("n") >= 2) & (F.col("last_ts") > F.col("first_ts")))
-            .select(*_window_cols("w"), "series_id", (F.col("increase") / span).alias("value")))
-
-
-def stream_rate(samples: DataFrame, range_: str, step: str, delay: str, state_ttl: str = "7d") -> DataFrame:
-    """Eviction never changes a result: the TTL is raised to at least the range, and an increment
-    only counts when its predecessor lies inside the window."""
-    ttl_ns = max(duration_ns(state_ttl), _interval_ns(range_))
-    return windowed_rate(stream_increments(samples, delay, f"{ttl_ns}ns"), range_, step)
-
-
-def _interval_ns(text: str) -> int:
-    """'1 day' / '6 hours' / '5m' -> ns."""
-    units = {"day": "d", "days": "d", "hour": "h", "hours": "h", "minute": "m", "minutes": "m",
-             "second": "s", "seconds": "s"}
-    parts = text.split()
-    if len(parts) == 2:
-        return duration_ns(parts[0] + units.get(parts[1], parts[1]))
-    return duration_ns(text)
-
-
-# ---------------------------------------------------------------- alerts (state per rule x series)
-
-ALERT_OUT = "alert string, series_id string, ts timestamp, ts_ns long, value double, state string, active_since_ns long"
-_ALERT_STATE = T.StructType([T.StructField("t0", T.LongType()), T.StructField("last_ts", T.LongType()),
-                             T.StructField("cond", T.BooleanType()), T.StructField("timer_ms", T.LongType())])
-
-
-class AlertStates(StatefulProcessor):
-    """inactive -> pending -> firing per (rule, series), evaluated at every sample.
-
-    Rules are configuration: ``{alert: (op, threshold, for_ns)}``. A gap larger than
-    ``max_gap_ns`` between samples ends the island (the batch 'missing step')."""
-
-    def __init__(self, rules: dict, max_gap_ns: int, ttl_ms: int | None = None):
-        self.rules, self.max_gap, self.ttl_ms = rules, max_gap_ns, ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.st = handle.getValueState("st", _ALERT_STATE)
-
-    def handleInputRows(self, key, rows, timerValues):
-        alert, sid = key
-        op, thr, for_ns = self.rules[alert]
-        pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values(["ts_ns", "value"]).drop_duplicates("ts_ns", keep="last")
-        st = self.st.get() if self.st.exists() else None
-        t0, last_ts, last_cond, timer = (st if st is not None else (None, None, False, None))
-        out = []
-        for ts_ns, ts, v in zip(pdf["ts_ns"], pdf["ts"], pdf["value"]):
-            ts_ns = int(ts_ns)
-            if last_ts is not None and ts_ns <= last_ts:
-                continue
-            cond = _compare(op, float(v), thr)
-            gap = last_ts is None or ts_ns - last_ts > self.max_gap
-            if cond and (gap or not last_cond or t0 is None):
-                t0 = ts_ns
-            if not cond:
-                t0 = None
-            state = "inactive" if not cond else ("pending" if ts_ns - t0 < for_ns else "firing")
-            out.append((alert, sid, ts, ts_ns, float(v), state, t0))
-            last_ts, last_cond = ts_ns, cond
-        if last_ts is not None:
-            timer = _arm(self.handle, timer, last_ts, self.ttl_ms)
-            self.st.update((t0, last_ts, bool(last_cond), timer))
-        if out:
-            yield pd.DataFrame(out, columns=["alert", "series_id", "ts", "ts_ns", "value", "state",
-                                             "active_since_ns"]).astype({"active_since_ns": "Int64"})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.st.exists():
-            t0, last_ts, cond, _ = self.st.get()
-            due = last_ts // 1_000_000 + self.ttl_ms
-            if due > expiredTimerInfo.getExpiryTimeInMs():
-                self.handle.registerTimer(due)
-                self.st.update((t0, last_ts, cond, due))
-            else:
-                self.st.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-def _compare(op: str, v: float, x: float) -> bool:
-    return {">": v > x, ">=": v >= x, "<": v < x, "<=": v <= x, "==": v == x, "!=": v != x}[op]
-
-
-def stream_alerts(samples: DataFrame, rules: list, max_gap: str, delay: str,
-                  state_ttl: str | None = "7d") -> DataFrame:
-    """STR-3: rules = [AlertRule]; the rule list is configuration, joined by metric. State per
-    (rule, series) expires after ``state_ttl`` without samples."""
-    spark = samples.sparkSession
-    let_workers_import(spark)
-    if state_ttl and duration_ns(state_ttl) < duration_ns(max_gap):
-        state_ttl = max_gap  # an evicted key must be one whose next sample starts a new island anyway
-    rows = [(r.alert, r.metric) for r in rules]
-    rt = spark.createDataFrame(rows, "alert string, metric string")
-    conf = {r.alert: (r.op, float(r.threshold), duration_ns(r.for_)) for r in rules}
-    x = samples.join(F.broadcast(rt), "metric").select("alert", "series_id", "ts", "ts_ns", "value")
-    x = x.withWatermark("ts", delay)
-    return x.groupBy("alert", "series_id").transformWithStateInPandas(
-        statefulProcessor=AlertStates(conf, duration_ns(max_gap),
-                                      duration_ns(state_ttl) // 1_000_000 if state_ttl else None),
-        outputStructType=ALERT_OUT,
-        outputMode="Append", timeMode="EventTime")
+        samples = samples.withWatermark("ts", delay or "10 minutes")
+    return samples.groupBy("series_id", "ts", "ts_ns").agg(F.max("value").alias("value"))
+
+
+# ---------------------------------------------------------------- rates (buckets, then windows)
+
+def stream_rate(samples: DataFrame, range_: str, step: str, delay: str) -> DataFrame:
+    """STR-2: per (window, series) the counter increase over the pairs inside the window, by seconds.
+
+    Two window aggregations in a row. A bucket of one ``step`` holds a series' points until the
+    watermark passes it (rows in any order, repeated times keep the larger value), then leaves six
+    numbers; a window of ``range_`` (a multiple of ``step``) stitches its buckets' numbers. State is
+    keyed by (time, series): a hot series spreads over its buckets, an idle one leaves no state."""
+    x = samples.withWatermark("ts", delay)
+    buckets = x.groupBy(F.window("ts", step), "series_id").agg(
+        F.sort_array(F.collect_list(F.struct("ts_ns", "value"))).alias("points"))
+    buckets = with_columns_once(buckets, {"p": F.filter("points", lambda e, i: F.coalesce(
+        F.get("points", i + 1)["ts_ns"] != e["ts_ns"], F.lit(True)))})
+    first, last = F.get("p", F.lit(0)), F.element_at("p", -1)
+    part = F.struct(first["ts_ns"].alias("first_ts"), first["value"].alias("first"), last["ts_ns"].alias("last_ts"),
+                    last["value"].alias("last"), F.size("p").alias("n"), _increase(
+                        F.col("p"), lambda e: e["value"], lambda e: e["value"]).alias("inside"))
+    windows = buckets.select(F.window_time("window").alias("at"), "series_id", part.alias("part")).groupBy(
+        F.window("at", range_, step), "series_id").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    inside = F.aggregate("parts", F.lit(0.0), lambda a, e: a + e["inside"])
+    increase = inside + _increase(F.col("parts"), lambda e: e["last"], lambda e: e["first"])
+    n = F.aggregate("parts", F.lit(0), lambda a, e: a + e["n"])
+    span = F.element_at("parts", -1)["last_ts"] - F.get("parts", F.lit(0))["first_ts"]
+    return windows.select(*_window_cols(), "series_id", (increase / (span / F.lit(float(NS)))).alias("value"),
+                          n.alias("n"), span.alias("span")).filter("n >= 2 AND span > 0").drop("n", "span")
+
+
+def _increase(items, before, after):
+    """Increase over neighbouring items: from ``before(item)`` to ``after(next item)``; a reset counts the new value."""
+    pairs = F.transform(items, lambda e, i: F.when(i == 0, 0.0).otherwise(
+        F.when(after(e) < before(F.get(items, i - 1)), after(e)).otherwise(after(e) - before(F.get(items, i - 1)))))
+    return F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x)
+
+
+# ---------------------------------------------------------------- alerts (grid values, then hold windows)
+
+def stream_alerts(samples: DataFrame, rules: list, lookback: str, step: str, delay: str) -> DataFrame:
+    """STR-3: the batch alert states on the epoch-aligned grid of ``step``, for grid times that the
+    watermark has passed by a step (the second window closes after the first has emitted).
+
+    A first window gives each (rule, series) its newest value within ``lookback`` of every grid
+    time, so a pending alert fires with time and needs no new sample. A second window holds the
+    grid times that ``for`` spans: firing if the condition held at all of them."""
+    step_ns = duration_ns(step)
+    every, back = f"{step_ns // 1000} microseconds", f"{duration_ns(lookback) // 1000} microseconds"
+    arr = F.array(*[F.struct(F.lit(r.alert).alias("alert"), F.lit(r.metric).alias("metric")) for r in rules])
+    x = samples.filter(F.col("metric").isin(*{r.metric for r in rules}))
+    x = x.withColumn("rule", F.explode(F.filter(arr, lambda r: r["metric"] == F.col("metric"))))
+    x = x.withColumn("alert", F.col("rule.alert"))
+    x = x.filter(selected(rules, F.col("alert"), F.col("labels"))).withWatermark("ts", delay)
+    grid = x.groupBy(F.window("ts", back, every), "alert", "series_id").agg(
+        F.max(F.struct("ts_ns", "value"))["value"].alias("value"))
+    cond = F.lit(False)
+    for r in rules:
+        cond = F.when(F.col("alert") == r.alert, holds(F.lit(r.op), F.col("value"), F.lit(float(r.threshold)))).otherwise(cond)
+    grid = grid.select(F.window_time("window").alias("at"), F.unix_seconds("window.end").alias("t"), "alert",
+                       "series_id", "value", F.coalesce(cond, F.lit(False)).alias("cond"))
+    out = None
+    for steps in sorted({_steps(r.for_, step_ns) for r in rules}):
+        names = [r.alert for r in rules if _steps(r.for_, step_ns) == steps]
+        span = f"{(steps + 1) * step_ns // 1000} microseconds"
+        held = grid.filter(F.col("alert").isin(*names)).groupBy(F.window("at", span, every), "alert", "series_id").agg(
+            F.max(F.struct("t", "value", "cond")).alias("now"), F.count_if("cond").alias("n"))
+        state = F.when(~F.col("now.cond"), "inactive").when(F.col("n") > steps, "firing").otherwise("pending")
+        held = held.filter(F.col("now.t") == F.unix_seconds("window.end")).select(
+            "alert", "series_id", F.col("now.t").alias("t"), F.col("now.value").alias("value"), state.alias("state"))
+        out = held if out is None else out.unionByName(held)
+    return out
+
+
+def _steps(for_: str, step_ns: int) -> int:
+    """Grid steps after which a condition has held for ``for``."""
+    return -(-duration_ns(for_) // step_ns)
 
 
 # ---------------------------------------------------------------- topic routing (STR-4)
@@ -249,13 +127,10 @@ def route_events(records: DataFrame) -> DataFrame:
 
 
 def write_routed(records: DataFrame, path: str, checkpoint: str, trigger_once: bool = True):
-    """One output per domain: ``foreachBatch`` writes each micro-batch partitioned by domain
-    (idempotent per batch id through the checkpoint)."""
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("append").partitionBy("domain").parquet(path)
-
-    w = route_events(records).writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    """One folder per domain. The file sink commits each micro-batch once through its log, so a
+    batch that is replayed after a failure is not written twice (read ``path`` as a whole)."""
+    w = (route_events(records).writeStream.format("parquet").option("path", path).partitionBy("domain")
+         .option("checkpointLocation", checkpoint))
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()
