@@ -67,7 +67,7 @@ class Counter:
         self.chunks: dict[str, int] = {}
 
     def _by_pieces(self, text: str) -> int:
-        if simple(text):
+        if simple(text) and not disputed(text):
             pieces = self.find(text)
         else:
             pieces = [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
@@ -106,8 +106,7 @@ class Counter:
 
 def _even(text: str) -> bool:
     """Whether white space is single spaces and line feeds between other characters."""
-    n = text.count(" ") + text.count("\n")
-    return len(text.split()) == n + 1 and not disputed(text)
+    return text.split() == text.replace("\n", " ").split(" ")
 
 
 _COUNTERS: dict[str, Counter] = {}
