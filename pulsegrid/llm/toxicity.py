@@ -14,11 +14,12 @@ Training (``train``), from labelled documents only, cut into sentences:
 * Landmarks are witness words and clean words; a linear machine (squared hinge, Newton steps) is
   fitted on the Nystroem features, and refitted with the clean words it scores highest (found by
   Spark over all words of the clean sample) and with the new witnesses.
-* The machine's weights over landmarks collapse to one weight per subsequence, a table of 64^3
+* The machine's weights over landmarks collapse to one weight per subsequence, a table of 2^20
   numbers: scoring a word needs its own subsequences only.
 
-A sentence scores as its highest word, a text as its highest sentence; runs of single characters
-are read as one word too. A logistic curve fitted on the sample's texts turns this into 0 to 1.
+A sentence scores as its highest word; a text as its highest word and its second highest, since
+toxic texts rarely hold one such word alone and chance likenesses do. Runs of single characters are
+read as one word too. A logistic curve fitted on the sample's texts turns the two into 0 to 1.
 
 Null and empty texts get the score of a text without words. Repeated rows each get their score.
 Labels that are null count as absent; an id labelled twice is toxic if any label says so. Without
@@ -29,6 +30,7 @@ are kept; the result columns replace columns of the same names.
 from __future__ import annotations
 
 import re
+from collections import Counter as Tally
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -36,14 +38,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import fresh, settle
+from .common import fresh, let, settle
 
 MAX_TOXIC, MAX_CLEAN = 1000, 2000
-MAX_NEGATIVE, HARD_NEGATIVE, MAX_POSITIVE = 4000, 800, 1200
-LANDMARKS = 200
+MAX_NEGATIVE, HARD_NEGATIVE, MAX_POSITIVE = 4000, 1500, 1200
+LANDMARKS = 300
 DECAY, ORDER, WINDOW, ALPHABET = 0.6, 3, 18, 64
-ROUNDS = 3
+ROUNDS = 2
 THRESHOLD = 0.7
+TABLE_BITS = 20  # subsequences are hashed into the table; meetings are rare and harmless
 MEMO = 400_000
 
 _SENTENCE = re.compile(r"[.!?]+\s+|\n+")
@@ -63,10 +66,10 @@ def words_of(text: str) -> list[str]:
 
 
 def _letters(word: str) -> list[int]:
-    """A word's letters as codes between two end marks; punctuation in and around it is left out."""
+    """A word's letters as codes, two marks before and one behind; punctuation in and around it is left out."""
     own = [1 + ord(c) - 97 if "a" <= c <= "z" else 28 + ord(c) % 36
            for c in word.translate(_LOOKALIKE) if c.isalnum()]
-    return [0, *own, 27]
+    return [0, 0, *own, 27]
 
 
 def _windows(word: str) -> list[list[int]]:
@@ -94,16 +97,19 @@ def subsequences(rows):
 
     x = np.array(rows, "i4")
     at, weight = _grid(x.shape[1])
-    codes = (x[:, at[:, 0]] * ALPHABET + x[:, at[:, 1]]) * ALPHABET + x[:, at[:, 2]]
+    codes = np.zeros((len(x), len(at)), "i8")
+    for k in range(ORDER):
+        codes = codes * ALPHABET + x[:, at[:, k]]
+    codes = (codes * 2654435761 & 0xFFFFFFFF) >> (32 - TABLE_BITS)
     if not codes.shape[1]:
         return codes, weight, np.zeros(len(x))
     row = np.arange(len(x), dtype="i8")[:, None]
-    flat = (codes + row * ALPHABET ** 3).ravel()
+    flat = (codes + row * (1 << TABLE_BITS)).ravel()
     order = np.argsort(flat, kind="stable")
     keys = flat[order]
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
     sums = np.add.reduceat(np.tile(weight, len(x))[order], first)
-    norm = np.bincount(keys[first] // ALPHABET ** 3, weights=sums ** 2, minlength=len(x))
+    norm = np.bincount(keys[first] // (1 << TABLE_BITS), weights=sums ** 2, minlength=len(x))
     return codes, weight, np.sqrt(norm)
 
 
@@ -122,10 +128,10 @@ def _by_length(words: list[str]):
 
 @dataclass
 class Model:
-    """Weights of subsequences, bias, and the slope and offset of the logistic curve."""
+    """Weights of subsequences, bias, and the slopes and offset of the logistic curve."""
     table: object
     bias: float
-    slope: float = 1.0
+    slopes: tuple[float, float] = (1.0, 0.0)
     offset: float = 0.0
 
     def margins(self, words: list[str]):
@@ -147,6 +153,7 @@ class Scorer:
         self.model, self.memo = model, {}
 
     def texts(self, texts: list[str | None]):
+        """The two highest word margins of each text, texts x 2."""
         import numpy as np
 
         split = [words_of(t) if t else [] for t in texts]
@@ -155,7 +162,12 @@ class Scorer:
         memo = self.memo
         new = list({w for one in split for w in one if w not in memo})
         memo.update(zip(new, self.model.margins(new).tolist()))
-        out = np.array([max(map(memo.__getitem__, one), default=self.model.bias) for one in split], "f8")
+        out = np.full((len(texts), 2), self.model.bias)
+        for i, one in enumerate(split):
+            margins = list(map(memo.__getitem__, one))
+            for k in range(min(2, len(margins))):
+                out[i, k] = top = max(margins)
+                margins.remove(top)
         return np.maximum(out, self.model.bias)
 
 
@@ -168,7 +180,7 @@ def kernel(words: list[str], landmarks: list[str]):
     for codes, _, _ in own:
         for c in codes[0].tolist():
             cols.setdefault(c, len(cols))
-    place = np.full(ALPHABET ** 3, len(cols), "i4")
+    place = np.full((1 << TABLE_BITS), len(cols), "i4")
     place[list(cols)] = list(cols.values())
     table = np.zeros((len(cols) + 1, len(landmarks)), "f4")
     for j, (codes, weight, norm) in enumerate(own):
@@ -202,7 +214,7 @@ def fit(positive: dict[str, float], negative: list[str], landmarks: list[str], r
         if np.allclose(new, w, atol=1e-8):
             break
         w = new
-    alpha, table = root @ w[:-1], np.zeros(ALPHABET ** 3)
+    alpha, table = root @ w[:-1], np.zeros((1 << TABLE_BITS))
     for a, word in zip(alpha, landmarks):
         codes, weight, norm = subsequences([_windows(word)[0]])
         np.add.at(table, codes[0], a * weight / max(norm[0], 1e-12))
@@ -219,26 +231,28 @@ def altered(words: list[str]) -> list[str]:
     return out
 
 
-def _curve(margin, y) -> tuple[float, float]:
-    """Slope and offset of a logistic curve: damped Newton steps, with a weak pull to slope 4 around 0."""
+def _curve(margin, y) -> tuple[list[float], float]:
+    """Slopes and offset of a logistic curve over the two highest margins: damped Newton steps, with a
+    weak pull of the slopes to 3."""
     import numpy as np
 
+    goal, pull = np.array([3.0, 3.0, -3.0]), np.array([2e-4, 2e-4, 1e-9])
+    x, p = np.c_[margin, np.ones(len(margin))], goal.copy()
+
     def loss(p):
-        z = p[0] * margin + p[1]
-        return np.logaddexp(0, -y * z).mean() + 1e-3 * ((p[0] - 4) ** 2 + p[1] ** 2)
+        return np.logaddexp(0, -y * (x @ p)).mean() + (pull * (p - goal) ** 2).sum() / 2
 
-    x, p = np.c_[margin, np.ones(len(margin))], np.array([4.0, 0.0])
     for _ in range(60):
         q = 1 / (1 + np.exp(-np.clip(x @ p, -30, 30)))
-        grad = x.T @ (q - (y > 0)) / len(y) + 2e-3 * (p - [4.0, 0.0])
-        hess = x.T @ (x * (q * (1 - q))[:, None]) / len(y) + 2e-3 * np.eye(2)
+        grad = x.T @ (q - (y > 0)) / len(y) + pull * (p - goal)
+        hess = x.T @ (x * (q * (1 - q))[:, None]) / len(y) + np.diag(pull)
         step, size = np.linalg.solve(hess, grad), 1.0
         while loss(p - size * step) > loss(p) and size > 1e-6:
             size /= 2
         p = p - size * step
         if abs(size * step).max() < 1e-7:
             break
-    return float(max(p[0], 0.1)), float(p[1])
+    return np.maximum(p[:2], 0.05).tolist(), float(p[2])
 
 
 def _word_column(text: Column) -> Column:
@@ -291,11 +305,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     least = max(2, round(np.log(len(seen) + 1) / np.log((n[0] + n[1]) / n[1])))
     least = min(least, max(seen.values()))
     positive = sorted((w for w in seen if seen[w] >= least), key=lambda w: (-seen[w], w))
-    positive = positive[:MAX_POSITIVE]
+    positive = firm = positive[:MAX_POSITIVE]
     hard: list[str] = []
     for _ in range(ROUNDS):
         half = LANDMARKS // 2
-        marks = list(dict.fromkeys(positive[:half] + hard[:half // 2] + common[:half // 2]))
+        marks = list(dict.fromkeys(positive[:half] + hard[:half] + common[:half // 4]))
         weights = {w: float(np.sqrt(seen[w])) for w in positive}
         weights |= {a: 0.2 * weights[w] for w in positive[:half] for a in altered([w]) if a not in weights}
         model = fit(weights, negative, marks)
@@ -305,11 +319,16 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         model = fit({w: v for w, v in weights.items() if w not in set(hard)}, negative, marks)
         margin = dict(zip(seen, model.margins(list(seen)).tolist()))
         witness = {max(ws, key=lambda w: (margin[w], w)) for ws in by_doc.values()}
-        positive = sorted((w for w in seen if margin[w] > 0 and (seen[w] > 1 or w in witness and margin[w] > 0.25)),
-                          key=lambda w: (-seen[w], w))[:MAX_POSITIVE] or positive
-    pairs = rows.select("toxic", _text_margin(F.col("text"), model).alias("m")).collect()
-    margins, y = np.array([r[1] for r in pairs]), np.array([1 if r[0] else -1 for r in pairs])
-    model.slope, model.offset = _curve(margins, y)
+        alike = [w for w in seen if margin[w] > 0 and (seen[w] > 1 or w in witness and margin[w] > 0.25)]
+        # toxic documents without a witness yet: what is over-represented among them alone
+        left = [ws for ws in by_doc.values() if max(margin[w] for w in ws) <= 0.25]
+        again = Tally(w for ws in left for w in ws)
+        least = max(2, round(np.log(len(again) + 1) / np.log((n[0] + len(left) + 1) / (len(left) + 1))))
+        more = [w for w, k in again.items() if k >= least]
+        positive = sorted({*firm, *alike, *more}, key=lambda w: (-seen[w], w))[:MAX_POSITIVE]
+    pairs = rows.select("toxic", _text_margins(F.col("text"), model).alias("m")).collect()
+    margins, y = np.array([list(r[1]) for r in pairs]), np.array([1 if r[0] else -1 for r in pairs])
+    model.slopes, model.offset = _curve(margins, y)
     return model
 
 
@@ -325,20 +344,18 @@ def _margin_column(word: Column, model: Model) -> Column:
     return pandas_udf(many, "double")(word)
 
 
-def _text_margin(text: Column, model: Model) -> Column:
+def _text_margins(text: Column, model: Model) -> Column:
     import pandas as pd
 
     held = []
 
     def many(texts):
-        import pandas as pd
-
         if not held:
             held.append(Scorer(model))
-        return pd.Series(held[0].texts(list(texts)), dtype="float64")
+        return pd.Series(held[0].texts(list(texts)).tolist())
 
     many.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return pandas_udf(many, "double")(F.coalesce(text, F.lit("")))
+    return pandas_udf(many, "array<double>")(F.coalesce(text, F.lit("")))
 
 
 def toxicity(df: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -347,8 +364,8 @@ def toxicity(df: DataFrame, model: Model | None, text: str = "text", threshold:
     if model is None:
         score = F.lit(0.0)
     else:
-        m = _text_margin(F.col(text), model) * model.slope + model.offset
-        score = 1 / (1 + F.exp(-F.least(F.greatest(m, F.lit(-30.0)), F.lit(30.0))))
+        score = let(_text_margins(F.col(text), model), lambda m: m[0] * model.slopes[0] + m[1] * model.slopes[1])
+        score = 1 / (1 + F.exp(-F.least(F.greatest(score + model.offset, F.lit(-30.0)), F.lit(30.0))))
     raw = fresh(df, "tox_score")[0]
     out = df.select(*keep, score.alias(raw))
     return out.select(*keep, F.col(raw).alias("score"), (F.col(raw) >= threshold).cast("int").alias("predicted"))

@@ -33,7 +33,7 @@ def test_gaps_and_insertions(machine):
     s = toxicity.Scorer(model)
     clean = s.texts(["the thing was there and then", "with the other"])
     for text in ("you id*iot there", "what an i d i o t", "stu-pid thing", "1diot"):
-        assert s.texts([text])[0] > clean.max()
+        assert s.texts([text])[0, 0] > clean.max()
 
 
 def test_scores_take_odd_rows(spark, machine):
