@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import strip_histogram_suffix
+from ..functions.plan import with_columns_once
 
 FINDING_COLS = ["check", "subject", "status", "detail"]
 
@@ -73,8 +74,7 @@ def label_coverage(labels: DataFrame, provided_keys: DataFrame, builtin_present:
 
     One left join against the union of key tables; the status comes from a ``when`` chain.
     ``mode="substring"`` reproduces a substring search (a wanted key is covered when it
-    occurs inside any provided key of its scope): the label list is the checked configuration
-    and is broadcast against the distinct provided keys."""
+    occurs inside any provided key of its scope)."""
     scope = F.split_part(F.col("source"), F.lit(":"), F.lit(1))
     key = F.regexp_extract(F.col("source"), r"^[^:]*:(.*)$", 1)
     lab = labels.select("label", "source", scope.alias("scope"), key.alias("key"))
@@ -83,8 +83,7 @@ def label_coverage(labels: DataFrame, provided_keys: DataFrame, builtin_present:
              .distinct().withColumn("__hit", F.lit(True)))
     if mode == "substring":
         hit = (avail.select("scope", F.col("key").alias("pkey"))
-               .join(F.broadcast(lab.select("label", "scope", "key")),
-                     ["scope"]).filter(F.contains(F.col("pkey"), F.col("key")))
+               .join(lab.select("label", "scope", "key"), ["scope"]).filter(F.contains(F.col("pkey"), F.col("key")))
                .select("label").distinct().withColumn("__hit", F.lit(True)))
         j = lab.join(hit, "label", "left")
     else:
@@ -175,11 +174,13 @@ def contains_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_text: str
 
     * Needles of k >= 3 tokens: their middle tokens 2..k-1 must appear in the hay as whole,
       consecutive tokens (the first and last may be glued to neighbouring text). The key is
-      the hash of the first min(k-2, n) middle tokens, joined against the hash of every hay
-      token gram of that length (one pass per gram length present, at most n).
+      the hash of the first min(k-2, n) middle tokens, joined against the distinct token grams
+      of each hay text, all lengths in one pass.
     * Needles of 1-2 tokens: their longer token is a substring of one hay token. The key is
       every substring of the distinct hay vocabulary with a length some anchor has; the
       matching vocabulary is mapped back to the documents that use it.
+
+    Which lengths occur is a scalar subquery of the same job, so the plan does not depend on the needles.
     """
     nd = needles.select(F.col(needle_id).alias("nid"), F.col(needle_text).alias("ntext"))
     nd = nd.withColumn("ntok", _tokens(F.col("ntext")))
@@ -189,41 +190,30 @@ def contains_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_text: str
     glen = F.least(F.size("ntok") - F.lit(2), F.lit(n))
     mid = nd.filter(F.size("ntok") >= 3).select(
         "nid", glen.alias("L"),
-        F.xxhash64(F.transform(F.slice("ntok", F.lit(2), glen), lambda w: F.xxhash64(w))).alias("h"))
-    lengths = sorted(r.L for r in mid.select("L").distinct().collect())  # a subset of 1..n
-    th = hy.select("hid", F.transform(_tokens(F.col("htext")), lambda w: F.xxhash64(w)).alias("th"))
-    grams = None
-    for L in lengths:
-        g = th.filter(F.size("th") >= L).select(
-            "hid", F.lit(L).alias("L"),
-            F.explode(F.transform(F.sequence(F.lit(1), F.size("th") - F.lit(L - 1)),
-                                  lambda i: F.xxhash64(F.slice("th", i, L)))).alias("h"))
-        grams = g if grams is None else grams.unionByName(g)
-    cands = []
-    if grams is not None:
-        cands.append(grams.join(mid, ["L", "h"]).select("hid", "nid"))
+        F.xxhash64(glen, F.transform(F.slice("ntok", F.lit(2), glen), lambda w: F.xxhash64(w))).alias("h"))
+    th = with_columns_once(hy.select("hid", "htext"), {
+        "th": F.transform(_tokens(F.col("htext")), lambda w: F.xxhash64(w)),
+        "lens": F.coalesce(mid.agg(F.collect_set("L")).scalar(), F.array().cast("array<int>"))})
+    grams = F.array_distinct(F.flatten(F.transform(
+        F.filter("lens", lambda L: F.size("th") >= L),
+        lambda L: F.transform(F.sequence(F.lit(1), F.size("th") - L + 1),
+                              lambda i: F.xxhash64(L, F.slice("th", i, L))))))  # longs: distinct by hashing
+    cand = th.select("hid", F.explode(grams).alias("h")).join(mid, "h").select("hid", "nid")
 
     # ---- k <= 2: substrings of the vocabulary
     t0, t1 = F.get(F.col("ntok"), 0), F.get(F.col("ntok"), 1)
     anchor = F.when(F.size("ntok") == 1, t0).when(F.length(t1) > F.length(t0), t1).otherwise(t0)
     short = nd.filter(F.size("ntok") <= 2).select("nid", anchor.alias("sub"))
-    alens = sorted(r.l for r in short.select(F.length("sub").alias("l")).distinct().collect())
-    if alens:
-        vocab = hy.select("hid", F.explode(F.array_distinct(_tokens(F.col("htext")))).alias("tok"))
-        words = vocab.select("tok").distinct()
-        subs = None
-        for ln in alens:
-            sw = words.filter(F.length("tok") >= ln).select(
-                "tok", F.explode(F.transform(F.sequence(F.lit(1), F.length("tok") - F.lit(ln - 1)),
-                                             lambda i: F.substring(F.col("tok"), i, ln))).alias("sub"))
-            subs = sw if subs is None else subs.unionByName(sw)
-        hit = subs.join(short, "sub").select("tok", "nid").distinct()
-        cands.append(vocab.join(hit, "tok").select("hid", "nid"))
-
-    if not cands:
-        return hy.select(F.col("hid").alias(hay_id), F.lit(None).cast(nd.schema["nid"].dataType).alias(needle_id)) \
-            .filter(F.lit(False))
-    cand = cands[0] if len(cands) == 1 else cands[0].unionByName(cands[1])
+    alens = F.coalesce(short.agg(F.collect_set(F.length("sub"))).scalar(), F.array().cast("array<int>"))
+    vocab = hy.withColumn("any", F.size(alens) > 0).filter("any").select(
+        "hid", F.explode(F.array_distinct(_tokens(F.col("htext")))).alias("tok"))
+    words = with_columns_once(vocab.select("tok").distinct(), {"lens": alens})
+    subs = words.select("tok", F.explode(F.array_distinct(F.flatten(F.transform(
+        F.filter("lens", lambda k: F.length("tok") >= k),
+        lambda k: F.transform(F.sequence(F.lit(1), F.length("tok") - k + 1),
+                              lambda i: F.substring(F.col("tok"), i, k)))))).alias("sub"))
+    hit = subs.join(short, "sub").select("tok", "nid").distinct()
+    cand = cand.unionByName(vocab.join(hit, "tok").select("hid", "nid"))
     cand = cand.distinct()
     pairs = (cand.join(hy, "hid").join(nd.select("nid", "ntext"), "nid")
              .filter(F.contains(F.col("htext"), F.col("ntext"))).select("hid", "nid"))
@@ -233,8 +223,8 @@ def contains_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_text: str
 def probe(samples: DataFrame, catalog: DataFrame) -> DataFrame:
     """AG-10: per catalogued selector (here: a metric name) the number of series and the
     first sample value; PASS when non-empty. One pass over the samples for all selectors:
-    the catalog is a fixed list (bounded), broadcast; the per-query aggregate is partial."""
-    sel = samples.join(F.broadcast(catalog.select("metric").distinct()), "metric")
+    the per-query aggregate is partial, and Spark broadcasts the catalog where its size allows."""
+    sel = samples.join(catalog.select("metric").distinct(), "metric")
     a = sel.groupBy("metric").agg(
         F.countDistinct("series_id").alias("n_series"),
         F.min_by("value", F.struct("series_id", "ts_ns", "value")).alias("first_value"))
