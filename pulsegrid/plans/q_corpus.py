@@ -293,3 +293,73 @@ SELECT file, line_no, section, line FROM f WHERE NOT regexp_matches(line, '^\\s*
 def q_section_fill(spark, d):
     filled = LT.fill_section(query_lines(routed(spark, d)), chunk=100_000)
     return S.strip_comments(filled).select("file", "line_no", "section", "line")
+
+
+# ---------------------------------------------------------------- main coverage flow (JN-1, SC-2, JN-7; SC-6 against decoded spans)
+
+REQUIRED_METRICS = [*DASHBOARD_METRICS, "app_view_requests_total", "app_purchase_size_bytes",
+                    "app_click_duration_seconds_bucket"]
+_required = ", ".join(f"('{m}')" for m in REQUIRED_METRICS)
+
+
+@query("metric_coverage", f"""WITH p AS (SELECT DISTINCT CASE event_type
+    WHEN 'view' THEN 'app_view_requests_total' WHEN 'signup' THEN 'app_signup_sessions_ratio'
+    WHEN 'purchase' THEN 'app_purchase_size_bytes' WHEN 'error' THEN 'app_error_latency_milliseconds'
+    ELSE 'app_click_duration_seconds' END AS name FROM events),
+r AS (SELECT * FROM (VALUES {_required}) t(name)),
+c AS (SELECT r.name, p.name IS NOT NULL AS hit FROM r LEFT JOIN p ON regexp_replace(r.name, '_bucket$', '') = p.name)
+SELECT 'metric' AS "check", name AS subject, CASE WHEN hit THEN 'PASS' ELSE 'FAIL' END AS status,
+       CASE WHEN hit THEN 'covered' ELSE 'missing' END AS detail FROM c
+UNION ALL SELECT 'metric', name, 'WARN', 'provided, in no required list' FROM p
+WHERE name NOT IN (SELECT regexp_replace(name, '_bucket$', '') FROM r)""")
+def q_metric_coverage(spark, d):
+    """Names decoded from the export requests and normalised, against the required metrics."""
+    from .q_sources import otlp_metrics
+
+    s, h = otlp_metrics(spark, d)
+    provided = s.select(F.col("metric").alias("name")).unionByName(h.select(F.col("metric").alias("name"))).distinct()
+    required = C.literal_table(spark, [(m,) for m in REQUIRED_METRICS], "full string").withColumn(
+        "name", N.strip_histogram_suffix("full"))
+    hit = required.join(provided.withColumn("hit", F.lit(True)), "name", "left")
+    found = hit.select(*C.finding("metric", F.col("full"), F.when(F.col("hit"), "PASS").otherwise("FAIL"),
+                                  F.when(F.col("hit"), "covered").otherwise("missing")))
+    extra = provided.join(required, "name", "left_anti")
+    return C.union_findings(found, extra.select(
+        *C.finding("metric", F.col("name"), "WARN", F.lit("provided, in no required list"))))
+
+
+_named = ", ".join(f"('{s}', '{a}')" for s, a in
+                   [("span", x) for x in [*DEFAULT_SPAN_ATTRS, "duration", "messaging.system"]]
+                   + [("resource", x) for x in DEFAULT_RESOURCE_ATTRS] + [("resource", "host.name")])
+
+
+@query("span_attr_coverage", f"""WITH k AS (
+  SELECT 'span' AS scope, unnest(['http.request.method', 'http.route', 'http.response.status_code', 'priority']) AS attr
+  FROM orders
+  UNION ALL SELECT 'span', unnest(['db.system', 'db.name', 'db.statement', 'part'])
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  UNION ALL SELECT 'resource', unnest(['service.name', 'service.namespace', 'deployment.environment.name']) FROM orders)
+SELECT 'trace_attribute' AS "check", n.scope || '.' || n.attr AS subject,
+       CASE WHEN n.attr IN ('kind', 'status', 'duration', 'name', 'rootName', 'rootServiceName', 'traceID', 'spanID', 'http.url')
+              OR h.attr IS NOT NULL THEN 'PASS' ELSE 'FAIL' END AS status,
+       CASE WHEN n.attr = 'duration' THEN 'intrinsic' WHEN h.attr IS NOT NULL THEN 'attribute' ELSE 'missing' END AS detail
+FROM (VALUES {_named}) n(scope, attr) LEFT JOIN (SELECT DISTINCT * FROM k) h ON n.scope = h.scope AND n.attr = h.attr""")
+def q_span_attr_coverage(spark, d):
+    """Attributes that trace queries name must be intrinsics or keys of the decoded spans."""
+    from ..operators.traces import INTRINSICS
+    from ..sources import otlp as O
+    from .adapters import a_spans
+    from .otlp_adapter import a_otlp_spans
+
+    spans = O.parse_otlp_spans(a_otlp_spans(a_spans(read_table(spark, d, "orders"), read_table(spark, d, "lineitem"))), "json")
+    keys = F.flatten(F.array(
+        F.transform(F.map_keys("attrs"), lambda k: F.struct(F.lit("span").alias("scope"), k.alias("attr"))),
+        F.transform(F.map_keys("res"), lambda k: F.struct(F.lit("resource").alias("scope"), k.alias("attr")))))
+    provided = spans.select(F.inline(keys)).distinct().withColumn("hit", F.lit(True))
+    rows = [("span", x) for x in [*DEFAULT_SPAN_ATTRS, "duration", "messaging.system"]]
+    rows += [("resource", x) for x in [*DEFAULT_RESOURCE_ATTRS, "host.name"]]
+    named = C.literal_table(spark, rows, "scope string, attr string").join(provided, ["scope", "attr"], "left")
+    own = F.col("attr").isin(*INTRINSICS)
+    detail = F.when(own, "intrinsic").when(F.col("hit"), "attribute").otherwise("missing")
+    return named.select(*C.finding("trace_attribute", F.concat_ws(".", "scope", "attr"),
+                                   F.when(detail == "missing", "FAIL").otherwise("PASS"), detail))
