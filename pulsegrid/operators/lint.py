@@ -83,15 +83,18 @@ def check_tags(spark: SparkSession, tags: DataFrame) -> DataFrame:
 
 
 def check_rule_lines(spark: SparkSession, rules: DataFrame) -> DataFrame:
-    """LT-8: a rule expression line filtering ``level=`` without ``detected_level``; the finding
-    carries the 1-based line number inside the expression."""
-    lines = rules.select("path", "alert", F.posexplode(F.split(F.col("expr"), "\n")).alias("i", "line"))
+    """LT-8: a rule expression line filtering ``level=`` without ``detected_level``; the finding names
+    file, group, rule and the 1-based line inside the expression. A rule whose hold time is no
+    duration (``for_ns`` NULL) is a finding of its own."""
+    lines = rules.select("path", "grp", "alert", F.posexplode(F.split(F.col("expr"), "\n")).alias("i", "line"))
     bad = lines.filter(F.col("line").contains("level=") & ~F.col("line").contains("detected_level")
                        & ~F.col("line").rlike(r"^\s*#"))
     viol = bad.select(*finding("loki_rule_level",
-                               F.concat_ws(":", F.col("path"), (F.col("i") + 1).cast("string")),
+                               F.concat_ws(":", "path", "grp", "alert", (F.col("i") + 1).cast("string")),
                                "FAIL", F.trim(F.col("line"))))
-    return viol.unionByName(_pass_when_empty(spark, viol, ["loki_rule_level"]))
+    held = rules.filter(F.col("for_ns").isNull()).select(*finding(
+        "rule_duration", F.concat_ws(":", "path", "grp", "alert"), "FAIL", "no duration"))
+    return viol.unionByName(_pass_when_empty(spark, viol, ["loki_rule_level"])).unionByName(held)
 
 
 # ---------------------------------------------------------------- WN-1

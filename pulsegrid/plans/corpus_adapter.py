@@ -83,7 +83,7 @@ def a_dashboards(events: DataFrame) -> DataFrame:
 
 RULE_PATH = "'rules/user-' || CAST(user_id AS STRING) || '.json'"
 RULE_LEVEL = "CASE WHEN user_id % 5 = 0 THEN 'level=\"ERROR\"' ELSE 'detected_level=\"ERROR\"' END"
-RULE_FOR = "CASE user_id % 3 WHEN 0 THEN '1m' WHEN 1 THEN '5m' ELSE '10m' END"
+RULE_FOR = "CASE user_id % 3 WHEN 0 THEN '1m' WHEN 1 THEN '5m' ELSE '1h30m' END"
 RULE_SEVERITY = "CASE WHEN user_id % 2 = 0 THEN 'critical' ELSE 'warning' END"
 
 

@@ -111,7 +111,7 @@ lg AS (SELECT 'tempo_tag_scope' AS "check", subject, 'FAIL' AS status, key AS de
        UNION ALL SELECT 'tempo_tag_scope', '*', 'PASS', 'no violation'
        WHERE NOT EXISTS (SELECT 1 FROM tags WHERE key = 'service.name')),
 ru AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id),
-rl AS (SELECT {A.RULE_PATH} AS path,
+rl AS (SELECT {A.RULE_PATH} || ':users-' || CAST(user_id % 10 AS STRING) || ':UserErrors' || CAST(user_id AS STRING) AS path,
               string_split('sum(count_over_time({{service_name="svc-' || CAST(user_id % 8 AS STRING) || '"}}' || chr(10)
                            || '  | ' || {A.RULE_LEVEL} || ' [5m]))' || chr(10) || '  > ' || CAST(n AS STRING), chr(10))
                 AS lines FROM ru),
@@ -133,12 +133,6 @@ def q_dashboard_targets(spark, d):
     return targets(spark, d)
 
 
-@query("dashboard_targets_2level", f"""WITH {TG_SQL}
-SELECT path, panel_id, ds_type, ds_uid, ref, expr, query FROM tg""")
-def q_dashboard_targets_2level(spark, d):
-    return S.dashboard_targets_2level(docs(spark, d))
-
-
 @query("routed_queries", f"""WITH {TG_SQL}
 SELECT path, panel_id, lang, {substitute_sql('text')} AS query,
        CASE WHEN regexp_matches(text, '(rate|count_over_time|sum|avg|topk)\\(') THEN 'instant' ELSE 'range' END AS kind,
@@ -156,7 +150,7 @@ SELECT {A.RULE_PATH} AS path, 'users-' || CAST(user_id % 10 AS STRING) AS grp,
        'UserErrors' || CAST(user_id AS STRING) AS alert,
        'sum(count_over_time({{service_name="svc-' || CAST(user_id % 8 AS STRING) || '"}}' || chr(10)
          || '  | ' || {A.RULE_LEVEL} || ' [5m]))' || chr(10) || '  > ' || CAST(n AS STRING) AS expr,
-       CASE user_id % 3 WHEN 0 THEN 60000000000 WHEN 1 THEN 300000000000 ELSE 600000000000 END AS for_ns,
+       CASE user_id % 3 WHEN 0 THEN 60000000000 WHEN 1 THEN 300000000000 ELSE 5400000000000 END AS for_ns,
        {A.RULE_SEVERITY} AS severity
 FROM ru""")
 def q_rules_loaded(spark, d):

@@ -160,5 +160,5 @@ def load_rules(files: DataFrame, path: str = "path", text: str = "json") -> Data
     r = g.select(path, F.col("g.name").alias("grp"), F.explode("g.rules").alias("r"))
     return r.filter(F.col("r.expr").isNotNull()).select(
         path, "grp", F.coalesce(F.col("r.alert"), F.col("r.record")).alias("alert"), F.col("r.expr").alias("expr"),
-        F.coalesce(duration_ns_col(F.col("r.for")), F.lit(0)).alias("for_ns"),
+        F.when(F.col("r.for").isNull(), 0).otherwise(duration_ns_col(F.col("r.for"))).alias("for_ns"),
         F.col("r.labels")["severity"].alias("severity"), F.col("r.annotations").alias("annotations"))
