@@ -122,8 +122,8 @@ def _by_length(words: list[str]):
             g[0].append(i)
             g[1].append(x)
     for places, rows in groups.values():
-        for at in range(0, len(rows), 2000):
-            yield places[at:at + 2000], rows[at:at + 2000]
+        for at in range(0, len(rows), 1000):
+            yield places[at:at + 1000], rows[at:at + 1000]
 
 
 @dataclass
@@ -153,7 +153,13 @@ class Scorer:
         self.model, self.memo = model, {}
 
     def texts(self, texts: list[str | None]):
-        """The two highest word margins of each text, texts x 2."""
+        """The two highest word margins of each text, texts x 2; a few texts' words are held at a time."""
+        import numpy as np
+
+        parts = [self._few(texts[i:i + 128]) for i in range(0, len(texts), 128)]
+        return np.concatenate(parts) if parts else np.zeros((0, 2))
+
+    def _few(self, texts: list[str | None]):
         import numpy as np
 
         split = [words_of(t) if t else [] for t in texts]
