@@ -142,7 +142,8 @@ def overlaps(wide: DataFrame, at: dict, block: int = BLOCK, seed: int = SEED) ->
         F.floor(F.col("start") / block).cast("long"), F.floor((end - 1) / block).cast("long"))))
     lo = F.greatest(F.col("start"), F.col("block") * block)
     hi = F.least(end, (F.col("block") + 1) * block)
-    met = pieces.join(slots(at["plan"], block, seed), ["rank", "block"])
+    # slots grow with the words, though they are made from a small table: never a broadcast
+    met = pieces.join(slots(at["plan"], block, seed).hint("merge"), ["rank", "block"])
     words = F.least(hi, F.col("block") * block + F.col("words")) - lo
     return met.select("rank", "start", (lo - F.col("start")).alias("lo"), "pass", "place",
                       words.alias("words")).filter("words > 0")
