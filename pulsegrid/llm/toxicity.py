@@ -40,12 +40,13 @@ from pyspark.sql.functions import pandas_udf
 
 from .common import fresh, let, settle
 
-MAX_TOXIC, MAX_CLEAN = 1000, 2000
+MAX_TOXIC, MAX_CLEAN = 1000, 3000
 MAX_NEGATIVE, HARD_NEGATIVE, MAX_POSITIVE = 4000, 1500, 1200
 LANDMARKS = 300
 DECAY, ORDER, WINDOW, ALPHABET = 0.6, 3, 18, 64
 ROUNDS = 2
 THRESHOLD = 0.7
+TOXIC_SHARE = 1 / 3
 TABLE_BITS = 20  # subsequences are hashed into the table; meetings are rare and harmless
 MEMO = 400_000
 
@@ -103,13 +104,14 @@ def subsequences(rows):
     codes = (codes * 2654435761 & 0xFFFFFFFF) >> (32 - TABLE_BITS)
     if not codes.shape[1]:
         return codes, weight, np.zeros(len(x))
-    row = np.arange(len(x), dtype="i8")[:, None]
-    flat = (codes + row * (1 << TABLE_BITS)).ravel()
-    order = np.argsort(flat, kind="stable")
-    keys = flat[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    sums = np.add.reduceat(np.tile(weight, len(x))[order], first)
-    norm = np.bincount(keys[first] // (1 << TABLE_BITS), weights=sums ** 2, minlength=len(x))
+    # equal subsequences of a row meet by sorting (row, code, span); the span gives the weight back
+    span = at[:, -1] - at[:, 0] + 1
+    row = np.arange(len(x), dtype="i8")[:, None] << TABLE_BITS
+    keys = np.sort(((row + codes) << 5) + span, axis=1).ravel()
+    groups = keys >> 5
+    first = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+    sums = np.add.reduceat((DECAY ** np.arange(32.0))[keys & 31], first)
+    norm = np.bincount(groups[first] >> TABLE_BITS, weights=sums ** 2, minlength=len(x))
     return codes, weight, np.sqrt(norm)
 
 
@@ -239,19 +241,23 @@ def altered(words: list[str]) -> list[str]:
 
 def _curve(margin, y) -> tuple[list[float], float]:
     """Slopes and offset of a logistic curve over the two highest margins: damped Newton steps, with a
-    weak pull of the slopes to 3."""
+    weak pull of the slopes to 3. Toxic texts weigh ``TOXIC_SHARE`` together whatever the sample's
+    shares are, so that scores mean the same for few and many labels."""
     import numpy as np
 
+    up = (y > 0).sum()
+    weight = np.where(y > 0, TOXIC_SHARE / max(up, 1), (1 - TOXIC_SHARE) / max(len(y) - up, 1))
+
     goal, pull = np.array([3.0, 3.0, -3.0]), np.array([2e-4, 2e-4, 1e-9])
     x, p = np.c_[margin, np.ones(len(margin))], goal.copy()
 
     def loss(p):
-        return np.logaddexp(0, -y * (x @ p)).mean() + (pull * (p - goal) ** 2).sum() / 2
+        return (weight * np.logaddexp(0, -y * (x @ p))).sum() + (pull * (p - goal) ** 2).sum() / 2
 
     for _ in range(60):
         q = 1 / (1 + np.exp(-np.clip(x @ p, -30, 30)))
-        grad = x.T @ (q - (y > 0)) / len(y) + pull * (p - goal)
-        hess = x.T @ (x * (q * (1 - q))[:, None]) / len(y) + np.diag(pull)
+        grad = x.T @ (weight * (q - (y > 0))) + pull * (p - goal)
+        hess = x.T @ (x * (weight * q * (1 - q))[:, None]) + np.diag(pull)
         step, size = np.linalg.solve(hess, grad), 1.0
         while loss(p - size * step) > loss(p) and size > 1e-6:
             size /= 2
