@@ -11,9 +11,13 @@ with nothing; vectors of different lengths do not link.
 * A round joins the graph with itself at every class: its neighbours and the classes it is a
   neighbour of are compared with each other, and lists improve. Rounds go on until hardly any list
   changes.
-* Threshold edges form components. A list full of links is saturated, so the lists of a
-  component's members are enlarged to the whole component: it is compared with itself in blocks,
-  exactly, keeping counts instead of pairs.
+* Lists are cut to ``K``, links are not: each cell and each join also gives a spanning forest of
+  all its pairs at the threshold, and components are formed from lists and forests together.
+* A list full of links is saturated and can hide a link that leaves its component. So the classes
+  with such lists are searched again, with lists of the nearest outside their own component, until
+  no link between two components is found.
+* The members of a component are compared with each other in blocks, exactly, keeping counts
+  instead of pairs.
 * Recall is audited on ``AUDIT`` classes of smallest hash against all classes. Below ``RECALL``,
   another set of projections and rounds follows, until the recall is reached or ``SETS`` are used.
 
@@ -87,54 +91,91 @@ def _gather(pieces, names, types):
     return pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(cols, types)], names)
 
 
-def _nearest(batches):
-    """Per cell: each member's K nearest within the cell."""
+def _forest(near):
+    """(child, parent) places of a spanning forest of a symmetric relation."""
     import numpy as np
 
-    out, rows = [], 0
-    for _, t in _runs(batches, 3):
-        ids, x = t.column("cls").to_numpy(), _matrix(t.column("v"))
-        if len(ids) < 2:
-            continue
-        cos = x @ x.T
-        np.fill_diagonal(cos, -2)
-        k = min(K, len(ids) - 1)
-        best = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-        out.append((np.repeat(ids, k), ids[best.ravel()], np.take_along_axis(cos, best, 1).ravel()))
-        rows += out[-1][0].size
-        if rows > 200_000:
-            yield _gather(out, ["a", "b", "cos"], ["i8", "i8", "f8"])
-            out, rows = [], 0
-    yield _gather(out, ["a", "b", "cos"], ["i8", "i8", "f8"])
-
-
-def _better(batches):
-    """Per class: its neighbours compared with each other; pairs above the first one's list end."""
+    child, parent, free = [np.zeros(0, "i8")], [np.zeros(0, "i8")], near.any(axis=1)
+    for s in np.flatnonzero(free):
+        stack, free[s] = [s] if free[s] else [], False
+        while stack:
+            u = stack.pop()
+            new = np.flatnonzero(near[u] & free)
+            free[new] = False
+            child.append(new)
+            parent.append(np.full(len(new), u))
+            stack.extend(new)
+    return np.concatenate(child), np.concatenate(parent)
+
+
+_PAIRS = ["a", "b", "cos", "link"], ["i8", "i8", "f8", "?"]
+
+
+def _linked(ids, cos, threshold):
+    """Rows of ``_PAIRS``: a spanning forest of the pairs at the threshold."""
+    import numpy as np
+
+    child, parent = _forest(cos >= threshold)
+    return ids[child], ids[parent], cos[child, parent], np.ones(len(child), bool)
+
+
+def _pairs(keys: int, threshold: float, choose):
+    """Per run of equal keys: the list entries that ``choose`` takes and the forest of links, of
+    pairs with different roots only."""
+    def run(batches):
+        import numpy as np
+
+        out, rows = [], 0
+        for _, t in _runs(batches, keys):
+            ids, root, x = t.column("cls").to_numpy(), t.column("root").to_numpy(), _matrix(t.column("v"))
+            cos = x @ x.T
+            cos[root[:, None] == root] = -2
+            i, j = choose(cos, t)
+            out.append((ids[i], ids[j], cos[i, j], np.zeros(len(i), bool)))
+            out.append(_linked(ids, cos, threshold))
+            rows += len(i) + len(out[-1][0])
+            if rows > 200_000:
+                yield _gather(out, *_PAIRS)
+                out, rows = [], 0
+        yield _gather(out, *_PAIRS)
+    return run
+
+
+def _nearest(cos, t):
+    """Each member's K nearest within the cell."""
     import numpy as np
 
-    out, rows = [], 0
-    for _, t in _runs(batches, 1):
-        ids, x, least = t.column("cls").to_numpy(), _matrix(t.column("v")), t.column("least").to_numpy()
-        cos = x @ x.T
-        np.fill_diagonal(cos, -2)
-        i, j = np.nonzero(cos > least[:, None])
-        if len(i):
-            out.append((ids[i], ids[j], cos[i, j]))
-            rows += len(i)
-        if rows > 200_000:
-            yield _gather(out, ["a", "b", "cos"], ["i8", "i8", "f8"])
-            out, rows = [], 0
-    yield _gather(out, ["a", "b", "cos"], ["i8", "i8", "f8"])
-
-
-def _top(pairs: DataFrame, by: str = "a", k: int = K) -> DataFrame:
-    """The k nearest of each class; the window group limit cuts hubs before the shuffle."""
-    w = Window.partitionBy(by).orderBy(F.desc("cos"), "b" if by == "a" else "a")
+    k = min(K, len(cos) - 1)
+    if not k:
+        return np.zeros(0, "i8"), np.zeros(0, "i8")
+    best = np.argpartition(-cos, k - 1, axis=1)[:, :k]
+    i, j = np.repeat(np.arange(len(cos)), k), best.ravel()
+    real = cos[i, j] > -2
+    return i[real], j[real]
+
+
+def _better(cos, t):
+    """Pairs above the first one's list end."""
+    import numpy as np
+
+    return np.nonzero(cos > t.column("least").to_numpy()[:, None])
+
+
+def _top(pairs: DataFrame, k: int = K) -> DataFrame:
+    """The k nearest that each class is in the list of; the window group limit cuts hubs before the shuffle."""
+    w = Window.partitionBy("b").orderBy(F.desc("cos"), "a")
     return pairs.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
 
-def start(points: DataFrame, seed: int) -> DataFrame:
-    """(a, b, cos): nearest neighbours within random-projection cells."""
+def _lists(pairs: DataFrame) -> DataFrame:
+    """(a, b, cos, link, new, place): the K nearest of each class, and all links of the forests."""
+    pairs = pairs.groupBy("a", "b").agg(F.max("cos").alias("cos"), F.max("link").alias("link"), F.min("new").alias("new"))
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("cos"), "b"))
+    return settle(pairs.withColumn("place", place).filter((F.col("place") <= K) | F.col("link")))
+
+
+def start(points: DataFrame, seed: int, threshold: float) -> DataFrame:
+    """(a, b, cos, link): nearest neighbours and links within random-projection cells."""
     groups = points.groupBy("group").agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d"))
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / CELL))).cast("int")
     groups = settle(groups.select(F.col("group").alias("g"), bits.alias("bits")))
@@ -145,38 +186,56 @@ def start(points: DataFrame, seed: int) -> DataFrame:
         plane = F.transform("v", lambda x, i: x * ((F.pmod(F.xxhash64(F.lit(seed), b, i), F.lit(2001)) - 1000) / 1000))
         return F.when(F.aggregate(plane, F.lit(0.0), lambda a, x: a + x) > 0, "1").otherwise("0")
     code = F.array_join(F.transform(F.sequence(F.lit(0), F.col("bits")), side), "")
-    cells = settle(wide.select("group", code.alias("code"), "cls", "v"))
+    cells = settle(wide.select("group", code.alias("code"), "cls", "root", "v"))
     full = settle(cells.groupBy("group", "code").agg(F.ceil(F.count("*") / BLOCK).alias("parts")).filter("parts > 1")
                   .select(F.col("group").alias("g"), F.col("code").alias("c"), "parts"))
     cells = join_sized(cells, full, (F.col("group") == F.col("g")) & (F.col("code") == F.col("c")))
     part = F.pmod(F.xxhash64("cls", F.lit(seed)), F.coalesce("parts", F.lit(1)))
-    cells = cells.select("group", "code", part.alias("part"), "cls", "v")
+    cells = cells.select("group", "code", part.alias("part"), "cls", "root", "v")
     return cells.repartition("group", "code", "part").sortWithinPartitions("group", "code", "part").mapInArrow(
-        _nearest, "a long, b long, cos double")
+        _pairs(3, threshold, _nearest), "a long, b long, cos double, link boolean")
 
 
-def descend(points: DataFrame, graph: DataFrame) -> DataFrame:
-    """The graph after rounds of neighbours-of-neighbours joins."""
+def descend(points: DataFrame, first: DataFrame, threshold: float, also: DataFrame | None = None) -> DataFrame:
+    """The graph after rounds of neighbours-of-neighbours joins; ``also`` (a, b) are neighbours that
+    take part in the joins without being in a list."""
+    graph = _lists(first.withColumn("new", F.lit(1)))
     for _ in range(MAX_ROUNDS):
-        ends = graph.groupBy("a").agg(F.count("*").alias("n"), F.min("cos").alias("low"))
+        near = graph.filter(F.col("place") <= K)
+        ends = near.groupBy("a").agg(F.count("*").alias("n"), F.min("cos").alias("low"))
         ends = ends.select(F.col("a").alias("e"), F.when(F.col("n") < K, -2.0).otherwise(F.col("low")).alias("least"))
-        meet = (graph.select(F.col("a").alias("at"), F.col("b").alias("m"))
-                .unionByName(_top(graph, "b").select(F.col("b").alias("at"), F.col("a").alias("m")))
-                .unionByName(graph.select(F.col("a").alias("at"), F.col("a").alias("m"))).distinct())
-        known = points.select("cls", "v").join(ends, F.col("cls") == F.col("e")).drop("e")
-        members = meet.join(known, F.col("m") == F.col("cls")).select("at", "cls", "least", "v")
-        found = members.repartition("at").sortWithinPartitions("at").mapInArrow(_better, "a long, b long, cos double")
-        old = graph.select("a", "b", "cos", F.lit(0).alias("new"))
-        both = old.unionByName(found.withColumn("new", F.lit(1))).groupBy("a", "b").agg(
-            F.max("cos").alias("cos"), F.min("new").alias("new"))
-        graph = settle(_top(both).drop("place"))
-        n, new = graph.agg(F.count("*"), F.sum("new")).first()
-        graph = graph.drop("new")
+        meet = (near.select(F.col("a").alias("at"), F.col("b").alias("m"))
+                .unionByName(_top(near.drop("place")).select(F.col("b").alias("at"), F.col("a").alias("m")))
+                .unionByName(near.select(F.col("a").alias("at"), F.col("a").alias("m"))))
+        if also is not None:
+            meet = meet.unionByName(also.select(F.col("a").alias("at"), F.col("b").alias("m")))
+        known = points.select("cls", "root", "v").join(ends, F.col("cls") == F.col("e"), "left").drop("e").fillna(-2.0, ["least"])
+        members = meet.distinct().join(known, F.col("m") == F.col("cls")).select("at", "cls", "root", "least", "v")
+        found = members.repartition("at").sortWithinPartitions("at").mapInArrow(
+            _pairs(1, threshold, _better), "a long, b long, cos double, link boolean")
+        old = graph.select("a", "b", "cos", "link", F.lit(0).alias("new"))
+        graph = _lists(old.unionByName(found.withColumn("new", F.lit(1))))
+        n, new = graph.filter(F.col("place") <= K).agg(F.count("*"), F.sum("new")).first()
         if (new or 0) <= SETTLED * n:
             break
     return graph
 
 
+def leaving(points: DataFrame, graph: DataFrame, roots: DataFrame, seed: int, threshold: float) -> DataFrame | None:
+    """(a, b): links between different components of classes whose list is full of links; None: there are none."""
+    near = graph.filter((F.col("place") <= K) & (F.col("cos") >= threshold))
+    full = near.groupBy("a").agg(F.count("*").alias("n")).filter(F.col("n") >= K).select("a")
+    rows = points.join(full, F.col("cls") == F.col("a"), "left_semi").join(roots, F.col("cls") == F.col("node"), "left")
+    rows = settle(rows.select("cls", "group", "v", F.coalesce("root", "cls").alias("root")))
+    many = rows.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("group")
+    rows = settle(rows.join(many, "group", "left_semi"))
+    if rows.isEmpty():
+        return None
+    first = start(rows, seed, threshold).unionByName(start(rows, seed + 1, threshold))
+    found = settle(descend(rows, first, threshold, near).filter(F.col("cos") >= threshold).select("a", "b"))
+    return None if found.isEmpty() else found
+
+
 def within(points: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     """(cls, links): for every class the weight of the other classes of its component at the threshold.
 
@@ -255,13 +314,18 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     rows = classes(df, key, vector, label)
     slim = settle(rows.select("id", "cls"))
     points = settle(rows.filter("cls is not null").groupBy("cls", "group", "v").agg(F.count("*").alias("n")))
-    graph = None
+    own = points.withColumn("root", F.col("cls"))
+    graph = links = None
     for seed in range(SETS):
-        first = start(points, 2 * seed).unionByName(start(points, 2 * seed + 1))
+        first = start(own, 2 * seed, threshold).unionByName(start(own, 2 * seed + 1, threshold))
         if graph is not None:
-            first = first.unionByName(graph)
-        graph = descend(points, settle(_top(first.groupBy("a", "b").agg(F.max("cos").alias("cos"))).drop("place")))
-        roots = settle(components(graph.filter(F.col("cos") >= threshold).select("a", "b")))
+            first = first.unionByName(graph.select("a", "b", "cos", "link"))
+        graph = descend(own, first, threshold)
+        more, step = graph.filter(F.col("cos") >= threshold).select("a", "b"), 0
+        while more is not None:
+            links = more if links is None else links.unionByName(more)
+            roots = settle(components(links))
+            more, step = leaving(points, graph, roots, 2 * (SETS * (step + 1) + seed), threshold), step + 1
         counts = settle(within(points, roots, threshold))
         if audit(points, counts, threshold) >= RECALL:
             break

@@ -123,3 +123,48 @@ def test_repeated_vectors_and_empty_table(spark):
     assert vectors.near_vectors(spark.createDataFrame([], schema)).count() == 0
     none = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash(none).count() == 0 and simhash.drop_near_duplicates(none).count() == 0
+
+
+def _holds(got, rows):
+    good, links = _links(rows)
+    count = {}
+    for a, _ in links:
+        count[good[a][0]] = count.get(good[a][0], 0) + 1
+    comp = {good[k][0]: good[r][0] for k, r in enumerate(_components(len(good), links))}
+    assert {i: (r.n_links, r.component_id) for i, r in got.items()} == {i: (count.get(i, 0), comp[i]) for i, _, _ in rows}
+
+
+def _group(rng, centre, n, spread):
+    return [(centre + rng.normal(size=len(centre)) * spread).tolist() for _ in range(n)]
+
+
+@pytest.mark.parametrize("cells", [200, 20])
+def test_dense_groups_that_link_less_closely_than_inside(spark, monkeypatch, cells):
+    monkeypatch.setattr(vectors, "CELL", cells)
+    rng = np.random.default_rng(7)
+    one, other = np.linalg.qr(rng.normal(size=(32, 2)))[0].T
+    far = np.cos(0.174) * one + np.sin(0.174) * other
+    vs = _group(rng, one, 100, 0.0025) + _group(rng, far, 100, 0.0025) + _group(rng, rng.normal(size=32), 30, 0.01)
+    rows = [(i, 0, v) for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = {r.vec_id: r for r in vectors.near_vectors(df).collect()}
+    assert [got[i].n_links for i in (0, 100)] == [199, 199]
+    _holds(got, rows)
+
+
+def test_links_between_components_of_full_lists(spark):
+    rng = np.random.default_rng(8)
+    one, other = np.linalg.qr(rng.normal(size=(32, 2)))[0].T
+    far = np.cos(0.174) * one + np.sin(0.174) * other
+    vs = _group(rng, one, 40, 0.0025) + _group(rng, far, 40, 0.0025)
+    points = spark.createDataFrame([(i, 0, v) for i, v in enumerate(vs)], "cls long, group long, v array<double>")
+    x = np.array(vs) / np.linalg.norm(vs, axis=1)[:, None]
+    cos = x @ x.T - 2 * np.eye(80)
+    near = [(a, int(b), float(cos[a, b]), p + 1) for a in range(80) for p, b in enumerate(np.argsort(-cos[a])[:vectors.K])]
+    assert all(a // 40 == b // 40 for a, b, _, _ in near)
+    graph = spark.createDataFrame(near, "a long, b long, cos double, place int")
+    roots = spark.createDataFrame([(i, i // 40 * 40) for i in range(80)], "node long, root long")
+    found = vectors.leaving(points, graph, roots, 0, 0.98).collect()
+    assert found and all(r.a // 40 != r.b // 40 and cos[r.a, r.b] >= 0.98 for r in found)
+    whole = roots.withColumn("root", F.lit(0).cast("long"))
+    assert vectors.leaving(points, graph, whole, 0, 0.98) is None
