@@ -18,8 +18,11 @@ with nothing; vectors of different lengths do not link.
   no link between two components is found.
 * The members of a component are compared with each other in blocks, exactly, keeping counts
   instead of pairs.
-* Recall is audited on ``AUDIT`` classes of smallest hash against all classes. Below ``RECALL``,
-  another set of projections and rounds follows, until the recall is reached or ``SETS`` are used.
+* The result is audited on up to ``AUDIT`` classes each without links, of components up to ``K``
+  and of larger ones, against all classes: the share of groups whose sampled class has all its
+  links, groups of all sizes alike. Below ``RECALL`` another set of projections and rounds follows.
+* When ``SETS`` are used, or no sampled class has a link and so nothing is shown, all classes of a
+  label are compared in blocks, exactly.
 
 Repeated rows (equal id and vector) are vectors of their own and link with each other. A null id
 takes part, but names no component while another row can. Empty tables give empty results.
@@ -27,6 +30,8 @@ takes part, but names no component while another row can. Empty tables give empt
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -236,17 +241,50 @@ def leaving(points: DataFrame, graph: DataFrame, roots: DataFrame, seed: int, th
     return None if found.isEmpty() else found
 
 
+def _blocks(rows: DataFrame, by: str) -> DataFrame:
+    """(by, i, j, is_left, the other columns): each pair of blocks of the classes of equal ``by`` stands together."""
+    sizes = settle(rows.groupBy(by).agg(F.ceil(F.count("*") / BLOCK).alias("cells")).withColumnRenamed(by, "r"))
+    rest = [c for c in rows.columns if c != by]
+    rows = join_sized(rows, sizes, F.col(by) == F.col("r"), "inner").drop("r")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("cells"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
+    rows = rows.select(by, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                       (F.col("own") <= F.col("other")).alias("is_left"), *rest)
+    keys = [by, "i", "j"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def exact(points: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): a spanning forest of the links of each pair of blocks of a group; all pairs are compared."""
+    def run(batches):
+        import numpy as np
+
+        out, rows = [], 0
+        for (_, i, j), t in _runs(batches, 3):
+            left, ids, x = t.column("is_left").to_numpy(), t.column("cls").to_numpy(), _matrix(t.column("v"))
+            if i == j:
+                near = x @ x.T >= threshold
+                np.fill_diagonal(near, False)
+            else:
+                near = np.zeros((len(ids), len(ids)), bool)
+                near[np.ix_(left, ~left)] = x[left] @ x[~left].T >= threshold
+                near |= near.T
+            child, parent = _forest(near)
+            out.append((ids[child], ids[parent]))
+            rows += len(child)
+            if rows > 200_000:
+                yield _gather(out, ["a", "b"], ["i8", "i8"])
+                out, rows = [], 0
+        yield _gather(out, ["a", "b"], ["i8", "i8"])
+
+    return _blocks(points.select("group", "cls", "v"), "group").mapInArrow(run, "a long, b long")
+
+
 def within(points: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     """(cls, links): for every class the weight of the other classes of its component at the threshold.
 
     A component is compared with itself in pairs of blocks; each pair gives counts, not pairs."""
     rows = points.join(roots, F.col("cls") == F.col("node")).select("root", "cls", "n", "v")
-    sizes = settle(rows.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).alias("cells")).withColumnRenamed("root", "r"))
-    rows = join_sized(rows, sizes, F.col("root") == F.col("r"), "inner").drop("r")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("cells"))).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
-    rows = rows.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                       (F.col("own") <= F.col("other")).alias("is_left"), "cls", "n", "v")
 
     def count(batches):
         import numpy as np
@@ -266,16 +304,29 @@ def within(points: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
                 out = []
         yield _gather(out, ["cls", "links"], ["i8", "i8"])
 
-    keys = ["root", "i", "j"]
-    got = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(count, "cls long, links long")
+    got = _blocks(rows, "root").mapInArrow(count, "cls long, links long")
     return got.groupBy("cls").agg(F.sum("links").alias("links"))
 
 
-def audit(points: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the true links of ``AUDIT`` classes that ``counts`` has; the sample is bounded, all classes are read."""
+def audit(points: DataFrame, roots: DataFrame, counts: DataFrame, threshold: float) -> float | None:
+    """Share of the groups that ``counts`` has whole, estimated from sampled classes that have links;
+    None: no sampled class has any.
+
+    Up to ``AUDIT`` classes of smallest hash are taken of each kind (no component, up to ``K`` classes,
+    more), so the sample is bounded; all classes are read. A class stands for the classes of its kind
+    and counts as one of its true links and itself, which makes groups of all sizes alike."""
     import numpy as np
 
-    sample = points.orderBy(F.xxhash64("cls"), "cls").limit(AUDIT).select("cls", "group", "v").collect()
+    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
+    kind = F.when(F.col("size").isNull(), 0).when(F.col("size") <= K, 1).otherwise(2)
+    kinds = settle(points.select("cls").join(roots, F.col("cls") == F.col("node"), "left").join(sizes, "root", "left")
+                   .select("cls", kind.alias("kind")))
+    total = {r[0]: r[1] for r in kinds.groupBy("kind").agg(F.count("*")).collect()}
+    weight = {}
+    for k, n in total.items():
+        some = kinds.filter(F.col("kind") == k).orderBy(F.xxhash64("cls"), "cls").limit(AUDIT).collect()
+        weight.update({r[0]: n / len(some) for r in some})
+    sample = points.filter(F.col("cls").isin(list(weight))).select("cls", "group", "v").collect()
     if not sample:
         return 1.0
     ids, groups = np.array([r[0] for r in sample]), np.array([r[1] for r in sample])
@@ -286,20 +337,22 @@ def audit(points: DataFrame, counts: DataFrame, threshold: float) -> float:
             if not batch.num_rows:
                 continue
             cls, group, n = (batch.column(i).to_numpy() for i in range(3))
-            total = np.zeros(len(ids), "i8")
+            total, many = np.zeros(len(ids), "i8"), np.zeros(len(ids), "i8")
             for g in np.unique(group):
                 mine, rows = np.flatnonzero(groups == g), np.flatnonzero(group == g)
                 if len(mine):
                     x = _matrix(batch.column(3).take(_places(rows)))
                     near = (np.array([vectors[k] for k in mine]) @ x.T >= threshold) & (ids[mine][:, None] != cls[rows])
                     total[mine] += near @ n[rows]
-            yield _gather([(ids, total)], ["c", "links"], ["i8", "i8"])
+                    many[mine] += near.sum(axis=1)
+            yield _gather([(ids, total, many)], ["c", "links", "many"], ["i8", "i8", "i8"])
 
-    real = points.select("cls", "group", "n", "v").mapInArrow(true, "c long, links long").groupBy("c").agg(
-        F.sum("links").alias("links"))
-    seen = real.join(counts.select("cls", F.col("links").alias("found")), F.col("c") == F.col("cls"), "left")
-    got, all_ = seen.agg(F.sum(F.coalesce("found", F.lit(0))), F.sum("links")).first()
-    return 1.0 if not all_ else got / all_
+    real = points.select("cls", "group", "n", "v").mapInArrow(true, "c long, links long, many long").groupBy("c").agg(
+        F.sum("links").alias("links"), F.sum("many").alias("many"))
+    seen = real.filter("many > 0").join(counts.select("cls", F.col("links").alias("found")), F.col("c") == F.col("cls"), "left")
+    seen = seen.select("c", "links", "many", F.coalesce("found", F.lit(0))).collect()
+    share = [(weight[c] / (many + 1), found == links) for c, links, many, found in seen]
+    return sum(w for w, right in share if right) / sum(w for w, _ in share) if share else None
 
 
 def _places(rows):
@@ -327,8 +380,13 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
             roots = settle(components(links))
             more, step = leaving(points, graph, roots, 2 * (SETS * (step + 1) + seed), threshold), step + 1
         counts = settle(within(points, roots, threshold))
-        if audit(points, counts, threshold) >= RECALL:
+        share = audit(points, roots, counts, threshold)
+        if share is None or share >= RECALL:
             break
+    if share is None or share < RECALL:
+        logging.getLogger(__name__).warning("near_vectors: share of whole groups %s, all pairs are compared", share)
+        roots = settle(components(exact(points, threshold)))
+        counts = settle(within(points, roots, threshold))
     per = slim.filter("cls is not null").groupBy("cls").agg(F.min("id").alias("low"), F.count("*").alias("n"))
     per = per.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "low", "n", F.coalesce("root", "cls").alias("root"))
     per = settle(per.join(counts, "cls", "left"))

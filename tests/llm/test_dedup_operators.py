@@ -168,3 +168,23 @@ def test_links_between_components_of_full_lists(spark):
     assert found and all(r.a // 40 != r.b // 40 and cos[r.a, r.b] >= 0.98 for r in found)
     whole = roots.withColumn("root", F.lit(0).cast("long"))
     assert vectors.leaving(points, graph, whole, 0, 0.98) is None
+
+
+@pytest.mark.parametrize("block", [1024, 64])
+def test_lost_small_groups_are_seen_and_found(spark, monkeypatch, block):
+    # a search that is blind to some classes: only the audit can tell, and only all pairs can help
+    monkeypatch.setattr(vectors, "BLOCK", block)
+    monkeypatch.setattr(vectors, "SETS", 1)
+    search = vectors.start
+    monkeypatch.setattr(vectors, "start", lambda points, *a: search(points.filter(F.element_at("v", 1) > 0), *a))
+    rng = np.random.default_rng(9)
+    vs = _group(rng, np.array([3.0] + [0.0] * 15), 150, 0.05)
+    for _ in range(20):
+        v = rng.normal(size=16)
+        v[0] = -3 - abs(v[0])
+        vs += _group(rng, v, 2, 0.001)
+    rows = [(i, 0, v) for i, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = {r.vec_id: r for r in vectors.near_vectors(df).collect()}
+    assert all(got[i].n_links >= 1 for i in range(150, 190))
+    _holds(got, rows)
