@@ -89,7 +89,8 @@ RULE_SEVERITY = "CASE WHEN user_id % 2 = 0 THEN 'critical' ELSE 'warning' END"
 
 def a_rule_files(events: DataFrame) -> DataFrame:
     """events -> one rule document per user: a log alert whose threshold is the user's event count
-    (multi-line expr; every fifth user filters ``level=`` instead of ``detected_level=``)."""
+    (multi-line expr; every fifth user filters ``level=`` instead of ``detected_level=``). A quarter of
+    the documents hold their groups under ``spec``, a quarter in a list of such documents."""
     u = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     expr = F.concat(F.lit('sum(count_over_time({service_name="svc-'), (F.col("user_id") % 8).cast("string"),
                     F.lit('"}\n  | '), F.expr(RULE_LEVEL), F.lit(" [5m]))\n  > "), F.col("n").cast("string"))
@@ -100,7 +101,11 @@ def a_rule_files(events: DataFrame) -> DataFrame:
                                  F.lit("errors for {{ $labels.service_name }}: {{ $value }}")).alias("annotations"))
     grp = F.struct(F.concat(F.lit("users-"), (F.col("user_id") % 10).cast("string")).alias("name"),
                    F.array(rule).alias("rules"))
-    return u.select(F.expr(RULE_PATH).alias("path"), F.to_json(F.struct(F.array(grp).alias("groups"))).alias("json"))
+    groups = F.struct(F.array(grp).alias("groups"))
+    spec = F.struct(F.lit("PrometheusRule").alias("kind"), groups.alias("spec"))
+    deep = F.struct(F.lit("List").alias("kind"), F.array(spec).alias("items"))
+    doc = F.when(F.col("user_id") % 4 == 1, F.to_json(spec)).when(F.col("user_id") % 4 == 3, F.to_json(deep))
+    return u.select(F.expr(RULE_PATH).alias("path"), doc.otherwise(F.to_json(groups)).alias("json"))
 
 
 # ---------------------------------------------------------------- datasource tags

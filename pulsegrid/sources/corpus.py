@@ -146,18 +146,56 @@ def strip_comments(lines: DataFrame, col: str = "line") -> DataFrame:
     return lines.filter(~F.col(col).rlike(r"^\s*(#.*)?$"))
 
 
-RULE_SCHEMA = ("struct<groups:array<struct<name:string,rules:array<struct<alert:string,record:string,"
-               "expr:string,for:string,labels:map<string,string>,annotations:map<string,string>>>>>>")
+_RULE = ("struct<alert:string,record:string,expr:string,for:string,labels:map<string,string>,"
+         "annotations:map<string,string>>")
+_GROUPS = f"groups:array<struct<name:string,rules:array<{_RULE}>>>"
+RULE_SCHEMA = f"struct<{_GROUPS},spec:struct<{_GROUPS}>>"
+
+
+@udtf(returnType="grp string, rule string", useArrow=True)
+class RuleWalk:
+    """Visit every object at any depth; for each object with an ``expr``, emit the ``name`` of the
+    object that holds it (directly or in a list) and the object as JSON. Invalid JSON yields nothing."""
+
+    def eval(self, doc: str):
+        if doc is None:
+            return
+        try:
+            root = json.loads(doc)
+        except ValueError:
+            return
+        stack = [(root, None)]
+        while stack:
+            o, grp = stack.pop()
+            if isinstance(o, dict):
+                if o.get("expr") is not None:
+                    yield grp, json.dumps(o)
+                stack.extend((v, _s(o.get("name"))) for v in o.values())
+            elif isinstance(o, list):
+                stack.extend((v, grp) for v in o)
 
 
 def load_rules(files: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
-    """SRC-5: every rule object with an ``expr`` from rule documents (JSON form of the
-    rule YAML: groups -> rules). -> (path, grp, alert, expr, for_ns, severity, annotations)."""
+    """SRC-5: every object with an ``expr``, at any depth, from rule documents (JSON form of the
+    rule YAML). -> (path, grp, alert, expr, for_ns, severity, annotations).
+
+    Documents whose ``"expr"`` keys are all rules of ``groups`` or ``spec.groups`` are exploded in the
+    JVM; only the others take the per-document Python walk. Both give the same rows for the same document."""
     from ..functions.time import duration_ns_col
+    from ..session import let_workers_import
 
-    d = files.select(path, F.from_json(F.col(text), RULE_SCHEMA).alias("d"))
-    g = d.select(path, F.explode("d.groups").alias("g"))
-    r = g.select(path, F.col("g.name").alias("grp"), F.explode("g.rules").alias("r"))
+    let_workers_import(files.sparkSession)
+    none = F.array().cast(f"array<struct<name:string,rules:array<{_RULE}>>>")
+    d = with_columns_once(files.select(path, text), {"d": F.from_json(F.col(text), RULE_SCHEMA)})
+    d = with_columns_once(d, {"gs": F.concat(F.coalesce("d.groups", none), F.coalesce("d.spec.groups", none))})
+    found = F.aggregate("gs", F.lit(0), lambda n, g: n + F.when(g["rules"].isNull(), 0).otherwise(
+        F.size(F.filter(g["rules"], lambda r: r["expr"].isNotNull()))))
+    keys = F.size(F.split(F.col(text), '"expr"', -1)) - 1
+    d = with_columns_once(d, {"covered": F.coalesce(found == keys, F.lit(False))})
+    fast = d.filter("covered").select(path, F.explode("gs").alias("g"))
+    fast = fast.select(path, F.col("g.name").alias("grp"), F.explode("g.rules").alias("r"))
+    slow = d.filter(~F.col("covered")).select(path, text).lateralJoin(RuleWalk(F.col(text).outer()))
+    r = fast.unionByName(slow.select(path, "grp", F.from_json("rule", _RULE).alias("r")))
     return r.filter(F.col("r.expr").isNotNull()).select(
         path, "grp", F.coalesce(F.col("r.alert"), F.col("r.record")).alias("alert"), F.col("r.expr").alias("expr"),
         F.when(F.col("r.for").isNull(), 0).otherwise(duration_ns_col(F.col("r.for"))).alias("for_ns"),

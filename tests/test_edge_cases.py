@@ -255,3 +255,20 @@ def test_histogram_quantile_brute_force(spark, seed):
                 assert got[(g, q)] is None
             else:
                 assert got[(g, q)] == pytest.approx(want)
+
+
+def test_rules_at_any_depth(spark):
+    import json
+
+    from pulsegrid.sources.corpus import load_rules
+
+    rule = {"alert": "A", "expr": "up == 0", "for": "5m", "labels": {"severity": "critical"}, "annotations": {"summary": "s"}}
+    groups = [{"name": "g", "rules": [rule, {"record": "r", "expr": "sum(up)"}, {"alert": "no expression"}]}]
+    docs = {"top": {"groups": groups}, "spec": {"kind": "PrometheusRule", "metadata": {"name": "m"}, "spec": {"groups": groups}},
+            "deep": {"items": [{"spec": {"groups": groups}}]}, "both": {"groups": groups, "spec": {"inner": {"groups": groups}}},
+            "bare": rule, "none": {"groups": [{"name": "g"}]}, "empty": {}}
+    rows = [(k, json.dumps(v)) for k, v in docs.items()] + [("invalid", '{"groups": [{"name"'), ("null", None)]
+    got = load_rules(spark.createDataFrame(rows, "path string, json string")).collect()
+    two = [("A", "up == 0", 300 * 10 ** 9, "critical", {"summary": "s"}), ("r", "sum(up)", 0, None, None)]
+    want = [(p, "g", *r) for p in ("top", "spec", "deep", "both", "both") for r in two] + [("bare", None, *two[0])]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
