@@ -39,13 +39,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def join_sized(left: DataFrame, right: DataFrame, on, how: str = "left", row_bytes: int = 64) -> DataFrame:
+def join_sized(left: DataFrame, right: DataFrame, on, how: str = "left", row_bytes: int | Column = 64) -> DataFrame:
     """Join with a settled table; it is broadcast only if its measured size is below Spark's threshold.
 
+    ``row_bytes`` is the size of every row or, where rows have no common bound, a column of their sizes.
     Beyond that the plain join runs: a sort-merge join whose hot keys AQE splits."""
     spark = left.sparkSession
     most = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-    if right.count() * row_bytes <= most:
+    each = F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes
+    if (right.agg(F.sum(each)).first()[0] or 0) <= most:
         right = F.broadcast(right)
     return left.join(right, on, how)
 

@@ -50,7 +50,8 @@ def line_dedup(df: DataFrame, text: str = "text", host: str = "source",
     host_, drops, parts, kept = fresh(df, "dedup_host", "dedup_drops", "dedup_lines", "dedup_kept")
     found = settle(boilerplate(df, text, host, ratio, min_pages)).select(
         F.col("host").alias(host_), F.col("drops").alias(drops))
-    wide = join_sized(df, found, F.col(host).eqNullSafe(F.col(host_)), row_bytes=4096)
+    wide = join_sized(df, found, F.col(host).eqNullSafe(F.col(host_)),
+                      row_bytes=64 + 8 * F.size(drops) + F.coalesce(F.octet_length(F.col(host_).cast("string")), F.lit(0)))
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     wide = wide.withColumn(parts, lines).withColumn(
         kept, F.when(F.col(drops).isNull(), F.col(parts)).otherwise(

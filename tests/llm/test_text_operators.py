@@ -42,6 +42,20 @@ def test_line_counts_once_a_page(spark):
     assert lines.line_dedup(docs(spark, rows)).agg(F.sum("n_dropped")).first()[0] == 0
 
 
+def test_long_drop_lists_are_not_broadcast(spark):
+    rows = [(i, "\n".join(f"menu {k}" for k in range(3000)) + f"\nbody {i}", "a") for i in range(6)]
+    wide = docs(spark, rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for most, hint in (("20000", False), ("40000", True)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            d = lines.line_dedup(wide)
+            assert ("strategy=broadcast" in d._jdf.queryExecution().logical().toString()) == hint
+            assert {r.doc_id: r.text for r in d.collect()} == {i: f"body {i}" for i in range(6)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_operators_take_odd_rows(spark, odd):
     n = odd.count()
     d = lines.line_dedup(odd, min_pages=3)
