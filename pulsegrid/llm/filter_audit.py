@@ -4,8 +4,9 @@ All files of the table are read as available-now micro-batches (at most ``BATCHE
 counts). In each batch a task gives every text its failure mask (one bit a filter, the texts read
 as bytes) and combines equal texts: the row of the smallest id stands for them, the others fail the
 duplicate filter for certain and are only counted. State keyed by the text's SHA-256 keeps the
-smallest id seen and what was counted for it. A smaller id in a later batch (or another task)
-retracts the earlier row's mask from the part counters and counts it again with the duplicate bit.
+smallest id seen and what was counted for it; texts share a state entry by hash bucket (about 20,000
+texts each, so that buckets grow in number and not in size). A smaller id in a later batch (or another
+task) retracts the earlier row's mask from the part counters and counts it again with the duplicate bit.
 Counter changes are appended to a table of the shared folder (exactly once, by the file sink's log);
 their sums are the number of documents for each (part, mask, labels), from which every order's
 counts follow. A hot text is one row a task in the state's shuffle.
@@ -23,7 +24,6 @@ characters A-Z; any of ``#$%&*|``; identical to the text of a smaller id.
 from __future__ import annotations
 
 import hashlib
-import json
 from collections import Counter
 from collections.abc import Iterable
 from itertools import permutations
@@ -43,8 +43,11 @@ _UPPER = bytes(range(65, 91))
 _CONTINUED = bytes(range(0x80, 0xC0))  # bytes that begin no character
 _DUPLICATE = 1 << 4
 _HELD = 50_000  # distinct texts a task combines before it passes them on
-_ROW = "key binary, id bigint, part string, good int, toxic int, mask int, n bigint, sure boolean"
+_BUCKET_TEXTS = 20_000  # texts a bucket of the state holds, about
+_ROW = "bucket int, key binary, id bigint, part string, good int, toxic int, mask int, n bigint, sure boolean"
 _CHANGE = "part string, mask int, good int, toxic int, n bigint"
+_COUNTER = ["part", "mask", "good", "toxic"]
+_HELD_COLUMNS = ["key", "id", *_COUNTER, "n"]
 
 
 def text_mask(raw: bytes) -> int:
@@ -56,17 +59,22 @@ def text_mask(raw: bytes) -> int:
         + 8 * (len(raw.translate(None, _SYMBOLS)) != len(raw))
 
 
-def _combined(batches: Iterable[pa.RecordBatch]):
+def _bucket(key: bytes, n: int) -> int:
+    return int.from_bytes(key[:4], "big") % n
+
+
+def _combined(batches: Iterable[pa.RecordBatch], n_buckets: int):
     """One row for each text, smallest id and its labels, and counts of the rows that surely repeat it."""
     texts: dict[bytes, list] = {}  # text -> smallest id, mask, rows of that id by (part, good, toxic)
     sure: Counter = Counter()      # rows by (part, good, toxic, mask)
 
     def rows():
-        out = [(key, i, *labels, mask, n, False) for key, (i, mask, own) in texts.items() for labels, n in own.items()]
-        out += [(str(k[0]).encode(), None, *k, n, True) for k, n in sure.items()]
+        out = [(_bucket(key, n_buckets), key, i, *labels, mask, n, False)
+               for key, (i, mask, own) in texts.items() for labels, n in own.items()]
+        out += [(_bucket(hashlib.sha256(k[0].encode()).digest(), n_buckets), b"", 0, *k, n, True) for k, n in sure.items()]
         texts.clear()
         sure.clear()
-        kinds = [pa.binary(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
+        kinds = [pa.int32(), pa.binary(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
         cols = zip(*out) if out else [()] * len(kinds)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                           [c.split()[0] for c in _ROW.split(", ")])
@@ -96,33 +104,22 @@ def _combined(batches: Iterable[pa.RecordBatch]):
 
 
 def _changes(key, frames, state):
-    """Counter changes of one text's rows: the smallest id counts without the duplicate bit, and what
-    was counted for a larger one before is retracted and counted again with it."""
-    rows = [r for f in frames for r in f.itertuples(index=False)]
-    out = Counter()
-    held = None
-    if state.exists:
-        i, text = state.get
-        held = [i, Counter({tuple(k): n for k, n in json.loads(text)})]
-    for r in rows:
-        labels = (r.part, int(r.mask), int(r.good), int(r.toxic))
-        if r.sure:
-            out[labels] += int(r.n)
-            continue
-        twin = (labels[0], labels[1] | _DUPLICATE, *labels[2:])
-        if held is None or r.id < held[0]:
-            for k, n in held[1].items() if held else ():
-                out[k] -= n
-                out[(k[0], k[1] | _DUPLICATE, *k[2:])] += n
-            held = [int(r.id), Counter()]
-        if r.id == held[0]:
-            held[1][labels] += int(r.n)
-            out[labels] += int(r.n)
-        else:
-            out[twin] += int(r.n)
-    if held:
-        state.update((held[0], json.dumps([[list(k), n] for k, n in held[1].items()])))
-    yield pd.DataFrame([(*k, n) for k, n in out.items() if n], columns=["part", "mask", "good", "toxic", "n"])
+    """Counter changes by one bucket's rows: of each text the rows of the smallest id count without
+    the duplicate bit, and what counted so for a larger id before is retracted and counted with it."""
+    new = pd.concat(list(frames))
+    held = pa.ipc.open_stream(state.get[0]).read_pandas() if state.exists else new.iloc[:0][_HELD_COLUMNS]
+    texts = pd.concat([held, new.loc[~new.sure, _HELD_COLUMNS]])
+    texts = texts.groupby(["key", "id", *_COUNTER], as_index=False).n.sum()
+    later = texts.id > texts.groupby("key").id.transform("min")
+    kept = texts[~later]
+    texts = texts.assign(mask=texts["mask"].where(~later, texts["mask"] | _DUPLICATE))
+    parts = [texts[[*_COUNTER, "n"]], new.loc[new.sure, [*_COUNTER, "n"]], held[[*_COUNTER, "n"]].assign(n=-held.n)]
+    out = pd.concat(parts).groupby(_COUNTER, as_index=False).n.sum()
+    table, sink = pa.Table.from_pandas(kept, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    state.update((sink.getvalue().to_pybytes(),))
+    yield out[out.n != 0]
 
 
 def _pattern(path: str) -> str:
@@ -144,8 +141,9 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, text: str = "
                     F.col(f"`{text}`").alias("text")))
     docs = docs.join(marks, F.col("id") == F.col("label_id"), "left").select(
         "id", "part", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"), "text")
-    changes = docs.mapInArrow(_combined, _ROW).groupBy("key").applyInPandasWithState(
-        _changes, _CHANGE, "id bigint, rows string", "append", "NoTimeout")
+    n_buckets = max(64, -(-table.count() // _BUCKET_TEXTS))
+    changes = docs.mapInArrow(lambda batches: _combined(batches, n_buckets), _ROW).groupBy("bucket").applyInPandasWithState(
+        _changes, _CHANGE, "texts binary", "append", "NoTimeout")
     out = scratch_path(spark, "filter-audit")
     query = (changes.writeStream.format("parquet").option("path", f"{out}/changes")
              .option("checkpointLocation", f"{out}/stream").trigger(availableNow=True).start())
