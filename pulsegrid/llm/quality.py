@@ -43,7 +43,8 @@ def _classes(text: Column) -> Column:
 
 def _class_counts(mapped: Column) -> Column:
     """Characters of each class, then of none of them."""
-    n = F.array(*[(F.length(mapped) - F.length(F.replace(mapped, F.lit(k), F.lit("")))).cast("double") for k in CLASSES])
+    size = F.octet_length(mapped)  # stand-ins are one byte each
+    n = F.array(*[(size - F.octet_length(F.replace(mapped, F.lit(k), F.lit("")))).cast("double") for k in CLASSES])
     return let(n, lambda c: F.concat(c, F.array(
         F.length(mapped).cast("double") - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))))
 
@@ -54,10 +55,11 @@ def _dup_lines(text: Column) -> Column:
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words that lie in a 3-word window found at least twice. Windows are compared by 64-bit hash,
-    sorted with their places: O(n log n) for any text; texts without a repeated window stop early."""
-    hashes = F.transform(F.sequence(F.lit(0), F.size(words) - 3),
-                         lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
+    """Words that lie in a 3-word window found at least twice. Windows are compared by a 64-bit hash
+    of their words' hashes (each word is hashed once), sorted with their places: O(n log n) for any
+    text; texts without a repeated window stop early."""
+    hashes = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(
+        F.slice(h, 3, F.size(h)), lambda last, i: F.xxhash64(F.get(h, i), F.get(h, i + 1), last)))
 
     def places(g):
         def doubled(s):
@@ -102,16 +104,13 @@ def _jsd(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)))
 
 
-def references(df: DataFrame, text: str = "text", lang: str = "lang", n_common: int = N_COMMON) -> DataFrame:
-    """(lang, ref_classes, ref_words, ref_shares): one row a language, over all documents.
+def word_references(df: DataFrame, text: str = "text", lang: str = "lang", n_common: int = N_COMMON) -> DataFrame:
+    """(lang, ref_words, ref_shares): the commonest words of each language and their shares, the share
+    of all other words last; one row a language, over all documents.
 
     Counts aggregate partially by (language, word), so a hot language or word is no hot task;
     the word ranking is cut before the shuffle (window group limit)."""
     rows = df.select(F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    mapped = with_columns_once(rows, {"m": _classes(F.col("text"))}).select("lang", _class_counts(F.col("m")).alias("c"))
-    k = len(CLASSES) + 1
-    chars = mapped.groupBy("lang").agg(*[F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(k)])
-    chars = chars.select("lang", _share(F.array(*[f"c{i}" for i in range(k)])).alias("ref_classes"))
     counts = settle(rows.select("lang", F.explode(F.split("text", GAP)).alias("word")).filter("word <> ''")
                     .groupBy("lang", "word").agg(F.count("*").alias("n")))
     ranked = counts.withColumn("r", F.row_number().over(
@@ -121,32 +120,52 @@ def references(df: DataFrame, text: str = "text", lang: str = "lang", n_common:
     words = tops.join(total.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l"))).select(
         "lang", F.col("top.word").alias("ref_words"),
         F.transform("top", lambda x: x["n"] / F.col("total")).alias("head"))
-    words = words.withColumn("ref_shares", F.concat("head", F.array(
+    return words.withColumn("ref_shares", F.concat("head", F.array(
         F.lit(1.0) - F.aggregate("head", F.lit(0.0), lambda a, x: a + x)))).drop("head")
-    return chars.join(words.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")), "left").drop("l")
+
+
+def class_references(df: DataFrame, classes: str, lang: str = "lang") -> DataFrame:
+    """(lang, ref_classes): shares of the character classes of each language over all documents."""
+    k = len(CLASSES) + 1
+    chars = df.groupBy(F.col(lang).alias("lang")).agg(*[F.sum(F.get(classes, F.lit(i))).alias(f"c{i}") for i in range(k)])
+    return chars.select("lang", _share(F.array(*[f"c{i}" for i in range(k)])).alias("ref_classes"))
+
+
+def _word_bins(words: Column, common: Column) -> Column:
+    """Occurrences of each common word: words stand between two blanks of their own in one string,
+    from which a common word is taken out with its blanks."""
+    spaced = F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
+    return let(spaced, lambda s: F.transform(common, lambda w: (
+        (F.octet_length(s) - F.octet_length(F.replace(s, F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
+        / (F.octet_length(w) + 2)).cast("double")))
 
 
 def quality(df: DataFrame, text: str = "text", lang: str = "lang", min_words: int = MIN_WORDS,
-            max_char_jsd: float = MAX_CHAR_JSD, max_word_jsd: float = MAX_WORD_JSD) -> DataFrame:
-    """``df`` with FEATURES, char_jsd, word_jsd (null where the guard holds), base_failed, kept."""
-    refs = settle(references(df, text, lang))
+            max_char_jsd: float = MAX_CHAR_JSD, max_word_jsd: float = MAX_WORD_JSD, keep_text: bool = True) -> DataFrame:
+    """``df`` with FEATURES, char_jsd, word_jsd (null where the guard holds), base_failed, kept.
+
+    Texts are read twice: for the common words of each language, and for the features. The features
+    are settled, so that the class references and the verdict read numbers only."""
     wide, at = features(df, text)
-    cl, cc, cw, cs = fresh(wide, "q_lang", "q_ref_classes", "q_ref_words", "q_ref_shares")
-    refs = refs.select(F.col("lang").alias(cl), F.col("ref_classes").alias(cc), F.col("ref_words").alias(cw),
-                       F.col("ref_shares").alias(cs))
+    if not keep_text:
+        wide = wide.drop(text)
+    cl, cw, cs, lc, cc = fresh(wide, "q_lang", "q_ref_words", "q_ref_shares", "q_lang_c", "q_ref_classes")
+    refs = settle(word_references(df, text, lang)).select(
+        F.col("lang").alias(cl), F.col("ref_words").alias(cw), F.col("ref_shares").alias(cs))
     wide = join_sized(wide, refs, F.col(lang).eqNullSafe(F.col(cl)), row_bytes=2048)
     n = F.col(at["n_words"])
-    common = F.filter(at["words"], lambda w: F.array_contains(F.col(cw), w))
-    seen = let(common, lambda c: F.transform(cw, lambda r: F.size(F.filter(c, lambda w: w == r)).cast("double")))
-    bins = let(seen, lambda c: F.concat(c, F.array(n.cast("double") - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))))
+    bins = let(_word_bins(F.col(at["words"]), F.col(cw)), lambda c: F.concat(c, F.array(
+        n.cast("double") - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))))
+    jw, jc = fresh(wide, "q_word_jsd", "q_char_jsd")
+    wide = with_columns_once(wide, {jw: F.when((n >= min_words) & F.col(cs).isNotNull(), _jsd(_share(bins), F.col(cs)))})
+    wide = settle(wide.drop(at["words"], cl, cw, cs))
+    refs = settle(class_references(wide, at["classes"], lang)).select(F.col("lang").alias(lc), F.col("ref_classes").alias(cc))
+    wide = join_sized(wide, refs, F.col(lang).eqNullSafe(F.col(lc)), row_bytes=256)
     chars = F.aggregate(at["classes"], F.lit(0.0), lambda a, x: a + x)
-    jc, jw = fresh(wide, "q_char_jsd", "q_word_jsd")
-    wide = with_columns_once(wide, {
-        jc: F.when(chars >= MIN_CHARS, _jsd(_share(F.col(at["classes"])), F.col(cc))),
-        jw: F.when((n >= min_words) & F.col(cs).isNotNull(), _jsd(_share(bins), F.col(cs)))})
+    wide = with_columns_once(wide, {jc: F.when(chars >= MIN_CHARS, _jsd(_share(F.col(at["classes"])), F.col(cc)))})
     failed = (n < min_words) | (100 * F.col(at["n_repeat_words"]) > 50 * n)
     near = (F.coalesce(F.col(jc), F.lit(0.0)) <= max_char_jsd) & (F.coalesce(F.col(jw), F.lit(0.0)) <= max_word_jsd)
     made = [*FEATURES, "char_jsd", "word_jsd", "base_failed", "kept"]
-    return wide.select(*[f"`{c}`" for c in df.columns if c.lower() not in made],
+    return wide.select(*[f"`{c}`" for c in df.columns if c.lower() not in made and c in wide.columns],
                        *[F.col(at[c]).alias(c) for c in FEATURES], F.col(jc).alias("char_jsd"),
                        F.col(jw).alias("word_jsd"), failed.alias("base_failed"), (~failed & near).alias("kept"))

@@ -82,7 +82,7 @@ def op4(spark, sf_dir):
 @query("op5_quality_rules")
 def op5(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality.quality(docs).drop("text", "lang")
+    return quality.quality(docs, keep_text=False).drop("lang")
 
 
 @query("op6_embedding_dedup")
@@ -156,7 +156,8 @@ def op11(spark, sf_dir):
 _MASK = r"""
 WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
 marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY ALL),
-words AS (SELECT *, regexp_extract_all(text, '[^ 	-]+') AS w, min(doc_id) OVER (PARTITION BY text) AS first FROM texts),
+words AS (SELECT *, regexp_extract_all(text, '[^ 	-
+]+') AS w, min(doc_id) OVER (PARTITION BY text) AS first FROM texts),
 docs AS (
   SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
     [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
