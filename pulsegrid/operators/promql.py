@@ -9,16 +9,13 @@ Scale notes
 * Nothing is partitioned by a bare series: a hot series would land on one task. Ordered
   work (counter deltas) is partitioned by ``(series_id, bucket)`` where ``bucket`` is a
   fixed slice of time, so one series spreads over as many tasks as it has buckets.
-* Range functions are computed from per-(series, bucket) partial aggregates. Those are
-  bounded by the grid (#series x #buckets), not by the number of samples, and only they
-  are exploded to the grid points whose window covers them.
-* No cross join with the grid: every bucket row is exploded to the few grid points it
-  belongs to (``range / step`` of them).
+* Range functions are differences of a running total at the two ends of each window
+  (``operators/ranges.py``): rows are bounded by the grid, not by the samples, and do not depend on
+  range / step. There is no cross join with the grid.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,8 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import label, matchers
 from ..functions.time import Grid, duration_ns, floor_div
-
-NS = 1_000_000_000
+from .ranges import NS, counter_windows
 
 _SERIES = "struct<metric:string,labels:array<struct<key:string,value:string>>>"
 
@@ -66,10 +62,6 @@ def where_value(df: DataFrame, op: str, x: float, col: str = "value") -> DataFra
     return df.filter(_CMP[op](F.col(col), F.lit(x)))
 
 
-def value_cond(op: str, x: float, col: str = "value") -> Column:
-    return _CMP[op](F.col(col), F.lit(x))
-
-
 def time_range(df: DataFrame, start_ns: int, end_ns: int, col: str = "ts_ns") -> DataFrame:
     """PF-8: half-open ``[start, end)`` on epoch ns (pushes to the scan as a range)."""
     return df.filter((F.col(col) >= F.lit(start_ns)) & (F.col(col) < F.lit(end_ns)))
@@ -120,32 +112,6 @@ def counter_inc(samples: DataFrame, chunk: str | int = "1d") -> DataFrame:
     return decode_series(out.select("series_id", "ts_ns", "value", _delta(F.col("value"), prev).alias("inc")))
 
 
-# ---------------------------------------------------------------- range partials
-
-def _range_partials(samples: DataFrame, grid: Grid, range_ns: int) -> tuple[DataFrame, int]:
-    """Per (series, g-bucket) partials with g = gcd(step, range); returns (df, g)."""
-    g = math.gcd(grid.step_ns, range_ns)
-    x = samples.filter((F.col("ts_ns") >= F.lit(grid.start_ns - range_ns)) &
-                       (F.col("ts_ns") < F.lit(grid.end_ns)))
-    x = _dedup_in_buckets(_with_bucket(x, grid.start_ns, g))
-    w = Window.partitionBy("series_id", "b").orderBy("ts_ns")
-    x = x.withColumn("d", _delta(F.col("value"), F.lag("value").over(w)))
-    parts = (x.groupBy("series_id", "b")
-             .agg(F.sum("d").alias("inner"),
-                  F.min("ts_ns").alias("first_ts"),
-                  F.max("ts_ns").alias("last_ts"),
-                  F.min_by("value", "ts_ns").alias("first_v"),
-                  F.max_by("value", "ts_ns").alias("last_v"),
-                  F.count(F.lit(1)).alias("n"),
-                  F.sum("value").alias("vsum"),
-                  F.max("value").alias("vmax"),
-                  F.min("value").alias("vmin")))
-    # stitch: increase from the previous occupied bucket of the same series
-    ws = Window.partitionBy("series_id").orderBy("b")
-    parts = parts.withColumn("edge", _delta(F.col("first_v"), F.lag("last_v").over(ws)))
-    return parts, g
-
-
 def _explode_to_grid(df: DataFrame, grid: Grid, range_ns: int, g: int) -> DataFrame:
     """Attach every bucket row to the grid points j whose window [t-range, t) covers it."""
     m, k = grid.step_ns // g, range_ns // g
@@ -155,46 +121,21 @@ def _explode_to_grid(df: DataFrame, grid: Grid, range_ns: int, g: int) -> DataFr
             .withColumn("j", F.explode(F.sequence(jlo, jhi))))
 
 
-def range_agg(samples: DataFrame, grid: Grid, range_: str | int) -> DataFrame:
-    """Per (series, grid point) window statistics over ``[t - range, t)``.
+# ---------------------------------------------------------------- ranges (AG-4)
 
-    Columns: series_id, metric, labels, j, t, increase, first_ts, last_ts, n, sum, max, min.
-    """
-    r = duration_ns(range_)
-    parts, g = _range_partials(samples, grid, r)
-    ex = _explode_to_grid(parts, grid, r, g)
-    res = (ex.groupBy("series_id", "j")
-           .agg((F.sum("inner") + F.sum("edge") - F.min_by("edge", "b")).alias("increase"),
-                F.min("first_ts").alias("first_ts"),
-                F.max("last_ts").alias("last_ts"),
-                F.sum("n").alias("n"),
-                F.sum("vsum").alias("sum"),
-                F.max("vmax").alias("max"),
-                F.min("vmin").alias("min")))
-    return decode_series(res.withColumn("t", (grid.t_ns(F.col("j")) / F.lit(NS)).cast("bigint")))
-
-
-def rate(samples: DataFrame, grid: Grid, range_: str | int) -> DataFrame:
-    """AG-4: increase / (last_ts - first_ts) seconds; < 2 samples or zero span -> no row."""
-    ra = range_agg(samples, grid, range_)
-    span = (F.col("last_ts") - F.col("first_ts")) / F.lit(float(NS))
-    return (ra.filter((F.col("n") >= 2) & (F.col("last_ts") > F.col("first_ts")))
-            .select("series_id", "metric", "labels", "j", "t",
-                    (F.col("increase") / span).alias("value")))
+def rate(samples: DataFrame, grid: Grid, range_: str | int, temporality: str = "cumulative") -> DataFrame:
+    """AG-4: increase / (last_ts - first_ts) seconds; < 2 samples or zero span -> no row.
 
-
-def increase(samples: DataFrame, grid: Grid, range_: str | int) -> DataFrame:
-    ra = range_agg(samples, grid, range_)
-    return (ra.filter(F.col("n") >= 2)
-            .select("series_id", "metric", "labels", "j", "t", F.col("increase").alias("value")))
+    Delta samples (``temporality="delta"``) give what their running totals would give."""
+    ends = counter_windows(samples, grid, range_, temporality)
+    span = (F.col("last_ts") - F.col("first_ts")) / F.lit(float(NS))
+    x = ends.filter((F.col("n") >= 2) & (F.col("last_ts") > F.col("first_ts")))
+    return decode_series(x.select("series_id", "j", "t", (F.col("increase") / span).alias("value")))
 
 
-def over_time(samples: DataFrame, grid: Grid, range_: str | int, fn: str) -> DataFrame:
-    """``count_over_time`` / ``sum_over_time`` / ``avg_over_time`` / ``max_over_time`` / ``min_over_time``."""
-    ra = range_agg(samples, grid, range_)
-    val = {"count": F.col("n").cast("double"), "sum": F.col("sum"),
-           "avg": F.col("sum") / F.col("n"), "max": F.col("max"), "min": F.col("min")}[fn]
-    return ra.select("series_id", "metric", "labels", "j", "t", val.alias("value"))
+def increase(samples: DataFrame, grid: Grid, range_: str | int, temporality: str = "cumulative") -> DataFrame:
+    ends = counter_windows(samples, grid, range_, temporality)
+    return decode_series(ends.filter(F.col("n") >= 2).select("series_id", "j", "t", F.col("increase").alias("value")))
 
 
 # ---------------------------------------------------------------- instant vectors (WN-3)
@@ -254,9 +195,3 @@ def topk(v: DataFrame, k: int, by: Sequence[str] = (), time_col: str = "j") -> D
     parts = [F.col(time_col)] + [label("labels", b) for b in by]
     w = Window.partitionBy(*parts).orderBy(F.col("value").desc(), F.col("series_id"))
     return v.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
-def bottomk(v: DataFrame, k: int, by: Sequence[str] = (), time_col: str = "j") -> DataFrame:
-    parts = [F.col(time_col)] + [label("labels", b) for b in by]
-    w = Window.partitionBy(*parts).orderBy(F.col("value").asc(), F.col("series_id"))
-    return v.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -67,22 +67,27 @@ def _metric_rows(req: DataFrame) -> DataFrame:
     return sm.select("res", F.col("sm.scope.name").alias("scope"), F.explode("sm.metrics").alias("m"))
 
 
+def _temporality(field: str) -> Column:
+    """delta, cumulative, or null where the request does not say (1 and 2 are the format's numbers)."""
+    return F.when(F.col(f"{field}.aggregationTemporality") == 1, "delta").when(F.col(f"{field}.aggregationTemporality") == 2, "cumulative")
+
+
 def metrics_from_requests(req: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(samples, histograms) from parsed export requests (column ``r``)."""
     m = _metric_rows(req)
     # gauge and sum points in one generator (one pass over the requests)
     gauge = F.transform(F.coalesce(F.col("m.gauge.dataPoints"), F.array().cast(f"array<{NUM}>")),
-                        lambda p: F.struct(F.lit("gauge").alias("kind"), F.lit(False).alias("mono"), p.alias("p")))
+                        lambda p: F.struct(F.lit("gauge").alias("kind"), F.lit(None).cast("string").alias("temporality"), p.alias("p")))
     mono = F.coalesce(F.col("m.sum.isMonotonic"), F.lit(False))
     sums = F.transform(F.coalesce(F.col("m.sum.dataPoints"), F.array().cast(f"array<{NUM}>")),
                        lambda p: F.struct(F.when(mono, "counter").otherwise("updown").alias("kind"),
-                                          mono.alias("mono"), p.alias("p")))
+                                          _temporality("m.sum").alias("temporality"), p.alias("p")))
     # names are normalised once per metric, before its points are exploded
     pts = m.select("res", prom_name(F.col("m.name"), F.col("m.unit"), mono).alias("metric"), "m.unit",
                    F.inline(F.concat(gauge, sums)))
     value = F.coalesce(F.col("p.asDouble"), F.col("p.asInt").try_cast("double"))
     samples = pts.select(
-        "metric", "kind", "unit",
+        "metric", "kind", "unit", "temporality",
         merge_maps(F.col("res"), attributes_to_map("p.attributes")).alias("labels"),
         _ns(F.col("p.timeUnixNano")).alias("ts_ns"),
         value.alias("value"),
@@ -91,9 +96,9 @@ def metrics_from_requests(req: DataFrame) -> tuple[DataFrame, DataFrame]:
                .withColumn("series_id", series_key("metric", "labels")))
 
     h = m.select("res", prom_name(F.col("m.name"), F.col("m.unit"), F.lit(False)).alias("metric"),
-                 F.explode("m.histogram.dataPoints").alias("p"))
+                 _temporality("m.histogram").alias("temporality"), F.explode("m.histogram.dataPoints").alias("p"))
     hist = h.select(
-        "metric",
+        "metric", "temporality",
         merge_maps(F.col("res"), attributes_to_map("p.attributes")).alias("labels"),
         _ns(F.col("p.timeUnixNano")).alias("ts_ns"),
         F.col("p.count").try_cast("bigint").alias("count"),
