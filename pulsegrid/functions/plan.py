@@ -17,6 +17,15 @@ def with_columns_once(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared checkpoint folder: what several branches of a plan read
+    is computed once, and survives lost executors."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def left_join_keyed(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join where rows with a NULL key bypass the join (they cannot match anyway).
 

@@ -51,6 +51,13 @@ def alert_states(v: DataFrame, rules: list[AlertRule], grid: Grid) -> DataFrame:
     x = x.filter(selected(rules, F.col("r.alert"), F.col("labels")))
     x = x.select("*", *[F.col(f"r.{c}").alias(c) for c in ("alert", "op", "threshold", "for_ns", "severity",
                                                           "summary")]).drop("r")
+    x = _held_states(x, grid)
+    return x.select("alert", "severity", "summary", "series_id", "metric", "labels", "j", "t", "value", "state", "active_since")
+
+
+def _held_states(x: DataFrame, grid: Grid) -> DataFrame:
+    """States of rows (alert, op, threshold, for_ns, series_id, j, t, value): gaps and islands for
+    each (rule, series), which the grid bounds."""
     x = x.withColumn("cond", F.coalesce(holds(F.col("op"), F.col("value"), F.col("threshold")), F.lit(False)))
     w = Window.partitionBy("alert", "series_id").orderBy("j")
     prev_j, prev_c = F.lag("j").over(w), F.lag("cond").over(w)
@@ -61,8 +68,7 @@ def alert_states(v: DataFrame, rules: list[AlertRule], grid: Grid) -> DataFrame:
     held_ns = (F.col("j") - F.col("t0_j")) * F.lit(grid.step_ns)
     state = (F.when(~F.col("cond"), "inactive")
              .when(held_ns < F.col("for_ns"), "pending").otherwise("firing"))
-    return x.select("alert", "severity", "summary", "series_id", "metric", "labels", "j", "t", "value",
-                    state.alias("state"),
+    return x.select("*", state.alias("state"),
                     F.when(F.col("cond"), F.col("t") - (F.col("j") - F.col("t0_j")) * F.lit(grid.step_ns // 10**9))
                     .alias("active_since"))
 
@@ -89,3 +95,56 @@ def alerts_with_summary(states: DataFrame, rules: list[AlertRule]) -> DataFrame:
             text = F.when(F.col("alert") == r.alert, annotation(getattr(r, field))).otherwise(text)
         states = states.withColumn(col, text)
     return states
+
+
+# ---------------------------------------------------------------- rules as a table
+
+_COMPARISON = r"^\s*([A-Za-z_:][A-Za-z0-9_:]*)\s*(\{[^}]*\})?\s*(==|!=|>=|<=|>|<)\s*([-+]?[0-9][0-9.eE+-]*)\s*$"
+_MATCHER = r'([A-Za-z_][A-Za-z0-9_]*)\s*(=~|!~|!=|=)\s*"([^"]*)"'
+
+
+def comparison_rules(rules: DataFrame) -> DataFrame:
+    """Rules of the form ``metric{label="x", other=~"re"} > number`` as columns: those of ``rules``
+    (see ``load_rules``) and metric, matchers ARRAY<STRUCT<label, op, value>>, op, threshold. These
+    are NULL for any other expression, so that a caller can tell what is not evaluated."""
+    def part(i):
+        return F.nullif(F.regexp_extract("expr", _COMPARISON, i), F.lit(""))
+    found = F.regexp_extract_all(F.coalesce(part(2), F.lit("")), F.lit(_MATCHER), F.lit(0))
+    ms = F.transform(found, lambda m: F.struct(*[F.regexp_extract(m, _MATCHER, i).alias(n)
+                                                for i, n in enumerate(("label", "op", "value"), 1)]))
+    return rules.select("*", part(1).alias("metric"), F.when(part(1).isNotNull(), ms).alias("matchers"),
+                        part(3).alias("op"), part(4).try_cast("double").alias("threshold"))
+
+
+def meets(labels: Column, matcher_list: Column) -> Column:
+    """Whether a label map meets every matcher of a list that is data (absent labels are '')."""
+    def one(m):
+        v = F.coalesce(F.try_element_at(labels, m["label"]), F.lit(""))
+        like = F.rlike(v, F.concat(F.lit("^(?:"), m["value"], F.lit(")$")))
+        return (F.when(m["op"] == "=", v == m["value"]).when(m["op"] == "!=", v != m["value"])
+                .when(m["op"] == "=~", like).when(m["op"] == "!~", ~like).otherwise(False))
+    return F.forall(matcher_list, one)
+
+
+def rule_states(v: DataFrame, rules: DataFrame, grid: Grid) -> DataFrame:
+    """WN-2 with rules as a table: (alert, metric, matchers, op, threshold, for_ns, severity,
+    annotations). The instant vector meets the rules of its metric by an equi-join (Spark broadcasts
+    the rules where their size allows) and their matchers as data, so the plan has the same size
+    for any number of rules. ``for_ns`` NULL counts as no hold time; a rule without metric selects nothing."""
+    r = rules.filter(F.col("metric").isNotNull() & F.col("threshold").isNotNull()).select(
+        "alert", "metric", "matchers", "op", "threshold", F.coalesce("for_ns", F.lit(0)).alias("for_ns"), "severity", "annotations")
+    x = v.join(r, "metric").filter(meets(F.col("labels"), F.col("matchers")))
+    return _held_states(x, grid).select("alert", "severity", "annotations", "series_id", "metric", "labels", "j", "t",
+                                        "value", "state", "active_since")
+
+
+def rendered(template: Column, labels: Column, value: Column) -> Column:
+    """SC-13 for a template that is data: each ``{{ $labels.x }}`` and ``{{ $value }}`` is replaced;
+    absent labels and other placeholders give nothing."""
+    holes = F.array_distinct(F.regexp_extract_all(template, F.lit(r"\{\{[^}]*\}\}"), F.lit(0)))
+
+    def text(hole):
+        name = F.regexp_extract(hole, r"\$labels\.([A-Za-z0-9_]+)", 1)
+        return F.coalesce(F.when(hole.rlike(r"^\{\{\s*\$value\s*\}\}$"), value.cast("string"))
+                          .when(name != "", F.try_element_at(labels, name)), F.lit(""))
+    return F.aggregate(holes, template, lambda acc, hole: F.replace(acc, hole, text(hole)))

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import json_valid
+from ..functions.plan import settled
 from ..functions.time import floor_div
+from ..sources.corpus import route_targets
 from .coverage import finding, per_subject
 
 # Target checks as (check, language, pattern that flags, pattern that clears).
@@ -62,6 +64,18 @@ def check_json(docs: DataFrame) -> DataFrame:
                                 F.when(ok, "").otherwise("parse error")))
 
 
+def corpus_findings(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """LT-1 to LT-6 from the rows of ``document_rows``, which are settled first: every document is
+    read and parsed once, whatever the number of checks."""
+    rows = settled(rows)
+    per_doc = rows.select("path", "valid").distinct()
+    json_ok = per_doc.select(*finding("json_valid", F.col("path"), F.when(F.col("valid"), "PASS").otherwise("FAIL"),
+                                      F.when(F.col("valid"), "").otherwise("parse error")))
+    viol = not_allowed(rows).withColumnRenamed("path", "subject")
+    uids = per_subject(per_doc.filter("valid").select(F.col("path").alias("subject")), viol, "datasource_uid")
+    return json_ok.unionByName(check_targets(spark, route_targets(rows))).unionByName(uids)
+
+
 def not_allowed(targets: DataFrame, col: str = "ds_uid", allowed=ALLOWED_UIDS) -> DataFrame:
     """PF-5: distinct values outside the allow-list, per file."""
     return (targets.filter(F.col(col).isNotNull() & ~F.col(col).isin(*allowed))

@@ -59,7 +59,8 @@ PANEL2_ID = "event_id * 10 + 2"
 
 
 def a_dashboards(events: DataFrame) -> DataFrame:
-    """events -> documents_json(path, json): a row panel with a nested panel, plus a stat panel."""
+    """events -> documents_json(path, json): a row panel with a nested panel, plus a stat panel. Every
+    seventh document holds its panels two levels deeper, as rows of a section."""
     x = events.select(F.expr(PATH).alias("path"), "event_id", "user_id",
                       F.expr(DS_TYPE).alias("ds_type"), F.expr(DS_UID).alias("ds_uid"),
                       F.expr(EXPR1).alias("expr1"), F.expr(QUERY1).alias("query1"),
@@ -72,8 +73,10 @@ def a_dashboards(events: DataFrame) -> DataFrame:
     stat = F.struct(F.expr(PANEL2_ID).alias("id"), F.lit("stat").alias("type"),
                     F.struct(F.lit("prometheus").alias("type"), F.lit("prometheus").alias("uid")).alias("datasource"),
                     F.array(F.struct(F.lit("A").alias("refId"), F.col("expr2").alias("expr"))).alias("targets"))
-    doc = F.concat(F.lit('{"title":"dash-'), F.col("event_id").cast("string"), F.lit('","panels":['),
-                   F.to_json(row), F.lit(","), F.to_json(stat), F.lit("]}"))
+    deeper = F.col("event_id") % 7 == 3
+    doc = F.concat(F.lit('{"title":"dash-'), F.col("event_id").cast("string"),
+                   F.when(deeper, '","sections":[{"rows":[{"panels":[').otherwise('","panels":['),
+                   F.to_json(row), F.lit(","), F.to_json(stat), F.when(deeper, "]}]}]}").otherwise("]}"))
     x = with_columns_once(x, {"doc": doc})
     doc = F.when(F.col("invalid"), F.substring("doc", 1, 40)).otherwise(F.col("doc"))  # truncated: invalid JSON
     return with_columns_once(x.select("path", doc.alias("j")), {"json": F.col("j")}).select("path", "json")

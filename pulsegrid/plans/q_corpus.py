@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from ..functions.plan import settled
 from ..functions.templates import substitute, substitute_sql
 from ..operators import coverage as C
 from ..operators import lint as LT
@@ -57,14 +58,10 @@ def rules(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lint_findings(spark: SparkSession, d: str) -> DataFrame:
-    dd = docs(spark, d)
-    t = S.route_targets(S.dashboard_targets(dd))
     return C.union_findings(
-        LT.check_json(dd),
-        LT.check_targets(spark, t),
-        LT.check_uids(dd, t),
-        LT.check_tags(spark, A.a_ds_tags(read_table(spark, d, "events"))),
-        LT.check_rule_lines(spark, rules(spark, d)))
+        LT.corpus_findings(spark, S.document_rows(docs(spark, d))),
+        LT.check_tags(spark, settled(A.a_ds_tags(read_table(spark, d, "events")))),
+        LT.check_rule_lines(spark, settled(rules(spark, d))))
 
 
 # ---------------------------------------------------------------- oracle SQL pieces
@@ -246,7 +243,7 @@ rs AS (SELECT DISTINCT 'resource' AS scope, unnest(regexp_extract_all(query, 're
 SELECT * FROM sp UNION ALL SELECT * FROM (VALUES {_dspan}) t(scope, attr) WHERE NOT EXISTS (SELECT 1 FROM sp)
 UNION ALL SELECT * FROM rs UNION ALL SELECT * FROM (VALUES {_dres}) t(scope, attr) WHERE NOT EXISTS (SELECT 1 FROM rs)""")
 def q_trace_attrs_or_default(spark, d):
-    r = routed(spark, d).filter((F.col("lang") == "traceql") & (F.col("query") != ""))
+    r = settled(routed(spark, d).filter((F.col("lang") == "traceql") & (F.col("query") != "")).select("query"))
     sp = r.select(F.lit("span").alias("scope"), F.explode(N.span_attr_tokens("query")).alias("attr")).distinct()
     rs = r.select(F.lit("resource").alias("scope"),
                   F.explode(N.resource_attr_tokens("query")).alias("attr")).distinct()
@@ -285,7 +282,7 @@ f AS (SELECT file, line_no, line,
       FROM lines)
 SELECT file, line_no, section, line FROM f WHERE NOT regexp_matches(line, '^\\s*(#.*)?$')""")
 def q_section_fill(spark, d):
-    filled = LT.fill_section(query_lines(routed(spark, d)), chunk=100_000)
+    filled = LT.fill_section(settled(query_lines(settled(routed(spark, d)))), chunk=100_000)
     return S.strip_comments(filled).select("file", "line_no", "section", "line")
 
 

@@ -15,6 +15,7 @@ from ..operators import panels as PN
 from ..operators import promql as pq
 from ..operators.reducers import reduce_series
 from ..sources import jmx
+from ..sources.corpus import load_rules
 from ..sources.tables import read_table
 from . import params as P
 from .otlp_adapter import a_beans
@@ -263,6 +264,50 @@ def q_event_alerts(spark, d):
     return st.select("alert", label("labels", "user").alias("user"), "t", "value", "state")
 
 
+# ---------------------------------------------------------------- rules as a table (SRC-5 -> WN-2)
+
+def metric_rule_files(events: DataFrame) -> DataFrame:
+    """events -> one rule document per user with a rule for each of the user's event types: a
+    comparison of one series, selected by user and pod, that must hold for a while."""
+    u, n = F.col("user_id").cast("string"), F.col("user_id")
+    types = events.select("user_id", "event_type").distinct()
+    expr = F.concat("event_type", F.lit('{user="'), u, F.when(n % 2 == 0, F.lit('", pod=~"[0-4]"}')).otherwise(F.lit('", pod!="3"}')),
+                    F.when(n % 3 == 0, F.lit(" < ")).otherwise(F.lit(" >= ")), (F.lit(100) + n % 150).cast("string"))
+    expr = F.when(n % 11 == 0, F.concat(F.lit("sum("), expr, F.lit(")"))).otherwise(expr)
+    rule = F.struct(F.concat("event_type", F.lit("-of-"), u).alias("alert"), expr.alias("expr"),
+                    F.when(n % 4 == 0, "1m").when(n % 4 == 1, "2h").otherwise("3h").alias("for"),
+                    F.create_map(F.lit("severity"), F.when(n % 2 == 0, "critical").otherwise("warning")).alias("labels"),
+                    F.create_map(F.lit("summary"), F.lit("user {{ $labels.user }}{{$labels.none}} at {{ $value }}")).alias("annotations"))
+    docs = types.groupBy("user_id").agg(F.collect_list(rule).alias("rules"))  # one rule a type: bounded
+    group = F.struct(F.concat(F.lit("user-"), u).alias("name"), F.col("rules"))
+    return docs.select(F.concat(F.lit("rules/"), u).alias("path"), F.to_json(F.struct(F.array(group).alias("groups"))).alias("json"))
+
+
+@query("rule_table_alerts", f"""WITH {INSTANT_SQL},
+rl AS (SELECT DISTINCT event_type AS metric, user_id, 100.0 + user_id % 150 AS threshold,
+              CASE user_id % 4 WHEN 0 THEN {60 * NS} WHEN 1 THEN {7200 * NS} ELSE {10800 * NS} END AS for_ns
+       FROM events WHERE user_id % 11 <> 0),
+ax AS (SELECT i.metric || '-of-' || i."user" AS alert, i.metric, "user", j, t_ns, value, for_ns,
+              CASE WHEN user_id % 2 = 0 THEN 'critical' ELSE 'warning' END AS severity,
+              coalesce(CASE WHEN user_id % 3 = 0 THEN value < threshold ELSE value >= threshold END, false) AS cond
+       FROM i JOIN rl ON i.metric = rl.metric AND i."user" = CAST(rl.user_id AS VARCHAR)
+       WHERE CASE WHEN user_id % 2 = 0 THEN pod IN ('0', '1', '2', '3', '4') ELSE pod <> '3' END),
+ay AS (SELECT *, cond AND (lag(j) OVER w IS NULL OR lag(j) OVER w <> j - 1 OR NOT lag(cond) OVER w) AS start
+      FROM ax WINDOW w AS (PARTITION BY alert ORDER BY j)),
+az AS (SELECT *, last_value(CASE WHEN start THEN j END IGNORE NULLS)
+         OVER (PARTITION BY alert ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS t0_j FROM ay)
+SELECT alert, severity, CAST(t_ns // {NS} AS BIGINT) AS t, value, {_STATE} AS state,
+       CASE WHEN {_STATE} = 'firing' THEN 'user ' || "user" || ' at ' || CAST(value AS VARCHAR) END AS summary FROM az""")
+def q_rule_table_alerts(spark, d):
+    """Alert states of rules read from rule documents: one rule a (user, event type)."""
+    from .q_metrics import instant_vec
+
+    rules = AL.comparison_rules(load_rules(metric_rule_files(read_table(spark, d, "events"))))
+    st = AL.rule_states(instant_vec(spark, d), rules, P.GRID)
+    text = AL.rendered(F.col("annotations")["summary"], F.col("labels"), F.col("value"))
+    return st.select("alert", "severity", "t", "value", "state", F.when(F.col("state") == "firing", text).alias("summary"))
+
+
 # ---------------------------------------------------------------- topics (SC-17, STR-4, STR-5)
 
 # Event domains per event type and retention per domain (days).

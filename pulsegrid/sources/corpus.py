@@ -17,40 +17,58 @@ from pyspark.sql.functions import udtf
 from ..functions.plan import with_columns_once
 
 TARGET_SCHEMA = "panel_id bigint, ds_type string, ds_uid string, ref string, expr string, query string"
+_TARGET = "struct<panel_id:bigint,ds_type:string,ds_uid:string,ref:string,expr:string,query:string>"
+
+
+def _walk_targets(doc: str | None):
+    """Visit every object at any depth; for each object with a ``datasource``, one row per entry of its
+    ``targets`` (or one row with NULL target fields when it has none). Invalid JSON gives nothing."""
+    if doc is None:
+        return
+    try:
+        root = json.loads(doc)
+    except ValueError:
+        return
+    stack = [root]
+    while stack:
+        o = stack.pop()
+        if isinstance(o, dict):
+            ds = o.get("datasource")
+            if isinstance(ds, dict):
+                pid = o.get("id")
+                pid = pid if isinstance(pid, int) and not isinstance(pid, bool) else None
+                dtype, duid = _s(ds.get("type")), _s(ds.get("uid"))
+                targets = [t for t in (o.get("targets") or []) if isinstance(t, dict)] \
+                    if isinstance(o.get("targets"), list) else []
+                if targets:
+                    for t in targets:
+                        yield pid, dtype, duid, _s(t.get("refId")), _s(t.get("expr")), _s(t.get("query"))
+                else:
+                    yield pid, dtype, duid, None, None, None
+            stack.extend(o.values())
+        elif isinstance(o, list):
+            stack.extend(o)
 
 
 @udtf(returnType=TARGET_SCHEMA, useArrow=True)
 class DashboardWalk:
-    """Visit every object at any depth; for each object with a ``datasource``, emit one row per
-    entry of its ``targets`` (or one row with NULL target fields when it has none).
-    Invalid JSON yields nothing."""
+    """Targets of one document at any depth."""
 
     def eval(self, doc: str):
-        if doc is None:
-            return
-        try:
-            root = json.loads(doc)
-        except ValueError:
-            return
-        stack = [root]
-        while stack:
-            o = stack.pop()
-            if isinstance(o, dict):
-                ds = o.get("datasource")
-                if isinstance(ds, dict):
-                    pid = o.get("id")
-                    pid = pid if isinstance(pid, int) and not isinstance(pid, bool) else None
-                    dtype, duid = _s(ds.get("type")), _s(ds.get("uid"))
-                    targets = [t for t in (o.get("targets") or []) if isinstance(t, dict)] \
-                        if isinstance(o.get("targets"), list) else []
-                    if targets:
-                        for t in targets:
-                            yield pid, dtype, duid, _s(t.get("refId")), _s(t.get("expr")), _s(t.get("query"))
-                    else:
-                        yield pid, dtype, duid, None, None, None
-                stack.extend(o.values())
-            elif isinstance(o, list):
-                stack.extend(o)
+        yield from _walk_targets(doc)
+
+
+@udtf(returnType="found boolean, " + TARGET_SCHEMA, useArrow=True)
+class DocumentWalk:
+    """As ``DashboardWalk``; a document without targets (or NULL) gives one row that says so."""
+
+    def eval(self, doc: str):
+        found = False
+        for row in _walk_targets(doc):
+            found = True
+            yield True, *row
+        if not found:
+            yield False, None, None, None, None, None, None
 
 
 def _s(v):
@@ -68,8 +86,8 @@ def dashboard_targets_any_depth(docs: DataFrame, path: str = "path", text: str =
 _DS = "struct<type:string,uid:string>"
 _TG = "array<struct<refId:string,expr:string,query:string>>"
 _PANEL = f"struct<id:bigint,type:string,datasource:{_DS},targets:{_TG}>"
-DOC_SCHEMA = f"struct<title:string,panels:array<struct<id:bigint,type:string,datasource:{_DS},targets:{_TG}," \
-             f"panels:array<{_PANEL}>>>>"
+_TOP = f"array<struct<id:bigint,type:string,datasource:{_DS},targets:{_TG},panels:array<{_PANEL}>>>"
+DOC_SCHEMA = f"struct<title:string,panels:{_TOP}>"
 
 
 def _parse_2level(docs: DataFrame, path: str, text: str) -> DataFrame:
@@ -87,38 +105,49 @@ def _parse_2level(docs: DataFrame, path: str, text: str) -> DataFrame:
     return with_columns_once(docs, {"covered": d.isNotNull() & (found == keys)})
 
 
-def dashboard_targets(docs: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
-    """SRC-4: (path, panel_id, ds_type, ds_uid, ref, expr, query) for every object at any
-    depth that has a datasource.
+def document_rows(docs: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
+    """(path, valid, found, panel_id, ds_type, ds_uid, ref, expr, query): a row for each target (see
+    ``dashboard_targets``), and one with ``found`` false for a document without any.
+
+    Every document is read and parsed once: documents fully explained by the common two-level layout
+    give their targets as an array in the JVM; only the others (deeper nesting, datasources
+    elsewhere, invalid JSON) take the per-document Python walk. Both give the same rows."""
+    from ..functions.names import json_valid
+    from ..session import let_workers_import
 
-    Documents fully explained by the common two-level layout are exploded in the JVM;
-    only the others (deeper nesting, datasources elsewhere, invalid JSON) take the
-    per-document Python walk. Both paths give the same rows for the same document."""
+    let_workers_import(docs.sparkSession)
     p = _parse_2level(docs, path, text)
-    fast = _explode_2level(p.filter(F.col("covered")), path)
-    slow = dashboard_targets_any_depth(p.filter(~F.col("covered")).select(path, text), path, text)
-    return fast.unionByName(slow)
+    walked = p.lateralJoin(DocumentWalk(F.when(~F.col("covered").outer(), F.col(text).outer())))
+    names = [f.split()[0] for f in TARGET_SCHEMA.split(", ")]
+    none = F.lit(None).cast(_TARGET)
+    own = F.when(F.col("found"), F.struct(*names))
+    rows = F.when(F.col("covered"), _targets_2level(F.col("d"))).otherwise(F.array(own))
+    rows = F.when(F.size(rows) > 0, rows).otherwise(F.array(none))
+    x = walked.select(path, json_valid(F.col(text)).alias("valid"), F.explode(rows).alias("t"))
+    return x.select(path, "valid", F.col("t").isNotNull().alias("found"), *[F.col(f"t.{n}").alias(n) for n in names])
+
 
+def dashboard_targets(docs: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
+    """SRC-4: (path, panel_id, ds_type, ds_uid, ref, expr, query) for every object at any depth
+    that has a datasource."""
+    return document_rows(docs, path, text).filter("found").drop("valid", "found")
 
-def dashboard_targets_2level(docs: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
-    """SRC-4 fixed two-level variant: ``from_json`` + ``explode``, all in the JVM."""
-    parsed = with_columns_once(docs.select(path, text), {"d": F.from_json(F.col(text), DOC_SCHEMA)})
-    return _explode_2level(parsed.filter(F.col("d").isNotNull()), path)
 
+def _targets_2level(d: Column) -> Column:
+    """Targets of a parsed document as an array; a panel without targets gives one without query."""
+    def slim(panels):
+        return F.transform(F.coalesce(panels, F.array().cast(f"array<{_PANEL}>")), lambda p: F.struct(
+            p["id"].alias("id"), p["datasource"].alias("ds"), p["targets"].alias("targets")))
+    nested = F.flatten(F.transform(F.coalesce(d["panels"], F.array().cast(_TOP)), lambda p: slim(p["panels"])))
+    top = F.transform(F.coalesce(d["panels"], F.array().cast(_TOP)), lambda p: F.struct(
+        p["id"].alias("id"), p["datasource"].alias("ds"), p["targets"].alias("targets")))
 
-def _explode_2level(parsed: DataFrame, path: str) -> DataFrame:
-    parsed = parsed.select(path, "d")
-    top = parsed.select(path, F.explode("d.panels").alias("p"))
-    nested = top.select(path, F.explode("p.panels").alias("p"))
-    panels = top.select(path, F.col("p.id").alias("id"), F.col("p.datasource").alias("ds"),
-                        F.col("p.targets").alias("targets")) \
-        .unionByName(nested.select(path, F.col("p.id").alias("id"), F.col("p.datasource").alias("ds"),
-                                   F.col("p.targets").alias("targets")))
-    panels = panels.filter(F.col("ds").isNotNull())
-    return panels.select(path, F.col("id").alias("panel_id"), F.col("ds.type").alias("ds_type"),
-                         F.col("ds.uid").alias("ds_uid"), F.explode_outer("targets").alias("t")) \
-        .select(path, "panel_id", "ds_type", "ds_uid", F.col("t.refId").alias("ref"),
-                F.col("t.expr").alias("expr"), F.col("t.query").alias("query"))
+    def rows(p):
+        ts = F.when(F.size(p["targets"]) > 0, p["targets"]).otherwise(F.array(F.lit(None).cast(_TG[6:-1])))
+        return F.transform(ts, lambda t: F.struct(
+            p["id"].alias("panel_id"), p["ds"]["type"].alias("ds_type"), p["ds"]["uid"].alias("ds_uid"),
+            t["refId"].alias("ref"), t["expr"].alias("expr"), t["query"].alias("query")))
+    return F.flatten(F.transform(F.filter(F.concat(top, nested), lambda p: p["ds"].isNotNull()), rows))
 
 
 # Datasource kinds and the query language / field each one uses.
@@ -155,24 +184,26 @@ RULE_SCHEMA = f"struct<{_GROUPS},spec:struct<{_GROUPS}>>"
 @udtf(returnType="grp string, rule string", useArrow=True)
 class RuleWalk:
     """Visit every object at any depth; for each object with an ``expr``, emit the ``name`` of the
-    object that holds it (directly or in a list) and the object as JSON. Invalid JSON yields nothing."""
+    object that holds it (directly or in a list) and the object as JSON. A document without any (or
+    NULL, or invalid) gives one row without a rule."""
 
     def eval(self, doc: str):
-        if doc is None:
-            return
         try:
-            root = json.loads(doc)
+            stack = [(json.loads(doc), None)] if doc is not None else []
         except ValueError:
-            return
-        stack = [(root, None)]
+            stack = []
+        found = False
         while stack:
             o, grp = stack.pop()
             if isinstance(o, dict):
                 if o.get("expr") is not None:
+                    found = True
                     yield grp, json.dumps(o)
                 stack.extend((v, _s(o.get("name"))) for v in o.values())
             elif isinstance(o, list):
                 stack.extend((v, grp) for v in o)
+        if not found:
+            yield None, None
 
 
 def load_rules(files: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
@@ -192,10 +223,12 @@ def load_rules(files: DataFrame, path: str = "path", text: str = "json") -> Data
         F.size(F.filter(g["rules"], lambda r: r["expr"].isNotNull()))))
     keys = F.size(F.split(F.col(text), '"expr"', -1)) - 1
     d = with_columns_once(d, {"covered": F.coalesce(found == keys, F.lit(False))})
-    fast = d.filter("covered").select(path, F.explode("gs").alias("g"))
-    fast = fast.select(path, F.col("g.name").alias("grp"), F.explode("g.rules").alias("r"))
-    slow = d.filter(~F.col("covered")).select(path, text).lateralJoin(RuleWalk(F.col(text).outer()))
-    r = fast.unionByName(slow.select(path, "grp", F.from_json("rule", _RULE).alias("r")))
+    walked = d.lateralJoin(RuleWalk(F.when(~F.col("covered").outer(), F.col(text).outer())))
+    pair = f"array<struct<grp:string,r:{_RULE}>>"
+    fast = F.flatten(F.transform("gs", lambda g: F.transform(
+        F.coalesce(g["rules"], F.array().cast(f"array<{_RULE}>")), lambda x: F.struct(g["name"].alias("grp"), x.alias("r")))))
+    slow = F.array(F.struct(F.col("grp"), F.from_json("rule", _RULE).alias("r")))
+    r = walked.select(path, F.inline(F.when(F.col("covered"), fast.cast(pair)).otherwise(slow.cast(pair))))
     return r.filter(F.col("r.expr").isNotNull()).select(
         path, "grp", F.coalesce(F.col("r.alert"), F.col("r.record")).alias("alert"), F.col("r.expr").alias("expr"),
         F.when(F.col("r.for").isNull(), 0).otherwise(duration_ns_col(F.col("r.for"))).alias("for_ns"),

@@ -272,3 +272,66 @@ def test_rules_at_any_depth(spark):
     two = [("A", "up == 0", 300 * 10 ** 9, "critical", {"summary": "s"}), ("r", "sum(up)", 0, None, None)]
     want = [(p, "g", *r) for p in ("top", "spec", "deep", "both", "both") for r in two] + [("bare", None, *two[0])]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+# ---------------------------------------------------------------- rules as a table
+
+def test_rules_as_a_table(spark):
+    from pulsegrid.functions.time import Grid
+    from pulsegrid.operators import alerts as AL
+
+    step = 60 * 10**9
+    exprs = {"hot": 'temp{room="a", floor!~"b.*"} > 10', "any": "temp >= 5", "cold": 'temp{room=~"a|b"}<-1.5e1',
+             "sum": "sum(temp) > 1", "none": None, "absent": 'temp{none=""} == 20', "part": 'temp{room=~"[a"} > 1 or x'}
+    rules = spark.createDataFrame(
+        [(k, e, (60 if k == "any" else 0) * 10**9, {"summary": "{{ $labels.room }}/{{$value}}/{{ $labels.no }}{{ other }}!"})
+         for k, e in exprs.items()], "alert string, expr string, for_ns long, annotations map<string,string>")
+    parsed = AL.comparison_rules(rules.withColumn("severity", F.lit("page")))
+    assert {r.alert for r in parsed.filter("metric is null").collect()} == {"sum", "none", "part"}
+    v = spark.createDataFrame([("temp", {"room": r}, f"s{r}", j, j * 60, x) for r, j, x in
+                               [("a", 0, 20.0), ("a", 1, 20.0), ("a", 3, 6.0), ("b", 0, 4.0), ("b", 1, -20.0)]],
+                              "metric string, labels map<string,string>, series_id string, j long, t long, value double")
+    st = AL.rule_states(v, parsed, Grid(0, 10 * step, step))
+    got = {(r.alert, r.labels["room"], r.j): r.state for r in st.collect()}
+    assert {k: s for k, s in got.items() if k[0] == "hot"} == {("hot", "a", 0): "firing", ("hot", "a", 1): "firing", ("hot", "a", 3): "inactive"}
+    assert [got["any", "a", j] for j in (0, 1, 3)] == ["pending", "firing", "pending"]
+    assert got["cold", "b", 1] == "firing" and got["absent", "a", 0] == "firing" and got["absent", "b", 0] == "inactive"
+    text = AL.rendered(F.col("annotations")["summary"], F.col("labels"), F.col("value"))
+    assert st.filter("alert = 'hot' and j = 0").select(text.alias("x")).first().x == "a/20.0/!"
+
+
+def test_rule_table_plan_does_not_grow_with_the_rules(spark):
+    from pulsegrid.functions.time import Grid
+    from pulsegrid.operators import alerts as AL
+
+    v = spark.createDataFrame([("m", {"a": "1"}, "s", 0, 0, 1.0)],
+                              "metric string, labels map<string,string>, series_id string, j long, t long, value double")
+    sizes = []
+    for n in (1, 1000):
+        rules = spark.range(n).select(F.concat(F.lit("r"), "id").alias("alert"), F.lit('m{a="1"} > 0').alias("expr"),
+                                      F.lit(0).cast("long").alias("for_ns"), F.lit("x").alias("severity"),
+                                      F.create_map(F.lit("a"), F.lit("b")).alias("annotations"))
+        st = AL.rule_states(v, AL.comparison_rules(rules), Grid(0, 10, 1))
+        assert st.filter("state = 'firing'").count() == n
+        sizes.append(len(st._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+    assert sizes[0] == sizes[1]
+
+
+def test_corpus_is_read_once(spark, scratch):
+    """Findings of all dashboard checks scan the documents a single time."""
+    from pulsegrid.operators import lint
+    from pulsegrid.sources import corpus
+
+    deep = '{"rows": [{"panels": [{"panels": [{"panels": [{"id": 1, "datasource": {"type": "tempo", "uid": "x"},' \
+           ' "targets": [{"query": "{ kind = 2 }"}]}]}]}]}]}'
+    flat = '{"panels": [{"id": 2, "datasource": {"type": "loki", "uid": "loki"}, "targets": []}, {"id": 3}]}'
+    path = f"{scratch}/docs"
+    spark.createDataFrame([("a", deep), ("b", flat), ("c", "{"), ("d", None), ("e", "{}")], "path string, json string").write.parquet(path)
+    rows = corpus.document_rows(spark.read.parquet(path))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") <= 1
+    assert sorted((r.path, r.valid, r.found, r.panel_id or 0) for r in rows.collect()) == [
+        ("a", True, True, 1), ("b", True, True, 2), ("c", False, False, 0), ("d", False, False, 0), ("e", True, False, 0)]
+    got = lint.corpus_findings(spark, rows)
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    bad = {(r.check, r.subject) for r in got.filter("status = 'FAIL'").collect()}
+    assert bad == {("json_valid", "c"), ("json_valid", "d"), ("datasource_uid", "a"), ("traceql_unscoped_kind", "a")}
