@@ -73,6 +73,9 @@ def _window_ends(points: DataFrame, values: list[str], grid: Grid, range_ns: int
         *[F.sum(F.when(F.col("is_first"), F.col(v))).alias(f"f_{v}") for v in [*values, *extra]],
         *[F.sum(F.when(F.col("is_last"), F.col(v))).alias(f"l_{v}") for v in [*values, *extra]])
 
+    # few and small rows that grow by the explode below: as many tasks as set, not as few as their bytes suggest
+    tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = cells.repartition(tasks, "series_id")
     ws = Window.partitionBy("series_id").orderBy("first_ts")
     past = ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = _increments([F.col(f"f_{v}") for v in values], [F.lag(f"l_{v}").over(ws) for v in values],

@@ -40,11 +40,8 @@ def _walk_targets(doc: str | None):
                 dtype, duid = _s(ds.get("type")), _s(ds.get("uid"))
                 targets = [t for t in (o.get("targets") or []) if isinstance(t, dict)] \
                     if isinstance(o.get("targets"), list) else []
-                if targets:
-                    for t in targets:
-                        yield pid, dtype, duid, _s(t.get("refId")), _s(t.get("expr")), _s(t.get("query"))
-                else:
-                    yield pid, dtype, duid, None, None, None
+                for t in targets or [{}]:
+                    yield pid, dtype, duid, _s(t.get("refId")), _s(t.get("expr")), _s(t.get("query"))
             stack.extend(o.values())
         elif isinstance(o, list):
             stack.extend(o)
@@ -58,17 +55,20 @@ class DashboardWalk:
         yield from _walk_targets(doc)
 
 
-@udtf(returnType="found boolean, " + TARGET_SCHEMA, useArrow=True)
-class DocumentWalk:
-    """As ``DashboardWalk``; a document without targets (or NULL) gives one row that says so."""
+def _walk_udf(walk, kind: str):
+    """A column function: the rows that ``walk`` finds in a document, as an array (NULL for NULL). Documents
+    go to Python in Arrow batches; NULL stands for those that need no walk."""
+    import pyarrow as pa
 
-    def eval(self, doc: str):
-        found = False
-        for row in _walk_targets(doc):
-            found = True
-            yield True, *row
-        if not found:
-            yield False, None, None, None, None, None, None
+    names = [f.split(":")[0].split("<")[-1] for f in kind.split(",")]
+    types = [pa.int64() if f.rstrip(">").endswith(":bigint") else pa.string() for f in kind.split(",")]
+    arrow_type = pa.list_(pa.struct(list(zip(names, types))))
+
+    def found(docs):
+        return pa.array([None if d is None else list(walk(d)) for d in docs.to_pylist()], arrow_type)
+
+    found.__annotations__ = {"docs": pa.Array, "return": pa.Array}
+    return F.arrow_udf(found, f"array<{kind}>")
 
 
 def _s(v):
@@ -117,13 +117,13 @@ def document_rows(docs: DataFrame, path: str = "path", text: str = "json") -> Da
 
     let_workers_import(docs.sparkSession)
     p = _parse_2level(docs, path, text)
-    walked = p.lateralJoin(DocumentWalk(F.when(~F.col("covered").outer(), F.col(text).outer())))
+    walk = _walk_udf(lambda doc: (dict(zip(names, row)) for row in _walk_targets(doc)), _TARGET)
     names = [f.split()[0] for f in TARGET_SCHEMA.split(", ")]
     none = F.lit(None).cast(_TARGET)
-    own = F.when(F.col("found"), F.struct(*names))
-    rows = F.when(F.col("covered"), _targets_2level(F.col("d"))).otherwise(F.array(own))
+    p = with_columns_once(p, {"walked": walk(F.when(~F.col("covered"), F.col(text)))})
+    rows = F.when(F.col("covered"), _targets_2level(F.col("d"))).otherwise(F.col("walked"))
     rows = F.when(F.size(rows) > 0, rows).otherwise(F.array(none))
-    x = walked.select(path, json_valid(F.col(text)).alias("valid"), F.explode(rows).alias("t"))
+    x = p.select(path, json_valid(F.col(text)).alias("valid"), F.explode(rows).alias("t"))
     return x.select(path, "valid", F.col("t").isNotNull().alias("found"), *[F.col(f"t.{n}").alias(n) for n in names])
 
 
@@ -181,29 +181,21 @@ _GROUPS = f"groups:array<struct<name:string,rules:array<{_RULE}>>>"
 RULE_SCHEMA = f"struct<{_GROUPS},spec:struct<{_GROUPS}>>"
 
 
-@udtf(returnType="grp string, rule string", useArrow=True)
-class RuleWalk:
-    """Visit every object at any depth; for each object with an ``expr``, emit the ``name`` of the
-    object that holds it (directly or in a list) and the object as JSON. A document without any (or
-    NULL, or invalid) gives one row without a rule."""
-
-    def eval(self, doc: str):
-        try:
-            stack = [(json.loads(doc), None)] if doc is not None else []
-        except ValueError:
-            stack = []
-        found = False
-        while stack:
-            o, grp = stack.pop()
-            if isinstance(o, dict):
-                if o.get("expr") is not None:
-                    found = True
-                    yield grp, json.dumps(o)
-                stack.extend((v, _s(o.get("name"))) for v in o.values())
-            elif isinstance(o, list):
-                stack.extend((v, grp) for v in o)
-        if not found:
-            yield None, None
+def _walk_rules(doc: str):
+    """Visit every object at any depth; for each object with an ``expr``, the ``name`` of the object that
+    holds it (directly or in a list) and the object as JSON. Invalid JSON gives nothing."""
+    try:
+        stack = [(json.loads(doc), None)]
+    except ValueError:
+        return
+    while stack:
+        o, grp = stack.pop()
+        if isinstance(o, dict):
+            if o.get("expr") is not None:
+                yield {"grp": grp, "rule": json.dumps(o)}
+            stack.extend((v, _s(o.get("name"))) for v in o.values())
+        elif isinstance(o, list):
+            stack.extend((v, grp) for v in o)
 
 
 def load_rules(files: DataFrame, path: str = "path", text: str = "json") -> DataFrame:
@@ -223,12 +215,13 @@ def load_rules(files: DataFrame, path: str = "path", text: str = "json") -> Data
         F.size(F.filter(g["rules"], lambda r: r["expr"].isNotNull()))))
     keys = F.size(F.split(F.col(text), '"expr"', -1)) - 1
     d = with_columns_once(d, {"covered": F.coalesce(found == keys, F.lit(False))})
-    walked = d.lateralJoin(RuleWalk(F.when(~F.col("covered").outer(), F.col(text).outer())))
+    walk = _walk_udf(_walk_rules, "struct<grp:string,rule:string>")
+    d = with_columns_once(d, {"walked": walk(F.when(~F.col("covered"), F.col(text)))})
     pair = f"array<struct<grp:string,r:{_RULE}>>"
     fast = F.flatten(F.transform("gs", lambda g: F.transform(
         F.coalesce(g["rules"], F.array().cast(f"array<{_RULE}>")), lambda x: F.struct(g["name"].alias("grp"), x.alias("r")))))
-    slow = F.array(F.struct(F.col("grp"), F.from_json("rule", _RULE).alias("r")))
-    r = walked.select(path, F.inline(F.when(F.col("covered"), fast.cast(pair)).otherwise(slow.cast(pair))))
+    slow = F.transform("walked", lambda x: F.struct(x["grp"].alias("grp"), F.from_json(x["rule"], _RULE).alias("r")))
+    r = d.select(path, F.inline(F.when(F.col("covered"), fast.cast(pair)).otherwise(slow.cast(pair))))
     return r.filter(F.col("r.expr").isNotNull()).select(
         path, "grp", F.coalesce(F.col("r.alert"), F.col("r.record")).alias("alert"), F.col("r.expr").alias("expr"),
         F.when(F.col("r.for").isNull(), 0).otherwise(duration_ns_col(F.col("r.for"))).alias("for_ns"),
