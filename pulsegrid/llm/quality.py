@@ -42,11 +42,22 @@ def _classes(text: Column) -> Column:
 
 
 def _class_counts(mapped: Column) -> Column:
-    """Characters of each class, then of none of them."""
-    size = F.octet_length(mapped)  # stand-ins are one byte each
-    n = F.array(*[(size - F.octet_length(F.replace(mapped, F.lit(k), F.lit("")))).cast("double") for k in CLASSES])
-    return let(n, lambda c: F.concat(c, F.array(
-        F.length(mapped).cast("double") - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))))
+    """Characters of each class, then of none of them. The first class, most of any text, is taken
+    out first, so that the others are looked for in what is left."""
+    first, *others = CLASSES
+
+    def without(x, k):
+        return F.replace(x, F.lit(k), F.lit(""))
+
+    def gone(x, k):  # stand-ins are one byte each
+        return (F.octet_length(x) - F.octet_length(without(x, k))).cast("double")
+
+    def rest_counts(rest):
+        n = let(F.array(*[gone(rest, k) for k in others]), lambda c: F.concat(c, F.array(
+            F.length(rest).cast("double") - F.aggregate(c, F.lit(0.0), lambda a, x: a + x))))
+        return F.concat(F.array((F.octet_length(mapped) - F.octet_length(rest)).cast("double")), n)
+
+    return let(without(mapped, first), rest_counts)
 
 
 def _dup_lines(text: Column) -> Column:
@@ -54,12 +65,18 @@ def _dup_lines(text: Column) -> Column:
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
+def _after(x: Column, k: int) -> Column:
+    """An array without its first k items."""
+    return F.slice(x, k + 1, F.size(x))
+
+
 def _repeat_words(words: Column) -> Column:
     """Words that lie in a 3-word window found at least twice. Windows are compared by a 64-bit hash
     of their words' hashes (each word is hashed once), sorted with their places: O(n log n) for any
     text; texts without a repeated window stop early."""
-    hashes = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(
-        F.slice(h, 3, F.size(h)), lambda last, i: F.xxhash64(F.get(h, i), F.get(h, i + 1), last)))
+    def windows(h):
+        pairs = F.zip_with(h, _after(h, 1), lambda a, b: F.xxhash64(a, b))
+        return F.slice(F.zip_with(pairs, _after(h, 2), lambda a, b: F.xxhash64(a, b)), F.lit(1), F.greatest(F.size(h) - 2, F.lit(0)))
 
     def places(g):
         def doubled(s):
@@ -69,7 +86,8 @@ def _repeat_words(words: Column) -> Column:
             doubled(s), lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
         return F.size(F.array_distinct(cover))
 
-    found = let(hashes, lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), 0).otherwise(places(g)))
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    found = let(let(hashes, windows), lambda g: F.when(F.size(F.array_distinct(g)) == F.size(g), 0).otherwise(places(g)))
     return F.when(F.size(words) < 4, 0).otherwise(found)
 
 
@@ -132,9 +150,10 @@ def class_references(df: DataFrame, classes: str, lang: str = "lang") -> DataFra
 
 
 def _word_bins(words: Column, common: Column) -> Column:
-    """Occurrences of each common word: words stand between two blanks of their own in one string,
-    from which a common word is taken out with its blanks."""
-    spaced = F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
+    """Occurrences of each common word: the common words among ``words`` stand between two blanks of
+    their own in one string, from which each is taken out with its blanks."""
+    some = F.filter(words, lambda w: F.array_contains(common, w))
+    spaced = F.concat(F.lit(" "), F.array_join(some, "  "), F.lit(" "))
     return let(spaced, lambda s: F.transform(common, lambda w: (
         (F.octet_length(s) - F.octet_length(F.replace(s, F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
         / (F.octet_length(w) + 2)).cast("double")))
