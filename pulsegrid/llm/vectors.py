@@ -2,7 +2,8 @@
 
 Vectors link when their labels are equal and not null and their cosine, in double precision, is at
 least ``THRESHOLD``. Vectors that are null, empty, zero, or hold null or non-finite components link
-with nothing; vectors of different lengths do not link.
+with nothing; vectors of different lengths do not link. Vectors whose largest component is beyond
+1e100 or under 1e-100 are divided by it first, so that their squares neither overflow nor vanish.
 
 * Equal vectors of one label are one class with a weight; only classes are compared.
 * The neighbour graph starts from random-projection cells: hyperplane signs per label, as many as
@@ -46,10 +47,13 @@ MAX_ROUNDS, SETTLED = 4, 0.01
 def classes(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     """(id, cls, group, v): usable rows have a class (hash of label and vector), the others null."""
     v = F.col(vector).cast("array<double>")
-    norm = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
+    top = F.array_max(F.transform(v, F.abs))
     good = (F.col(label).isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x))
-            & (norm > 0) & (norm < float("inf")))
-    rows = df.select(F.col(key).alias("id"), F.col(label).alias("label"), v.alias("v"), F.coalesce(good, F.lit(False)).alias("good"))
+            & (top > 0) & (top < float("inf")))
+    # squares of components beyond these bounds leave the range of doubles
+    scaled = F.when(((top > 1e100) & (top < float("inf"))) | ((top < 1e-100) & (top > 0)), F.transform(v, lambda x: x / top)).otherwise(v)
+    rows = df.select(F.col(key).alias("id"), F.col(label).alias("label"), F.coalesce(good, F.lit(False)).alias("good"), v.alias("v"), scaled.alias("s"))
+    rows = rows.select("id", "label", "good", F.when(F.col("good"), F.col("s")).otherwise(F.col("v")).alias("v"))
     # -0.0 and 0.0 are one value
     rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
     return rows.select("id", F.when(F.col("good"), F.xxhash64("label", "v")).alias("cls"),

@@ -188,3 +188,13 @@ def test_lost_small_groups_are_seen_and_found(spark, monkeypatch, block):
     got = {r.vec_id: r for r in vectors.near_vectors(df).collect()}
     assert all(got[i].n_links >= 1 for i in range(150, 190))
     _holds(got, rows)
+
+
+def test_magnitudes_beyond_the_range_of_squares(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(0, 1, [1e200, 1e200]), (1, 1, [1e200, 1.01e200]), (2, 1, [1e-200, 1e-200]), (3, 1, [5e-324, 5e-324]),
+            (4, 1, [1.0, 1.0]), (5, 1, [1e200, -1e200]), (6, 1, [inf, inf]), (7, 1, [nan, 1.0]), (8, 1, [0.0, 0.0]),
+            (9, 1, [None, 1.0]), (10, 1, []), (11, None, [1e200, 1e200])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    assert got == {i: (4, 0) if i < 5 else (0, i) for i in range(12)}
