@@ -8,11 +8,12 @@ fixed length. The mix is a sequence of slots, each holding one block:
   weight until none is above.
 * A source's slots read whole passes over its blocks, then a last part pass over whole blocks
   with the final slot cut short, so that it takes exactly its target (rounded down).
+* The output is a sequence of shards of ``SHARD_SLOTS`` slots. How many slots of each source a shard
+  holds is drawn: a pseudorandom permutation deals all slots to shards, which is a multinomial draw
+  conditioned on the totals, so that the targets are met. A source's slots are numbered shard by
+  shard: the drawn counts say where in its stream each shard goes on.
 * Within a pass, slot i reads block perm(i): a pseudorandom permutation per source and pass
   (swap-or-not rounds, which permute any range without search or sort). Blocks join by index.
-* The place of a slot in the output is another such permutation of all slots. An output shard
-  is ``SHARD_SLOTS`` places, so its source counts are a multinomial draw conditioned on the
-  totals: shares of a shard scatter as drawn ones do, the totals meet the targets.
 * Everything follows from the rows and ``seed``: reruns agree.
 
 Null or wordless texts have size 0 and are never taken. Repeated rows are documents of their own
@@ -100,39 +101,67 @@ def placed(df: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         "size": size, "rank": rank, "source_size": total, "target": target, "start": start, "plan": plan}
 
 
-def slots(plan: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """(rank, pass, slot, block, words, place, shard): every slot of the mix, whole words of its block's start.
+def shard_counts(plan: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """(rank, shard, n, first, lower, and the source's numbers): slots of each source drawn for each
+    output shard, the source's slots in the shards before it, and the shard's slots of lower ranks.
 
-    Slots are made in chunks that are dealt out first, so that a hot source's slots spread."""
+    Draws are made in chunks that are dealt out first and counted before the shuffle, so that a hot
+    source spreads; its running sum is taken within groups of shards, then over the groups."""
     size, n_blocks = F.col("source_size"), F.ceil(F.col("source_size") / block).cast("long")
     whole = F.floor(F.col("target")).cast("long")
     runs = plan.filter("source_size > 0").select(
         "rank", size.alias("size"), n_blocks.alias("blocks"), F.floor(whole / size).cast("long").alias("passes"),
         F.pmod(whole, size).alias("rest"))
-    runs = runs.withColumn("n", F.col("passes") * F.col("blocks") + F.ceil(F.col("rest") / block))
+    runs = runs.withColumn("slots", F.col("passes") * F.col("blocks") + F.ceil(F.col("rest") / block))
     order = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("first", F.coalesce(F.sum("n").over(order), F.lit(0)))
-    runs = runs.withColumn("all", F.sum("n").over(Window.partitionBy())).filter("n > 0")
-    chunks = runs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / _CHUNK))))
+    runs = runs.withColumn("before", F.coalesce(F.sum("slots").over(order), F.lit(0)))
+    runs = settle(runs.withColumn("all", F.sum("slots").over(Window.partitionBy())).filter("slots > 0"))
+    chunks = runs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / _CHUNK))))
     parts = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    one = chunks.repartition(parts, "rank", "chunk").withColumn("slot", F.explode(F.sequence(
-        F.col("chunk") * _CHUNK, F.least((F.col("chunk") + 1) * _CHUNK, F.col("n")) - 1)))
+    dealt = chunks.repartition(parts, "rank", "chunk").select("rank", "all", F.explode(F.sequence(
+        F.col("before") + F.col("chunk") * _CHUNK,
+        F.col("before") + F.least((F.col("chunk") + 1) * _CHUNK, F.col("slots")) - 1)).alias("x"))
+    place = permuted(F.col("x"), F.col("all"), F.lit(-1).cast("long"), seed)
+    drawn = settle(dealt.select("rank", F.floor(place / SHARD_SLOTS).cast("long").alias("shard"))
+                   .groupBy("rank", "shard").agg(F.count("*").alias("n")))
+    drawn = drawn.withColumn("group", F.floor(F.col("shard") / SHARD_SLOTS).cast("long"))
+
+    def running(keys, by, n):
+        return F.coalesce(F.sum(n).over(Window.partitionBy(*keys).orderBy(by).rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0))
+
+    groups = drawn.groupBy("rank", "group").agg(F.sum("n").alias("m")).select(
+        "rank", "group", running(["rank"], "group", "m").alias("past"))
+    drawn = drawn.join(groups, ["rank", "group"]).withColumn(
+        "first", F.col("past") + running(["rank", "group"], "shard", "n"))
+    drawn = drawn.withColumn("lower", running(["shard"], "rank", "n"))  # at most a shard's slots
+    return drawn.select("rank", "shard", "n", "first", "lower").join(runs.drop("slots", "before"), "rank")
+
+
+def slots(plan: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """(rank, pass, slot, block, words, place, shard): every slot of the mix, whole words of its block's start.
+
+    Within a shard places are dealt by a permutation of its own."""
+    size = F.col("size")
+    one = shard_counts(plan, block, seed).withColumn("slot", F.explode(F.sequence(  # at most a shard's slots
+        F.col("first"), F.col("first") + F.col("n") - 1)))
     done = F.floor(F.col("slot") / F.col("blocks")).cast("long")
     i = F.col("slot") - done * F.col("blocks")
     part = done == F.col("passes")  # the last, part pass: whole blocks only, then what is left of the rest
-    full = F.floor(F.col("size") / block).cast("long")
+    full = F.floor(size / block).cast("long")
     one = with_columns_once(one, {
-        "pass": done, "i": i, "key": F.col("rank") * 64 + done, "out": F.col("first") + F.col("slot"),
+        "pass": done, "i": i, "key": F.col("rank") * 64 + done,
         "tail": part & (i >= full), "span": F.greatest(F.when(part, full).otherwise(F.col("blocks")), F.lit(1)),
         "words": F.when(part, F.least(F.lit(block), F.col("rest") - i * block)).otherwise(F.lit(block)).cast("long")})
     read = F.when(F.col("tail"), F.col("i")).otherwise(permuted(F.col("i"), F.col("span"), F.col("key"), seed))
-    place = permuted(F.col("out"), F.col("all"), F.lit(-1).cast("long"), seed)
-    return one.select("rank", "pass", "slot", read.alias("block"), "words", place.alias("place")).withColumn(
-        "shard", F.floor(F.col("place") / SHARD_SLOTS).cast("long"))
+    start = F.col("shard") * SHARD_SLOTS
+    place = start + permuted(F.col("lower") + F.col("slot") - F.col("first"),
+                             F.least(F.lit(SHARD_SLOTS).cast("long"), F.col("all") - start), -1 - F.col("shard"), seed)
+    return one.select("rank", "pass", "slot", read.alias("block"), "words", place.alias("place"), "shard")
 
 
 def overlaps(wide: DataFrame, at: dict, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """(rank, start, lo, pass, words, place): what each slot takes of each document it meets.
+    """(rank, start, lo, pass, words, shard): what each slot takes of each document it meets.
 
     Documents and slots are joined by (source, block index); a document is known by its place."""
     docs = wide.filter(F.col(at["size"]) > 0).select(
@@ -145,22 +174,24 @@ def overlaps(wide: DataFrame, at: dict, block: int = BLOCK, seed: int = SEED) ->
     # slots grow with the words, though they are made from a small table: never a broadcast
     met = pieces.join(slots(at["plan"], block, seed).hint("merge"), ["rank", "block"])
     words = F.least(hi, F.col("block") * block + F.col("words")) - lo
-    return met.select("rank", "start", (lo - F.col("start")).alias("lo"), "pass", "place",
+    return met.select("rank", "start", (lo - F.col("start")).alias("lo"), "pass", "shard",
                       words.alias("words")).filter("words > 0")
 
 
 def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """(key, size, source_size, target, taken): one row for each row of ``df``."""
+    """(key, size, source_size, target, taken, first_shard, last_shard): one row for each row of ``df``;
+    the lowest and highest output shard that holds words of it (null: none)."""
     slim = df.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(source).alias("source"))
     wide, at = placed(slim, "id", "text", "source")
     wide = settle(wide.select("id", *[F.col(at[c]).alias(c) for c in ("size", "rank", "source_size", "target", "start")]))
     own = {c: c for c in ("size", "rank", "source_size", "target", "start")} | {"plan": at["plan"]}
-    taken = overlaps(wide, own, block, seed).groupBy("rank", "start").agg(F.sum("words").alias("taken"))
+    taken = overlaps(wide, own, block, seed).groupBy("rank", "start").agg(
+        F.sum("words").alias("taken"), F.min("shard").alias("first_shard"), F.max("shard").alias("last_shard"))
     met = wide.filter("size > 0").join(taken, ["rank", "start"], "left").unionByName(
-        wide.filter("size = 0").withColumn("taken", F.lit(0).cast("long")))
+        wide.filter("size = 0").withColumn("taken", F.lit(0).cast("long")), allowMissingColumns=True)
     return met.select(F.col("id").alias(key), "size", "source_size", "target",
-                      F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+                      F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_shard", "last_shard")
 
 
 def mixed_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",

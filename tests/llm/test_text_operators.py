@@ -176,3 +176,31 @@ def test_slots_are_permutations(spark):
     s = mixing.slots(at["plan"]).toPandas()
     assert sorted(s.place) == list(range(len(s)))
     assert not s.duplicated(["rank", "pass", "block"]).any()
+
+
+def test_shards_draw_the_slots_that_are_read(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 16)
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    _, at = mixing.placed(df)
+    s = mixing.slots(at["plan"]).toPandas()
+    assert sorted(s.place) == list(range(len(s))) and (s.place // 16 == s.shard).all()
+    for _, one in s.sort_values(["shard", "slot"]).groupby("rank"):  # numbered shard by shard
+        assert list(one.slot) == list(range(len(one)))
+    # drawn counts scatter round the shares, and full shards hold all their slots
+    full = s[s.shard < s.shard.max()]
+    assert (full.groupby("shard").size() == 16).all()
+    share = s.groupby("rank").size() / len(s)
+    counts = full.groupby(["shard", "rank"]).size().unstack(fill_value=0)
+    assert abs(counts.mean() / 16 - share).max() < 0.05 and counts.var().max() > 0
+    got = mixing.mix(df)
+    assert got.filter("(taken > 0) <> (first_shard is not null) or first_shard > last_shard").count() == 0
+    assert got.agg(F.max("last_shard")).first()[0] <= s.shard.max()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "shard" in plan
+
+
+def test_mix_of_empty_and_wordless_tables(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, source string")
+    blank = spark.createDataFrame([(1, None, "a"), (2, " ", None)], empty.schema)
+    assert mixing.mix(empty).count() == 0
+    assert {(r.doc_id, r.taken, r.first_shard) for r in mixing.mix(blank).collect()} == {(1, 0, None), (2, 0, None)}
