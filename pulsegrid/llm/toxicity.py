@@ -45,6 +45,7 @@ MAX_NEGATIVE, HARD_NEGATIVE, MAX_POSITIVE = 4000, 1500, 1200
 LANDMARKS = 300
 DECAY, ORDER, WINDOW, ALPHABET = 0.6, 3, 18, 64
 ROUNDS = 2
+RATE = 50  # a witness stands in toxic documents at least this many times as often as in clean ones
 THRESHOLD = 0.7
 TOXIC_SHARE = 1 / 3
 TABLE_BITS = 20  # subsequences are hashed into the table; meetings are rare and harmless
@@ -304,8 +305,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     common = [r[0] for r in clean.orderBy(F.desc("n"), "word").limit(MAX_NEGATIVE // 4).collect()]
     others = [r[0] for r in clean.orderBy(F.xxhash64("word"), "word").limit(3 * MAX_NEGATIVE // 4).collect()]
     negative = sorted({*common, *others})
-    # words of toxic documents that no clean one has: candidates for witnesses (bounded by the sample)
-    odd = words.filter("toxic = 1").join(clean, "word", "left_anti").select("id", "word")
+    # words whose rate in toxic documents is far above that in clean ones: candidates for witnesses
+    told = words.filter("toxic = 1").groupBy("word").agg(F.count("*").alias("t")).join(clean, "word", "left").filter(
+        F.coalesce("n", F.lit(0)) * RATE * n[1] <= F.col("t") * n[0]).select("word")
+    odd = words.filter("toxic = 1").join(told, "word").select("id", "word")
     by_doc: dict[int, list[str]] = {}
     seen: dict[str, int] = {}
     for i, w in odd.orderBy("id", "word").collect():
@@ -319,13 +322,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     positive = sorted((w for w in seen if seen[w] >= least), key=lambda w: (-seen[w], w))
     positive = firm = positive[:MAX_POSITIVE]
     hard: list[str] = []
+    negative = [w for w in negative if w not in seen]
+    fair = settle(clean.join(told, "word", "left_anti"))
     for _ in range(ROUNDS):
         half = LANDMARKS // 2
         marks = list(dict.fromkeys(positive[:half] + hard[:half] + common[:half // 4]))
         weights = {w: float(np.sqrt(seen[w])) for w in positive}
         weights |= {a: 0.2 * weights[w] for w in positive[:half] for a in altered([w]) if a not in weights}
         model = fit(weights, negative, marks)
-        hard = [r[0] for r in clean.select("word", _margin_column(F.col("word"), model).alias("m")).orderBy(
+        hard = [r[0] for r in fair.select("word", _margin_column(F.col("word"), model).alias("m")).orderBy(
             F.desc("m"), "word").limit(HARD_NEGATIVE).collect()]
         negative = sorted({*negative, *hard})
         model = fit({w: v for w, v in weights.items() if w not in set(hard)}, negative, marks)
