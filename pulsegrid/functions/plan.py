@@ -27,16 +27,18 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def left_join_keyed(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join where rows with a NULL key bypass the join (they cannot match anyway).
+    """Left join that reads both sides once and spreads left rows with a NULL key.
 
-    In a shuffle join every NULL key hashes to the same partition; when many rows lack the
-    key (logs without a trace id) that partition would hold them all."""
+    In a shuffle join every NULL key hashes to the same partition; when many rows lack the key (logs
+    without a trace id) that partition would hold them all. A hash of the keys joins them as a further
+    key; for rows with a NULL key, which match nothing, it is a hash of the whole row instead
+    (without maps, which have no hash)."""
     has = F.lit(True)
     for k in keys:
         has = has & F.col(k).isNotNull()
-    joined = left.filter(has).join(right, keys, "left")
-    rest = left.filter(~has)
-    for f in right.schema.fields:
-        if f.name not in keys:
-            rest = rest.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return joined.unionByName(rest)
+    plain = [f.name for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread = F.when(has, F.xxhash64(*keys)).otherwise(F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
+    out = left.withColumn("__spread", spread).join(
+        right.withColumn("__spread", F.xxhash64(*keys)), [*keys, "__spread"], "left")
+    return out.select(*[F.col(f"`{c}`") for c in left.columns],
+                      *[F.col(f"`{c}`") for c in right.columns if c not in keys])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import strip_histogram_suffix
-from ..functions.plan import with_columns_once
+from ..functions.plan import settled, with_columns_once
 
 FINDING_COLS = ["check", "subject", "status", "detail"]
 
@@ -74,7 +74,8 @@ def label_coverage(labels: DataFrame, provided_keys: DataFrame, builtin_present:
 
     One left join against the union of key tables; the status comes from a ``when`` chain.
     ``mode="substring"`` reproduces a substring search (a wanted key is covered when it
-    occurs inside any provided key of its scope)."""
+    occurs inside any provided key of its scope), through ``contains_join``: its keys are the
+    texts, not the two or three scopes. An empty key is covered by nothing."""
     scope = F.split_part(F.col("source"), F.lit(":"), F.lit(1))
     key = F.regexp_extract(F.col("source"), r"^[^:]*:(.*)$", 1)
     lab = labels.select("label", "source", scope.alias("scope"), key.alias("key"))
@@ -82,10 +83,12 @@ def label_coverage(labels: DataFrame, provided_keys: DataFrame, builtin_present:
              .unionByName(builtin_present.select(F.lit("builtin").alias("scope"), F.col("field").alias("key")))
              .distinct().withColumn("__hit", F.lit(True)))
     if mode == "substring":
-        hit = (avail.select("scope", F.col("key").alias("pkey"))
-               .join(lab.select("label", "scope", "key"), ["scope"]).filter(F.contains(F.col("pkey"), F.col("key")))
-               .select("label").distinct().withColumn("__hit", F.lit(True)))
-        j = lab.join(hit, "label", "left")
+        hay = avail.select(F.struct("scope", "key").alias("h"), F.col("key").alias("htext"))
+        wanted = lab.filter(F.col("key") != "").select(F.struct("scope", "key").alias("n"), F.col("key").alias("ntext"))
+        hit = (contains_join(hay, wanted.distinct(), "h", "htext", "n", "ntext")
+               .filter(F.col("h.scope") == F.col("n.scope"))
+               .select("n.scope", "n.key").distinct().withColumn("__hit", F.lit(True)))
+        j = lab.join(hit, ["scope", "key"], "left")
     else:
         j = lab.join(avail, ["scope", "key"], "left")
     known = F.col("scope").isin("resource", "attribute", "builtin")
@@ -111,6 +114,12 @@ def classify_names(dynamic: DataFrame, known: DataFrame, provided: DataFrame,
     return j.select("name", cls.alias("class"))
 
 
+def name_findings(classes: DataFrame, check: str = "dynamic_metric") -> DataFrame:
+    """JN-7 as findings: a name that no step of the waterfall explains is a WARN."""
+    status = F.when(F.col("class") == "unverified", "WARN").otherwise("PASS")
+    return classes.select(*finding(check, F.col("name"), status, F.col("class")))
+
+
 def unknown(dynamic: DataFrame, known: DataFrame, on: str = "name") -> DataFrame:
     """ST-2: dynamic set minus known set (set semantics)."""
     return dynamic.select(on).distinct().join(known.select(on), on, "left_anti")
@@ -173,9 +182,10 @@ def contains_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_text: str
     result is exact and no needle is broadcast, capped or dropped.
 
     * Needles of k >= 3 tokens: their middle tokens 2..k-1 must appear in the hay as whole,
-      consecutive tokens (the first and last may be glued to neighbouring text). The key is
-      the hash of the first min(k-2, n) middle tokens, joined against the distinct token grams
-      of each hay text, all lengths in one pass.
+      consecutive tokens (the first and last may be glued to neighbouring text). All their runs of
+      min(k-2, n) tokens are hashed; the distinct token grams of each hay text that any needle holds
+      (all lengths in one pass) form an inverted index. Each needle takes the list of its rarest
+      run: phrases that open with common words do not pull in every text with that opening.
     * Needles of 1-2 tokens: their longer token is a substring of one hay token. The key is
       every substring of the distinct hay vocabulary with a length some anchor has; the
       matching vocabulary is mapped back to the documents that use it.
@@ -186,11 +196,12 @@ def contains_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_text: str
     nd = nd.withColumn("ntok", _tokens(F.col("ntext")))
     hy = hay.select(F.col(hay_id).alias("hid"), F.col(hay_text).alias("htext"))
 
-    # ---- k >= 3: middle-gram hashes
+    # ---- k >= 3: middle-gram hashes, every place of a needle
     glen = F.least(F.size("ntok") - F.lit(2), F.lit(n))
-    mid = nd.filter(F.size("ntok") >= 3).select(
-        "nid", glen.alias("L"),
-        F.xxhash64(glen, F.transform(F.slice("ntok", F.lit(2), glen), lambda w: F.xxhash64(w))).alias("h"))
+    mid = nd.filter(F.size("ntok") >= 3).select("nid", glen.alias("L"), F.inline(F.transform(
+        F.sequence(F.lit(2), F.size("ntok") - glen),
+        lambda i: F.struct(i.alias("place"), F.xxhash64(
+            glen, F.transform(F.slice("ntok", i, glen), lambda w: F.xxhash64(w))).alias("h")))))
     th = with_columns_once(hy.select("hid", "htext"), {
         "th": F.transform(_tokens(F.col("htext")), lambda w: F.xxhash64(w)),
         "lens": F.coalesce(mid.agg(F.collect_set("L")).scalar(), F.array().cast("array<int>"))})
@@ -198,7 +209,15 @@ def contains_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_text: str
         F.filter("lens", lambda L: F.size("th") >= L),
         lambda L: F.transform(F.sequence(F.lit(1), F.size("th") - L + 1),
                               lambda i: F.xxhash64(L, F.slice("th", i, L))))))  # longs: distinct by hashing
-    cand = th.select("hid", F.explode(grams).alias("h")).join(mid, "h").select("hid", "nid")
+    # the inverted index of the grams any needle holds, written once: its counts choose each needle's
+    # rarest gram, and that gram's list is the needle's candidates
+    index = settled(th.select("hid", F.explode(grams).alias("h")).join(mid.select("h").distinct(), "h", "left_semi"))
+    df = index.groupBy("h").agg(F.count(F.lit(1)).alias("df"))
+    rarest = (mid.join(df, "h").groupBy("nid").agg(F.min_by("h", F.col("df") * 65536 + F.least("place", F.lit(65535))).alias("h"),
+                                                   F.count(F.lit(1)).alias("found"), F.min("L").alias("L"))
+              .join(mid.groupBy("nid").agg(F.count(F.lit(1)).alias("places")), "nid")
+              .filter("found = places").select("nid", "h"))  # a gram that no text has: no match
+    cand = index.join(rarest, "h").select("hid", "nid")
 
     # ---- k <= 2: substrings of the vocabulary
     t0, t1 = F.get(F.col("ntok"), 0), F.get(F.col("ntok"), 1)

@@ -17,6 +17,9 @@ from ..functions.time import duration_ns
 # Span intrinsics that are not OTLP attributes.
 INTRINSICS = ["kind", "status", "duration", "name", "rootName", "rootServiceName", "traceID", "spanID", "http.url"]
 
+# Intrinsics that are columns; rootName and rootServiceName are there after ``root_attributes``.
+_PLAIN = {"name": "name", "traceID": "trace_id", "spanID": "span_id", "rootName": "rootName",
+          "rootServiceName": "rootServiceName"}
 _KIND = {"unspecified": 0, "internal": 1, "server": 2, "client": 3, "producer": 4, "consumer": 5}
 _STATUS = {"unset": 0, "ok": 1, "error": 2}
 
@@ -37,8 +40,8 @@ def span_pred(field: str, op: str, value) -> Column:
         c, value = F.col("kind"), _KIND.get(value, value)
     elif field == "status":
         c, value = F.col("status_code"), _STATUS.get(value, value)
-    elif field == "name":
-        c = F.col("name")
+    elif field in _PLAIN:
+        c = F.col(_PLAIN[field])
     else:
         raise ValueError(f"unknown span field {field}")
     if op == "=":
@@ -84,8 +87,7 @@ def root_attributes(spans: DataFrame) -> DataFrame:
 def logs_with_spans(logs: DataFrame, spans: DataFrame) -> DataFrame:
     """DD-1: log records joined to their span on (trace_id, span_id); logs without ids kept.
 
-    Records without ids never enter the join: in a shuffle join all NULL keys hash to one
-    partition, and most log records carry no trace id."""
+    Most log records carry no trace id; the join spreads them over all partitions."""
     s = spans.select("trace_id", "span_id", F.col("name").alias("span_name"),
                      (F.col("end_ns") - F.col("start_ns")).alias("span_duration_ns"),
                      F.col("status_code").alias("span_status"))

@@ -32,7 +32,8 @@ def query(name: str, sql: str | None = None, headline: bool = False):
 
 def _load() -> None:
     # import for side effects: each module registers its queries
-    from . import q_corpus, q_coverage, q_metrics, q_panels, q_ranges, q_signals, q_sources, q_streams  # noqa: F401
+    from . import (q_corpus, q_coverage, q_metrics, q_panels, q_probes, q_ranges, q_signals, q_sources,  # noqa: F401
+                   q_streams)  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

@@ -9,10 +9,15 @@ from ..operators.coverage import tally
 
 
 def write_targets(targets: DataFrame, path: str) -> None:
-    """SNK-1: one directory per (lang, dashboard); the queries of a dashboard stay together."""
-    x = targets.withColumn("dashboard", F.regexp_extract(F.col("path"), r"([^/]+)\.json$", 1))
-    x.select("lang", "dashboard", "panel_id", "text").write.mode("overwrite") \
-        .partitionBy("lang", "dashboard").parquet(path)
+    """SNK-1: one folder per language; in its files, in order, each dashboard's header line and then its
+    distinct queries (dashboard, header, line). Rows are range-partitioned by that order, so there is
+    no folder or file per dashboard and a large dashboard may span files."""
+    dashboard = F.regexp_extract(F.col("path"), r"([^/]+)\.json$", 1)
+    lines = F.array(F.struct(F.lit(True).alias("header"), F.concat(F.lit("# "), dashboard).alias("line")),
+                    F.struct(F.lit(False).alias("header"), F.col("text").alias("line")))
+    x = targets.select("lang", dashboard.alias("dashboard"), F.inline(lines)).distinct()
+    order = ["lang", "dashboard", F.col("header").desc(), "line"]
+    x.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("lang").parquet(path)
 
 
 def write_report(findings: DataFrame, path: str, run_id: str) -> DataFrame:

@@ -9,11 +9,14 @@ from pulsegrid.sources import sinks
 
 def test_write_targets_and_report(spark, scratch):
     t = spark.createDataFrame([("x/d1.json", 1, "promql", "up"), ("x/d1.json", 2, "logql", "{a=\"b\"}"),
-                               ("y/d2.json", 3, "promql", "sum(x)")], "path string, panel_id long, lang string, text string")
+                               ("x/d1.json", 4, "promql", "up"), ("y/d2.json", 3, "promql", "sum(x)")], "path string, panel_id long, lang string, text string")
     sinks.write_targets(t, f"{scratch}/targets")
     back = spark.read.parquet(f"{scratch}/targets")
     assert {(r.lang, r.dashboard) for r in back.select("lang", "dashboard").distinct().collect()} == {
         ("promql", "d1"), ("logql", "d1"), ("promql", "d2")}
+    assert sorted((r.lang, r.dashboard, r.header, r.line) for r in back.collect()) == [
+        ("logql", "d1", False, "{a=\"b\"}"), ("logql", "d1", True, "# d1"), ("promql", "d1", False, "up"),
+        ("promql", "d1", True, "# d1"), ("promql", "d2", False, "sum(x)"), ("promql", "d2", True, "# d2")]
     f = spark.createDataFrame([("c", "a", "PASS", ""), ("c", "b", "FAIL", "x")], "check string, subject string, "
                               "status string, detail string")
     t1 = sinks.write_report(f, f"{scratch}/report", "run1").first()
