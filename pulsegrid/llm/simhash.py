@@ -216,7 +216,9 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         yield _edges(pa, edges)
 
     group = ["table", "key", "i", "j"]
-    return met.repartition(*group).sortWithinPartitions(*group).mapInArrow(compare, "a long, b long")
+    # the cost is comparisons, not bytes: a set number keeps small rows from being laid into one task
+    parts = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return met.repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(compare, "a long, b long")
 
 
 def _edges(pa, edges):
