@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..functions.plan import with_columns_once
 from .common import fresh, let, settle
 
-FREQUENT = 300_000  # distinct words encoded once and kept as a literal map
+FREQUENT = 100_000  # distinct words encoded once and kept as a literal map
 SHORT = 64          # bytes; longer words are never kept and merge by whole ranks
 _PLACES = 1 << 12   # more than the pieces of a short word
 _CUT = "\u0100"     # between pieces; bytes are the characters below it
