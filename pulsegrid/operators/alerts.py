@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import matchers
+from ..functions.plan import with_columns_once
 from ..functions.templates import annotation
 from ..functions.time import Grid, duration_ns
 
@@ -128,12 +129,24 @@ def meets(labels: Column, matcher_list: Column) -> Column:
 
 def rule_states(v: DataFrame, rules: DataFrame, grid: Grid) -> DataFrame:
     """WN-2 with rules as a table: (alert, metric, matchers, op, threshold, for_ns, severity,
-    annotations). The instant vector meets the rules of its metric by an equi-join (Spark broadcasts
-    the rules where their size allows) and their matchers as data, so the plan has the same size
-    for any number of rules. ``for_ns`` NULL counts as no hold time; a rule without metric selects nothing."""
+    annotations). The instant vector meets the rules by an equi-join on the metric and the values of all
+    labels that a rule compares by ``=``, so that a row is compared with the rules it may satisfy and not
+    with all of its metric. Rules without such a matcher meet every series of their metric, as they must.
+    The other matchers are data, so the plan has the same size for any number of rules; which sets of
+    labels the rules compare is a scalar subquery of the same job. ``for_ns`` NULL counts as no hold
+    time; a rule without metric selects nothing."""
     r = rules.filter(F.col("metric").isNotNull() & F.col("threshold").isNotNull()).select(
         "alert", "metric", "matchers", "op", "threshold", F.coalesce("for_ns", F.lit(0)).alias("for_ns"), "severity", "annotations")
-    x = v.join(r, "metric").filter(meets(F.col("labels"), F.col("matchers")))
+    equal = F.array_sort(F.filter("matchers", lambda m: (m["op"] == "=") & (m["value"] != "")))
+    r = with_columns_once(r, {"equal": equal}).select(
+        "*", F.col("equal.label").alias("eq_labels"), F.col("equal.value").alias("eq_values")).drop("equal")
+    sets = r.agg(F.collect_set("eq_labels")).scalar()
+    x = with_columns_once(v, {"sets": sets})
+    x = x.withColumn("eq_labels", F.explode(F.filter("sets", lambda s: F.forall(
+        s, lambda k: F.map_contains_key(F.col("labels"), k))))).drop("sets")
+    x = x.withColumn("eq_values", F.transform("eq_labels", lambda k: F.try_element_at("labels", k)))
+    # by merge: the optimizer's estimates may take the instant vector for the small side and broadcast it
+    x = x.join(r.hint("merge"), ["metric", "eq_labels", "eq_values"]).filter(meets(F.col("labels"), F.col("matchers")))
     return _held_states(x, grid).select("alert", "severity", "annotations", "series_id", "metric", "labels", "j", "t",
                                         "value", "state", "active_since")
 
