@@ -29,16 +29,19 @@ def attr_value(v: Column) -> Column:
 def attributes_to_map(attrs: Column | str) -> Column:
     """SC-1: ARRAY<STRUCT<key, value AnyValue>> -> MAP<STRING,STRING>.
 
-    ``map_from_entries`` rejects duplicate keys by default, so keep the last
-    entry per key first (position-wise), then build the map.
+    Lists whose keys differ become maps as they are. ``map_from_entries`` rejects duplicate keys by
+    default, so of others the last entry per key is kept first (position-wise, entries pair by pair).
     """
     a = _c(attrs)
+    keys = a["key"]
+    plain = F.size(F.array_except(keys, F.array(F.lit(None).cast("string")))) == F.size(a)  # distinct, none null
     entries = F.transform(a, lambda e, i: F.named_struct(F.lit("key"), e["key"], F.lit("value"),
                                                           attr_value(e["value"]), F.lit("pos"), i))
     # last occurrence wins: keep an entry only if no later entry has the same key
     last = F.filter(entries, lambda e: ~F.exists(entries, lambda o: (o["key"] == e["key"]) & (o["pos"] > e["pos"])))
     kv = F.transform(last, lambda e: F.named_struct(F.lit("key"), e["key"], F.lit("value"), e["value"]))
-    return F.when(a.isNull(), F.create_map().cast("map<string,string>")).otherwise(F.map_from_entries(kv))
+    return (F.when(a.isNull(), F.create_map().cast("map<string,string>"))
+            .when(plain, F.map_from_arrays(keys, F.transform(a["value"], attr_value))).otherwise(F.map_from_entries(kv)))
 
 
 def label(labels: Column | str, key: str) -> Column:

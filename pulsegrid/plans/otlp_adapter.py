@@ -1,11 +1,15 @@
 """OTLP adapter: driver tables encoded as OTLP-JSON export requests (one per row, so the
-encoded table grows with the source table). Decoding them again exercises SRC-1..3."""
+encoded table grows with the source table). Decoding them again exercises SRC-1..3.
+
+The requests hold no higher-order functions and are emitted once (``with_columns_once``): under such
+a function, or below ``from_json``, Spark interprets the whole tree of expressions a row."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.plan import with_columns_once
 from ..functions.time import epoch_ns
 from .adapters import HIST_BOUNDS
 
@@ -37,6 +41,10 @@ def _resource(user: Column) -> Column:
                     .alias("attributes"))
 
 
+def _requests(df: DataFrame, req: Column) -> DataFrame:
+    return with_columns_once(df, {"__json": F.to_json(req)}).select(F.col("__json").alias("json"))
+
+
 def a_otlp_metrics(events: DataFrame) -> DataFrame:
     """events -> lines(json): one metric export request per event.
 
@@ -55,9 +63,8 @@ def a_otlp_metrics(events: DataFrame) -> DataFrame:
                          ts.cast("string").alias("timeUnixNano"),
                          F.when(et.isin("signup", "error"), as_int).alias("asInt"),
                          F.when(~et.isin("signup", "error"), F.col("value")).alias("asDouble"))
-    idx = F.size(F.filter(F.array(*[F.lit(float(b)) for b in HIST_BOUNDS]), lambda b: b < F.col("value")))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(len(HIST_BOUNDS))),
-                         lambda i: F.when(i == idx, F.lit("1")).otherwise(F.lit("0")))
+    idx = sum((F.when(F.col("value") > float(b), 1).otherwise(0) for b in HIST_BOUNDS), F.lit(0))
+    counts = F.array(*[F.when(idx == i, F.lit("1")).otherwise(F.lit("0")) for i in range(len(HIST_BOUNDS) + 1)])
     ex = F.when(eid % 3 == 0, F.array(F.struct(ts.cast("string").alias("timeUnixNano"),
                                                F.col("value").alias("asDouble"),
                                                F.concat(F.lit("o"), eid.cast("string")).alias("traceId"),
@@ -81,7 +88,7 @@ def a_otlp_metrics(events: DataFrame) -> DataFrame:
         _resource(u).alias("resource"),
         F.array(F.struct(F.struct(F.lit("app").alias("name"), F.lit("1.0").alias("version")).alias("scope"),
                          F.array(metric).alias("metrics"))).alias("scopeMetrics"))).alias("resourceMetrics"))
-    return events.select(F.to_json(req).alias("json"))
+    return _requests(events, req)
 
 
 def a_otlp_logs(events: DataFrame) -> DataFrame:
@@ -100,15 +107,15 @@ def a_otlp_logs(events: DataFrame) -> DataFrame:
         _resource(u).alias("resource"),
         F.array(F.struct(F.struct(F.lit("app").alias("name")).alias("scope"),
                          F.array(rec).alias("logRecords"))).alias("scopeLogs"))).alias("resourceLogs"))
-    return events.select(F.to_json(req).alias("json"))
+    return _requests(events, req)
 
 
 def a_otlp_spans(spans: DataFrame) -> DataFrame:
     """spans (a_spans) -> one trace export request per span."""
-    attrs = F.transform(F.map_entries(F.col("attrs")), lambda e: F.struct(
-        e["key"].alias("key"), F.struct(e["value"].alias("stringValue")).alias("value")))
-    res = F.transform(F.map_entries(F.col("res")), lambda e: F.struct(
-        e["key"].alias("key"), F.struct(e["value"].alias("stringValue")).alias("value")))
+    def entries(m):
+        values = F.arrays_zip(F.map_values(m).alias("stringValue"))
+        return F.arrays_zip(F.map_keys(m).alias("key"), values.alias("value"))
+    attrs, res = entries("attrs"), entries("res")
     span = F.struct(F.col("trace_id").alias("traceId"), F.col("span_id").alias("spanId"),
                     F.coalesce(F.col("parent_id"), F.lit("")).alias("parentSpanId"), F.col("name").alias("name"),
                     F.col("kind").alias("kind"), F.col("start_ns").cast("string").alias("startTimeUnixNano"),
@@ -119,7 +126,7 @@ def a_otlp_spans(spans: DataFrame) -> DataFrame:
         F.struct(res.alias("attributes")).alias("resource"),
         F.array(F.struct(F.struct(F.lit("app").alias("name")).alias("scope"),
                          F.array(span).alias("spans"))).alias("scopeSpans"))).alias("resourceSpans"))
-    return spans.select(F.to_json(req).alias("json"))
+    return _requests(spans, req)
 
 
 # How each event type is rendered as a JMX bean line (see sources.jmx).

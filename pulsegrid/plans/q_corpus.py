@@ -343,10 +343,10 @@ def q_span_attr_coverage(spark, d):
     from .otlp_adapter import a_otlp_spans
 
     spans = O.parse_otlp_spans(a_otlp_spans(a_spans(read_table(spark, d, "orders"), read_table(spark, d, "lineitem"))), "json")
-    keys = F.flatten(F.array(
-        F.transform(F.map_keys("attrs"), lambda k: F.struct(F.lit("span").alias("scope"), k.alias("attr"))),
-        F.transform(F.map_keys("res"), lambda k: F.struct(F.lit("resource").alias("scope"), k.alias("attr")))))
-    provided = spans.select(F.inline(keys)).distinct().withColumn("hit", F.lit(True))
+    keys = F.array(F.struct(F.lit("span").alias("scope"), F.map_keys("attrs").alias("attrs")),
+                   F.struct(F.lit("resource").alias("scope"), F.map_keys("res").alias("attrs")))
+    sets = spans.select(F.inline(keys)).distinct()  # spans of a kind have one list of keys
+    provided = sets.select("scope", F.explode("attrs").alias("attr")).distinct().withColumn("hit", F.lit(True))
     rows = [("span", x) for x in [*DEFAULT_SPAN_ATTRS, "duration", "messaging.system"]]
     rows += [("resource", x) for x in [*DEFAULT_RESOURCE_ATTRS, "host.name"]]
     named = C.literal_table(spark, rows, "scope string, attr string").join(provided, ["scope", "attr"], "left")
