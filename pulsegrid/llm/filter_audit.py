@@ -2,8 +2,9 @@
 
 All files of the table are read as available-now micro-batches (at most ``BATCHES`` of equal file
 counts). In each batch a task gives every text its failure mask (one bit a filter, the texts read
-as bytes) and combines equal texts: the row of the smallest id stands for them, the others fail the
-duplicate filter for certain and are only counted. State keyed by the text's SHA-256 keeps the
+as bytes) and its SHA-256; only these, the id and the part meet the labels, so that no text is shuffled
+whatever the size of the labels. A task then combines equal texts: the row of the smallest id stands
+for them, the others fail the duplicate filter for certain and are only counted. State keyed by the text's SHA-256 keeps the
 smallest id seen and what was counted for it; texts share a state entry by hash bucket (about 20,000
 texts each, so that buckets grow in number and not in size). A smaller id in a later batch (or another
 task) retracts the earlier row's mask from the part counters and counts it again with the duplicate bit.
@@ -44,6 +45,7 @@ _CONTINUED = bytes(range(0x80, 0xC0))  # bytes that begin no character
 _DUPLICATE = 1 << 4
 _HELD = 50_000  # distinct texts a task combines before it passes them on
 _BUCKET_TEXTS = 20_000  # texts a bucket of the state holds, about
+_MARK = "id bigint, part string, key binary, mask int"
 _ROW = "bucket int, key binary, id bigint, part string, good int, toxic int, mask int, n bigint, sure boolean"
 _CHANGE = "part string, mask int, good int, toxic int, n bigint"
 _COUNTER = ["part", "mask", "good", "toxic"]
@@ -63,6 +65,15 @@ def _bucket(key: bytes, n: int) -> int:
     return int.from_bytes(key[:4], "big") % n
 
 
+def _marked(batches: Iterable[pa.RecordBatch]):
+    """Key and mask of each row's text, without the text."""
+    for batch in batches:
+        raws = [text.as_py() or b"" for text in batch.column(2).cast(pa.binary())]
+        keys = pa.array([hashlib.sha256(raw).digest() for raw in raws], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), keys, pa.array(map(text_mask, raws), pa.int32())],
+                                         [c.split()[0] for c in _MARK.split(", ")])
+
+
 def _combined(batches: Iterable[pa.RecordBatch], n_buckets: int):
     """One row for each text, smallest id and its labels, and counts of the rows that surely repeat it."""
     texts: dict[bytes, list] = {}  # text -> smallest id, mask, rows of that id by (part, good, toxic)
@@ -80,16 +91,14 @@ def _combined(batches: Iterable[pa.RecordBatch], n_buckets: int):
                                           [c.split()[0] for c in _ROW.split(", ")])
 
     for batch in batches:
-        ids, parts, goods, toxics = (batch.column(i).to_pylist() for i in range(4))
-        for i, part, good, toxic, text in zip(ids, parts, goods, toxics, batch.column(4).cast(pa.binary())):
-            raw, labels = text.as_py() or b"", (part, good, toxic)
+        for i, part, good, toxic, key, mask in zip(*(batch.column(c).to_pylist() for c in range(6))):
+            labels = (part, good, toxic)
             if i is None:
-                sure[(*labels, text_mask(raw))] += 1
+                sure[(*labels, mask)] += 1
                 continue
-            key = hashlib.sha256(raw).digest()
             held = texts.get(key)
             if held is None:
-                texts[key] = [i, text_mask(raw), Counter({labels: 1})]
+                texts[key] = [i, mask, Counter({labels: 1})]
             elif i == held[0]:
                 held[2][labels] += 1
             elif i > held[0]:
@@ -139,8 +148,9 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, text: str = "
     docs = (spark.readStream.schema(table.schema).option("maxFilesPerTrigger", per_batch).parquet(_pattern(path))
             .select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{part}`").cast("string"), F.lit("")).alias("part"),
                     F.col(f"`{text}`").alias("text")))
+    docs = docs.mapInArrow(_marked, _MARK)
     docs = docs.join(marks, F.col("id") == F.col("label_id"), "left").select(
-        "id", "part", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"), "text")
+        "id", "part", F.coalesce("good", F.lit(0)).alias("good"), F.coalesce("toxic", F.lit(0)).alias("toxic"), "key", "mask")
     n_buckets = max(64, -(-table.count() // _BUCKET_TEXTS))
     changes = docs.mapInArrow(lambda batches: _combined(batches, n_buckets), _ROW).groupBy("bucket").applyInPandasWithState(
         _changes, _CHANGE, "texts binary", "append", "NoTimeout")

@@ -141,6 +141,25 @@ def test_audit_equals_brute_force_whatever_the_batches(spark, scratch):
         assert audit(spark, docs(spark, rows), marks, f"{scratch}/d{files}", files) == want
 
 
+def test_audit_joins_and_shuffles_no_text(spark, scratch, monkeypatch):
+    """With labels too many to broadcast, whole texts would be shuffled to meet them."""
+    spark.createDataFrame([(i, f"text {i % 3} " * 300, "en") for i in range(9)], "doc_id long, text string, lang string").write.parquet(f"{scratch}/d")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(9)], "doc_id long, quality int, toxic int")
+    kind, joined = type(labels), []
+    join = kind.join
+    monkeypatch.setattr(kind, "join", lambda self, *a, **k: (joined.append(self.columns), join(self, *a, **k))[1])
+    monkeypatch.setattr(filter_audit, "BATCHES", 2)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = filter_audit.mask_counts(spark, f"{scratch}/d", labels)
+        got = sorted((r["mask"], r.good, r.n) for r in counts.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == [(2, 0, 2), (2, 1, 1), (18, 0, 3), (18, 1, 3)]
+    assert joined and not any("text" in columns for columns in joined)
+
+
 def test_smaller_ids_in_later_batches_retract(spark, scratch):
     for n, i in enumerate((9, 5, 7, 1)):  # one file a batch, in order of writing
         docs(spark, [(i, "same text", "en")]).coalesce(1).write.mode("append").parquet(f"{scratch}/d")
