@@ -1,24 +1,17 @@
-"""Byte-level BPE encoding and decoding by DataFrame expressions.
+"""Byte-level BPE encoding and decoding.
 
-A rank file (``.tiktoken``: base64 piece and rank a line) becomes literal maps of the plan, split
-into hash buckets so that a look-up reads a handful of entries. A text is cut into pre-tokens by the
-file's pattern. Each pre-token is, in this order,
+A rank file (``.tiktoken``: base64 piece and rank a line) gives pieces and ranks. A text is cut into
+pre-tokens by the file's pattern, in the plan. The distinct pre-tokens of an Arrow batch are encoded
+once inside its task, and their ids are laid out again for every occurrence; a worker remembers a
+bounded number of short ones from batch to batch. So no text is shuffled, nothing that grows with the
+corpus is broadcast or sent to the driver, and a plan holds no table of words.
 
-* a piece of the file: its rank is its id;
-* one of the corpus' most frequent other words: these distinct words are encoded once, and their
-  ids (at most ``FREQUENT`` words of at most ``SHORT`` bytes) are one more literal map;
-* anything else: the same merges are folded over its bytes where it stands.
-
-So every word is exact whatever its rank, no text is shuffled, and nothing that grows with the
-corpus is broadcast: only distinct words and their counts meet, after partial counts a task.
-
-The fold starts from single bytes and merges the leftmost adjacent pair of lowest rank until none
-has a rank. Words over ``SHORT`` bytes merge all pairs of the lowest rank in one step, left to
-right, where the file proves that no merge of that rank can make a pair of lower rank; so a run of
-one character takes few steps.
+A pre-token that is a piece of the file has its rank as its one id. Any other starts from single
+bytes and merges the leftmost adjacent pair of lowest rank until none has a rank; a heap of pairs
+keeps this at n log n for words of any length.
 
 * Null and empty texts have no ids; they decode to no bytes. Texts are encoded whole.
-* Ties: of equally frequent words the smaller is chosen; the choice never changes ids.
+* Which words a worker remembers never changes ids.
 * Repeated rows each get their row. An empty table gives an empty result.
 * Result columns replace columns of the same names; other columns are kept, whatever their names.
 * The pattern's character classes are those of the JVM's Unicode tables; characters assigned later
@@ -28,19 +21,17 @@ one character takes few steps.
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.plan import with_columns_once
-from .common import fresh, let, settle
+from .common import fresh
 
-FREQUENT = 100_000  # distinct words encoded once and kept as a literal map
-SHORT = 64          # bytes; longer words are never kept and merge by whole ranks
-_PLACES = 1 << 12   # more than the pieces of a short word
-_CUT = "\u0100"     # between pieces; bytes are the characters below it
+FREQUENT = 100_000  # distinct words a worker remembers; beyond it the memo starts anew
+SHORT = 64          # characters; longer words are never remembered
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -54,136 +45,116 @@ def _byte_text(piece: bytes) -> str:
     return piece.decode("latin-1")
 
 
-def _table(entries: dict[str, object], kind: str) -> Column:
-    """A literal array of small maps (about one entry each); ``_at`` finds a key in it."""
-    n = 1 << max(10, len(entries).bit_length())
-    buckets: list[dict] = [{} for _ in range(n)]
-    for key, value in entries.items():
-        buckets[xxhash.xxh64_intdigest(key.encode("utf-8"), seed=42) % n][key] = value
-    text = json.dumps(buckets, ensure_ascii=False, separators=(",", ":"))
-    return F.from_json(F.lit(text), f"array<map<string,{kind}>>")
-
-
-def _at(table: Column, key: Column) -> Column:
-    """The key's value (null: no such key)."""
-    return F.try_element_at(F.get(table, F.xxhash64(key).bitwiseAND(F.size(table) - 1).cast("int")), key)
-
+class Merger:
+    """Ids of single words; one per worker and rank file."""
 
-def lowering(ranks: dict[bytes, int]) -> set[int]:
-    """Ranks whose merge may make a pair of lower rank: the piece begins or ends a piece of lower
-    rank whose other part is a piece too."""
-    out = set()
-    for piece, rank in ranks.items():
-        for i in range(1, len(piece)):
-            head, tail = ranks.get(piece[:i]), ranks.get(piece[i:])
-            if head is not None and tail is not None:
-                out.update(r for r in (head, tail) if r > rank)
-    return out
+    def __init__(self, path: str):
+        self.ranks = read_ranks(path)
+        self.memo: dict[str, list[int]] = {}
+
+    def ids(self, word: str, remember: int) -> list[int]:
+        """Ids of a non-empty word."""
+        found = self.memo.get(word)
+        if found is None:
+            found = self._merged(word.encode("utf-8"))
+            if len(word) <= SHORT and remember:
+                if len(self.memo) >= remember:
+                    self.memo.clear()
+                self.memo[word] = found
+        return found
+
+    def _merged(self, word: bytes) -> list[int]:
+        whole = self.ranks.get(word)
+        if whole is not None:
+            return [whole]
+        # parts by their first byte: where each ends (0: merged into an earlier one), where the one before begins
+        n, rank_of = len(word), self.ranks.get
+        end, before = list(range(1, n + 1)), list(range(-1, n))
+        pairs = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(word[i:i + 2])) is not None]
+        heapq.heapify(pairs)
+        while pairs:
+            _, i, stop = heapq.heappop(pairs)
+            middle = end[i]
+            if not middle or middle == n or end[middle] != stop:
+                continue  # one of the two was merged since
+            end[i], end[middle], before[stop] = stop, 0, i
+            for first, last in ((i, end[stop] if stop < n else 0), (before[i], stop)):
+                if first >= 0 and last and (r := rank_of(word[first:last])) is not None:
+                    heapq.heappush(pairs, (r, first, last))
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[word[i:end[i]]])
+            i = end[i]
+        return out
+
+
+_MERGERS: dict[str, Merger] = {}
+
+
+def merger(path: str) -> Merger:
+    if path not in _MERGERS:
+        _MERGERS[path] = Merger(path)
+    return _MERGERS[path]
+
+
+def ids_of_words(path: str, words: Column, remember: int = FREQUENT) -> Column:
+    """Ids of each row's words (an array of non-empty strings), one word after another."""
+    def encode(rows):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        one = merger(path)
+        coded = rows.flatten().dictionary_encode()  # a batch's distinct words, and which stands where
+        ids = [one.ids(w, remember) for w in coded.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, ids), "int64", len(ids))
+        at = np.asarray(coded.indices)
+        own = pa.ListArray.from_arrays(pa.array(_starts(sizes), "int32"), pa.array([i for x in ids for i in x], "int32"))
+        n_words = np.asarray(pc.fill_null(pc.list_value_length(rows), 0))
+        ends = _starts(sizes[at])[_starts(n_words)]
+        return pa.ListArray.from_arrays(pa.array(ends, "int32"), own.take(coded.indices).flatten())
+
+    def _starts(sizes):
+        import numpy as np
+
+        return np.concatenate([[0], np.cumsum(sizes, dtype="int64")])
+
+    import pyarrow as pa
+
+    encode.__annotations__ = {"rows": pa.Array, "return": pa.Array}
+    return F.arrow_udf(encode, "array<int>")(words)
 
 
 class Codec:
-    """Encoding and decoding expressions for one rank file and pattern.
-
-    Ids of words are kept as decimal text, joined by commas, until a caller asks for arrays."""
+    """Encoding and decoding expressions for one rank file and pattern."""
 
     def __init__(self, path: str, pattern: str):
-        self.ranks = read_ranks(path)
+        self.path = path
         self.pattern = "(?U)" + pattern  # white space as Unicode has it
-        self._rank_table = _table({_byte_text(p): r for p, r in self.ranks.items()}, "int")
-        self.whole = {}
-        for piece, rank in self.ranks.items():
-            try:
-                self.whole[piece.decode("utf-8")] = str(rank)
-            except UnicodeDecodeError:  # a part of a character is never a pre-token
-                pass
-        by_id: list[str | None] = [None] * (max(self.ranks.values()) + 1)
-        for piece, rank in self.ranks.items():
+        ranks = read_ranks(path)
+        by_id: list[str | None] = [None] * (max(ranks.values()) + 1)
+        for piece, rank in ranks.items():
             by_id[rank] = _byte_text(piece)
         self._pieces = F.from_json(F.lit(json.dumps(by_id)), "array<string>")
-        low = lowering(self.ranks)
-        self._lowering = F.from_json(F.lit(json.dumps([int(i in low) for i in range(len(by_id))])), "array<int>")
 
     def words(self, text: Column) -> Column:
         """Pre-tokens of a text in order (null: none)."""
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), F.lit(0))
 
-    @staticmethod
-    def _pair_ranks(pieces: Column, ranks: Column) -> Column:
-        """Rank of each piece joined with the next (null: no piece)."""
-        joined = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))),
-                             lambda after, i: F.concat(F.get(pieces, i), after))
-        return F.transform(joined, lambda piece: _at(ranks, piece))
-
-    def _step_short(self, state: Column, ranks: Column) -> Column:
-        """``state`` (pieces joined by cuts) without the cut of its leftmost pair of lowest rank; a
-        cut at the end marks a word without such a pair."""
-        def merged(low):
-            head = F.call_function("substring_index", state, F.lit(_CUT), F.pmod(low, F.lit(_PLACES)).cast("int") + 1)
-            return F.when(low.isNull(), F.concat(state, F.lit(_CUT))).otherwise(
-                F.overlay(state, F.lit(""), F.length(head) + 1, F.lit(1)))
-        lowest = let(F.split(state, _CUT), lambda p: F.array_min(F.transform(
-            self._pair_ranks(p, ranks), lambda r, i: r.cast("long") * F.lit(_PLACES) + i)))
-        return F.when(F.endswith(state, F.lit(_CUT)), state).otherwise(let(lowest, merged))
-
-    def _step_long(self, state: Column, ranks: Column) -> Column:
-        """As ``_step_short`` for all pairs of the lowest rank, left to right, where their merge can
-        make no pair of lower rank."""
-        def merged(pieces, found):
-            def marked(low):
-                flags = F.array_join(F.transform(found, lambda r: F.when(r == low, "1").otherwise("0")), "")
-                first = let(F.instr(flags, "1"), lambda i: F.concat(
-                    F.repeat(F.lit("0"), i - 1), F.lit("1"), F.repeat(F.lit("0"), F.size(found) - i)))
-                taken = F.when(F.get(self._lowering, low) == 0, F.replace(flags, F.lit("11"), F.lit("10"))).otherwise(first)
-                joined = let(F.split(taken, ""), lambda t: F.array_join(F.transform(pieces, lambda p, i: F.concat(
-                    p, F.when((F.get(t, i) == "1") | (i + 1 == F.size(pieces)), "").otherwise(_CUT))), ""))
-                return F.when(low.isNull(), F.concat(state, F.lit(_CUT))).otherwise(joined)
-            return let(F.array_min(found), marked)
-        return F.when(F.endswith(state, F.lit(_CUT)), state).otherwise(
-            let(F.split(state, _CUT), lambda p: let(self._pair_ranks(p, ranks), lambda found: merged(p, found))))
-
-    def merge(self, word: Column, ranks: Column | None = None) -> Column:
-        """Ids of one non-empty word by ranked merges folded over its bytes."""
-        if ranks is None:
-            return let(self._rank_table, lambda r: self.merge(word, r))
-
-        def fold(letters):
-            start = F.array_join(letters, _CUT)
-            short = F.aggregate(letters, start, lambda s, _: self._step_short(s, ranks))
-            long = F.aggregate(letters, start, lambda s, _: self._step_long(s, ranks))
-            done = F.when(F.size(letters) <= SHORT, short).otherwise(long)
-            return let(done, lambda s: F.array_join(F.transform(
-                F.split(F.rtrim(s, F.lit(_CUT)), _CUT), lambda p: _at(ranks, p).cast("string")), ","))
-        return let(F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), ""), fold)
-
-    def frequent(self, df: DataFrame, text: str = "text", n: int = FREQUENT) -> dict[str, str]:
-        """Ids of the ``n`` most frequent words that are no pieces (a bounded number of bounded words)."""
-        words = df.select(F.explode(self.words(F.col(text))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-        whole = _table(self.whole, "string")
-        rest = words.filter((F.octet_length("w") <= SHORT) & _at(whole, F.col("w")).isNull())
-        top = settle(rest.orderBy(F.desc("n"), "w").limit(n).repartition(df.sparkSession.sparkContext.defaultParallelism))
-        return {r.w: r.ids for r in top.select("w", self.merge(F.col("w")).alias("ids")).collect()}
-
-    def _encoded(self, words: Column, known: Column) -> Column:
-        """Ids of each word."""
-        return let(known, lambda k: let(self._rank_table, lambda ranks: F.transform(
-            words, lambda w: F.coalesce(_at(k, w), self.merge(w, ranks)))))
+    def merge(self, word: Column) -> Column:
+        """Ids of one non-empty word as decimal text joined by commas."""
+        return id_text(ids_of_words(self.path, F.array(word)))
 
-    def encode_text(self, df: DataFrame, text: str = "text", frequent: int = FREQUENT, ids: str = "ids") -> DataFrame:
-        """``df`` with the ids of every whole text as decimal text joined by commas."""
-        known = _table(self.whole | self.frequent(df, text, frequent), "string")
+    def encode(self, df: DataFrame, text: str = "text", frequent: int = FREQUENT, ids: str = "ids") -> DataFrame:
+        """``df`` with the ids of every whole text as an array of ints; ``frequent``: words a worker remembers."""
         words, made = fresh(df, "bpe_words", "bpe_ids")
         out = with_columns_once(df, {words: self.words(F.col(f"`{text}`"))})
-        out = with_columns_once(out, {made: F.array_join(self._encoded(F.col(words), known), ",")})
+        out = out.withColumn(made, ids_of_words(self.path, F.col(words), frequent))
         return out.select(*[f"`{c}`" for c in df.columns if c.lower() != ids.lower()], F.col(made).alias(ids))
 
-    def encode(self, df: DataFrame, text: str = "text", frequent: int = FREQUENT, ids: str = "ids") -> DataFrame:
-        """``df`` with the ids of every whole text as an array of ints."""
-        out = self.encode_text(df, text, frequent, ids)
-        return out.withColumn(ids, self.id_list(F.col(ids)))
-
-    @staticmethod
-    def id_list(ids: Column) -> Column:
-        return F.filter(F.split(ids, ","), lambda x: x != "").cast("array<int>")
+    def encode_text(self, df: DataFrame, text: str = "text", frequent: int = FREQUENT, ids: str = "ids") -> DataFrame:
+        """``df`` with the ids of every whole text as decimal text joined by commas."""
+        return self.encode(df, text, frequent, ids).withColumn(ids, id_text(F.col(f"`{ids}`")))
 
     def decode(self, ids: Column) -> Column:
         """The bytes that an array of ids stands for (null: none), its pieces one after another."""
@@ -191,13 +162,17 @@ class Codec:
         return F.encode(F.array_join(pieces, ""), "ISO-8859-1")
 
 
+def id_text(ids: Column) -> Column:
+    return F.array_join(ids.cast("array<string>"), ",")
+
+
 def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """``df`` with n_tokens, ids_sha256 (of the decimal ids, joined by commas) and decoded_sha256."""
     codec = Codec(path, pattern)
     made = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    ids, as_list = fresh(df, "bpe_all_ids", "bpe_id_list")
-    out = with_columns_once(codec.encode_text(df, text, frequent, ids), {as_list: codec.id_list(F.col(ids))})
+    ids, = fresh(df, "bpe_id_list")
+    out = codec.encode(df, text, frequent, ids)
     return out.select(*[f"`{c}`" for c in df.columns if c.lower() not in made],
-                      F.size(as_list).cast("long").alias("n_tokens"),
-                      F.sha2(F.col(ids).cast("binary"), 256).alias("ids_sha256"),
-                      F.sha2(codec.decode(F.col(as_list)), 256).alias("decoded_sha256"))
+                      F.size(ids).cast("long").alias("n_tokens"),
+                      F.sha2(id_text(F.col(ids)).cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(codec.decode(F.col(ids)), 256).alias("decoded_sha256"))

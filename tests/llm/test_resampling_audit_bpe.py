@@ -222,3 +222,23 @@ def test_bpe_takes_odd_rows_and_decodes(spark, odd):
     assert len(got) == len(ODD) and all(bytes(r.raw) == (r.text or "").encode() for r in got)
     assert bpe.round_trip(odd.limit(0), RANKS, P.PATTERN).count() == 0
     assert spark.range(1).select(codec.decode(F.lit(None).cast("array<int>")).alias("x")).first().x == b""
+
+
+def test_bpe_plan_holds_no_words_and_driver_gets_none(spark, monkeypatch):
+    """The query once collected frequent words and kept them as a literal of its plan."""
+    df = spark.createDataFrame([(i, f"zxqv{i} wvut{i % 7} üqx") for i in range(3000)], "doc_id long, text string")
+    kind = type(df)
+    monkeypatch.setattr(kind, "collect", lambda self: pytest.fail("rows were collected"))
+    out = bpe.round_trip(df, RANKS, P.PATTERN)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "zxqv" not in plan and "Exchange hash" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("remember", [0, 1, 3, 100])
+def test_any_memo_gives_the_library_ids(library, remember):
+    rng = random.Random(4)
+    one = bpe.Merger(RANKS)
+    words = ["".join(rng.choices("abenté中ß ", k=rng.randint(1, 90))) for _ in range(300)] + ["é" * 700, "ab" * 2000]
+    for w in words * 2:
+        assert one.ids(w, remember) == library._core_bpe.encode_single_piece(w.encode())
+    assert len(one.memo) <= remember
