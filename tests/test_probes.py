@@ -92,3 +92,36 @@ def test_root_predicates_need_their_columns(spark):
     got = T.select_spans(T.root_attributes(spans), [("rootName", "=", "root"), ("rootServiceName", "=", "s"),
                                                     ("spanID", "!=", "a"), ("traceID", "=", "t")])
     assert [r.span_id for r in got.collect()] == ["b"]
+
+
+def test_probes_equal_brute_force_and_the_join_compares_no_matchers(spark):
+    import re
+    rng = random.Random(11)
+    keys, ops = ["a", "b", "n"], ["=", "!=", "=~", "!~", ">", ">=", "<", "<="]
+    rows = [(rng.choice(["x", "y"]), {k: rng.choice(["", "1", "2", "10", "z", "NaN"]) for k in keys if rng.random() < 0.7},
+             f"s{i % 9}", i, float(i % 7)) for i in range(120)]
+    cat = [(f"p{i % 50}", rng.choice(["x", "y", None]), [(rng.choice(keys), rng.choice(ops), rng.choice(["", "1", "2", "10", "z|1", "t"]))
+            for _ in range(rng.randint(0, 4))], rng.randint(0, 40), rng.randint(30, 120)) for i in range(60)]
+    num = lambda t: float(t) if re.fullmatch(r"[0-9]+|NaN", t or "") else None
+
+    def meets(labels, k, op, w):
+        v = labels.get(k, "")
+        if op in "!=~" or op in ("!~", "=~"):
+            hit = re.fullmatch(w, v) is not None if op[-1] == "~" else v == w
+            return hit != (op[0] == "!")
+        a, b = num(labels.get(k)), num(w)
+        if a is None or b is None:
+            return False
+        a, b = [(1, 0) if x != x else (0, x) for x in (a, b)]  # NaN is the largest
+        return {">": a > b, ">=": a >= b, "<": a < b, "<=": a <= b}[op]
+    want = {}
+    for q, lang, ms, lo, hi in cat:
+        got = [r for r in rows if r[0] == lang and lo <= r[3] < hi and all(meets(r[1], *m) for m in ms)]
+        want.setdefault(q, []).extend(got)
+    df = PR.probe_selectors(
+        spark.createDataFrame(rows, "lang string, labels map<string,string>, sid string, ts_ns long, value double"),
+        spark.createDataFrame(cat, f"query string, lang string, matchers {PR.MATCHERS}, start_ns long, end_ns long"))
+    assert {r.query: (r.n_series, r.n_rows, r.first_value) for r in df.collect()} == {
+        q: (len({r[2] for r in g}), len(g), min(g, key=lambda r: r[3])[4] if g else None) for q, g in want.items()}
+    joins = [line for line in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in line]
+    assert joins and not any("RLIKE" in line.upper() or "forall" in line for line in joins)
