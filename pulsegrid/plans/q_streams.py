@@ -48,6 +48,13 @@ def run_available_now(spark: SparkSession, df: DataFrame, name: str) -> DataFram
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
+def last_closed_ns(spark: SparkSession, d: str) -> int:
+    """The last full hour that the watermark passes when all of ``events`` is replayed."""
+    newest = read_table(spark, d, "events").agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()[0]
+    closed = (newest or 0) * 1000 - DELAY_S * 10**9
+    return closed - closed % HOUR_NS
+
+
 def _closed(t_col: str = "t_ns") -> str:
     return f"{t_col} <= (SELECT max(epoch_us(ts)) * 1000 FROM events) - {DELAY_S * 10**9}"
 
@@ -89,7 +96,7 @@ WHERE {_closed('g.t_ns')}
 GROUP BY metric, "user", g.t_ns HAVING count(*) >= 2 AND max(ts_ns) > min(ts_ns)""")
 def q_stream_rates(spark, d):
     s = a_samples(stream_table(spark, d, "events"))
-    out = run_available_now(spark, SO.stream_rate(s, "1 day", "1 hour", "1 hour"), "rates")
+    out = run_available_now(spark, SO.stream_rate(s, "1 day", "1 hour", "1 hour", "1 day", last_closed_ns(spark, d)), "rates")
     out = decode_series(out)
     return out.select("metric", label("labels", "user").alias("user"), "t", F.round("value", 6).alias("value"))
 

@@ -8,6 +8,7 @@ the batch result at the same grid points (t on the step grid anchored at the epo
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -43,15 +44,45 @@ def dedup_points(samples: DataFrame, delay: str | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- rates (buckets, then windows)
 
-def stream_rate(samples: DataFrame, range_: str, step: str, delay: str) -> DataFrame:
+def _blocks(at: str, span_ns: int, block_ns: int, end_ns: int):
+    """Blocks of ``block_ns``, one of them ending at ``end_ns``, each with the ``span_ns`` before its end."""
+    start = (end_ns - span_ns) % block_ns // 1000
+    return F.window(at, _micros(span_ns), _micros(block_ns), f"{start} microseconds")
+
+
+def _micros(ns: int) -> str:
+    return f"{ns // 1000} microseconds"
+
+
+def _interval_ns(text: str) -> int:
+    """``1 day``, ``30 minutes`` (Spark's intervals) or ``6h`` in nanoseconds."""
+    return duration_ns(re.sub(r"\s*(second|minute|hour|day|week)s?\s*", lambda m: m[1][0], text))
+
+
+def _ends(block_ns: int, step_ns: int):
+    """Grid times that a block answers for, in nanoseconds: those in its last ``block_ns``."""
+    last = F.unix_micros("window.end") * 1000
+    return F.sequence(last - F.lit(block_ns - step_ns), last, F.lit(step_ns))
+
+
+def stream_rate(samples: DataFrame, range_: str, step: str, delay: str, block: str | None = None,
+                end_ns: int = 0) -> DataFrame:
     """STR-2: per (window, series) the counter increase over the pairs inside the window, by seconds.
 
     Two window aggregations in a row. A bucket of one ``step`` holds a series' points until the
     watermark passes it (rows in any order, repeated times keep the larger value), then leaves six
     numbers; a window of ``range_`` (a multiple of ``step``) stitches its buckets' numbers. State is
-    keyed by (time, series): a hot series spreads over its buckets, an idle one leaves no state."""
+    keyed by (time, series): a hot series spreads over its buckets, an idle one leaves no state.
+
+    Windows are made ``block`` (a multiple of ``step``) at a time: a block holds the buckets of all
+    windows that end in it, so that a bucket is kept in ``range_ / block + 1`` places instead of
+    ``range_ / step``, and emits them when the watermark passes its end. The default, one step, emits
+    each window at once. A replay passes a longer block and as ``end_ns`` the last grid time that its
+    watermark passes, where a block then ends: no closed window is left behind."""
+    range_ns, step_ns = _interval_ns(range_), _interval_ns(step)
+    block_ns = _interval_ns(block or step)
     x = samples.withWatermark("ts", delay)
-    buckets = x.groupBy(F.window("ts", step), "series_id").agg(
+    buckets = x.groupBy(F.window("ts", _micros(step_ns)), "series_id").agg(
         F.sort_array(F.collect_list(F.struct("ts_ns", "value"))).alias("points"))
     buckets = with_columns_once(buckets, {"p": F.filter("points", lambda e, i: F.coalesce(
         F.get("points", i + 1)["ts_ns"] != e["ts_ns"], F.lit(True)))})
@@ -59,14 +90,21 @@ def stream_rate(samples: DataFrame, range_: str, step: str, delay: str) -> DataF
     part = F.struct(first["ts_ns"].alias("first_ts"), first["value"].alias("first"), last["ts_ns"].alias("last_ts"),
                     last["value"].alias("last"), F.size("p").alias("n"), _increase(
                         F.col("p"), lambda e: e["value"], lambda e: e["value"]).alias("inside"))
-    windows = buckets.select(F.window_time("window").alias("at"), "series_id", part.alias("part")).groupBy(
-        F.window("at", range_, step), "series_id").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    blocks = buckets.select(F.window_time("window").alias("at"), "series_id", part.alias("part")).groupBy(
+        _blocks("at", range_ns + block_ns - step_ns, block_ns, end_ns), "series_id").agg(
+        F.sort_array(F.collect_list("part")).alias("all"))
+    several = (F.size("all") > 1) | (F.get("all", F.lit(0))["n"] > 1)  # one point makes no pair
+    windows = blocks.filter(several).select("series_id", "all", F.explode(_ends(block_ns, step_ns)).alias("t_ns"))
+    windows = with_columns_once(windows, {"parts": F.filter("all", lambda e: (
+        e["first_ts"] >= F.col("t_ns") - F.lit(range_ns)) & (e["first_ts"] < F.col("t_ns")))}).filter("size(parts) > 0")
     inside = F.aggregate("parts", F.lit(0.0), lambda a, e: a + e["inside"])
     increase = inside + _increase(F.col("parts"), lambda e: e["last"], lambda e: e["first"])
     n = F.aggregate("parts", F.lit(0), lambda a, e: a + e["n"])
     span = F.element_at("parts", -1)["last_ts"] - F.get("parts", F.lit(0))["first_ts"]
-    return windows.select(*_window_cols(), "series_id", (increase / (span / F.lit(float(NS)))).alias("value"),
-                          n.alias("n"), span.alias("span")).filter("n >= 2 AND span > 0").drop("n", "span")
+    t = F.expr(f"t_ns div {NS}")
+    out = with_columns_once(windows, {"n": n, "span": span}).filter("n >= 2 AND span > 0")
+    return out.select(t.alias("t"), (t - F.lit(range_ns // NS)).alias("t_start"), "series_id",
+                      (increase / (F.col("span") / F.lit(float(NS)))).alias("value"))
 
 
 def _increase(items, before, after):
