@@ -123,7 +123,7 @@ v AS (SELECT metric, "user", g.t_ns, arg_max(value, (ts_ns, value)) AS value
 {_state_sql('ClickLow', 'click', 'value < 200', 2, "\"user\" <> '1'")}""")
 def q_stream_alert_states(spark, d):
     s = a_samples(stream_table(spark, d, "events"))
-    out = run_available_now(spark, SO.stream_alerts(s, STREAM_ALERTS, "12h", "1h", "1 hour"), "alerts")
+    out = run_available_now(spark, SO.stream_alerts(s, STREAM_ALERTS, "12h", "1h", "1 hour", "1 day", last_closed_ns(spark, d)), "alerts")
     # a state is final once the watermark is a step past it
     newest = read_table(spark, d, "events").agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).scalar()
     out = decode_series(out.filter((F.col("t") + 3600 + DELAY_S) * 1_000_000 <= newest))

@@ -8,6 +8,7 @@ the batch result at the same grid points (t on the step grid anchored at the epo
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -114,40 +115,51 @@ def _increase(items, before, after):
     return F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x)
 
 
-# ---------------------------------------------------------------- alerts (grid values, then hold windows)
+# ---------------------------------------------------------------- alerts (buckets, then blocks of grid times)
 
-def stream_alerts(samples: DataFrame, rules: list, lookback: str, step: str, delay: str) -> DataFrame:
+def stream_alerts(samples: DataFrame, rules: list, lookback: str, step: str, delay: str, block: str | None = None,
+                  end_ns: int = 0) -> DataFrame:
     """STR-3: the batch alert states on the epoch-aligned grid of ``step``, for grid times that the
-    watermark has passed by a step (the second window closes after the first has emitted).
+    watermark has passed.
 
-    A first window gives each (rule, series) its newest value within ``lookback`` of every grid
-    time, so a pending alert fires with time and needs no new sample. A second window holds the
-    grid times that ``for`` spans: firing if the condition held at all of them."""
-    step_ns = duration_ns(step)
-    every, back = f"{step_ns // 1000} microseconds", f"{duration_ns(lookback) // 1000} microseconds"
+    A bucket keeps the newest value of each (rule, series); its width divides ``step`` and ``lookback``.
+    A block (see ``stream_rate``) holds the buckets that its grid times and the times that ``for`` spans
+    before them look back to. A grid time's value is the newest within ``lookback``, so a pending alert
+    fires with time and needs no new sample: firing if the condition held at all times ``for`` spans."""
+    step_ns, back_ns = _interval_ns(step), _interval_ns(lookback)
+    block_ns = _interval_ns(block or step)
+    hold = max(_steps(r.for_, step_ns) for r in rules)
     arr = F.array(*[F.struct(F.lit(r.alert).alias("alert"), F.lit(r.metric).alias("metric")) for r in rules])
-    x = samples.filter(F.col("metric").isin(*{r.metric for r in rules}))
-    x = x.withColumn("rule", F.explode(F.filter(arr, lambda r: r["metric"] == F.col("metric"))))
-    x = x.withColumn("alert", F.col("rule.alert"))
-    x = x.filter(selected(rules, F.col("alert"), F.col("labels"))).withWatermark("ts", delay)
-    grid = x.groupBy(F.window("ts", back, every), "alert", "series_id").agg(
-        F.max(F.struct("ts_ns", "value"))["value"].alias("value"))
-    cond = F.lit(False)
-    for r in rules:
-        cond = F.when(F.col("alert") == r.alert, holds(F.lit(r.op), F.col("value"), F.lit(float(r.threshold)))).otherwise(cond)
-    grid = grid.select(F.window_time("window").alias("at"), F.unix_seconds("window.end").alias("t"), "alert",
-                       "series_id", "value", F.coalesce(cond, F.lit(False)).alias("cond"))
-    out = None
-    for steps in sorted({_steps(r.for_, step_ns) for r in rules}):
-        names = [r.alert for r in rules if _steps(r.for_, step_ns) == steps]
-        span = f"{(steps + 1) * step_ns // 1000} microseconds"
-        held = grid.filter(F.col("alert").isin(*names)).groupBy(F.window("at", span, every), "alert", "series_id").agg(
-            F.max(F.struct("t", "value", "cond")).alias("now"), F.count_if("cond").alias("n"))
-        state = F.when(~F.col("now.cond"), "inactive").when(F.col("n") > steps, "firing").otherwise("pending")
-        held = held.filter(F.col("now.t") == F.unix_seconds("window.end")).select(
-            "alert", "series_id", F.col("now.t").alias("t"), F.col("now.value").alias("value"), state.alias("state"))
-        out = held if out is None else out.unionByName(held)
-    return out
+    # generated, since a plain filter moves below the watermark, which all samples advance
+    x = with_columns_once(samples.withWatermark("ts", delay), {"mine": F.filter(arr, lambda r: r["metric"] == F.col("metric"))})
+    x = x.withColumn("alert", F.explode("mine.alert"))
+    x = x.filter(selected(rules, F.col("alert"), F.col("labels")))
+    buckets = x.groupBy(F.window("ts", _micros(math.gcd(step_ns, back_ns))), "alert", "series_id").agg(
+        F.max(F.struct("ts_ns", "value")).alias("newest"))
+    blocks = buckets.select(F.window_time("window").alias("at"), "alert", "series_id", "newest").groupBy(
+        _blocks("at", back_ns + hold * step_ns + block_ns - step_ns, block_ns, end_ns), "alert", "series_id").agg(
+        F.sort_array(F.collect_list("newest")).alias("all"))
+
+    def by_rule(value):
+        out = F.lit(None)
+        for r in rules:
+            out = F.when(F.col("alert") == r.alert, value(r)).otherwise(out)
+        return out
+    steps = by_rule(lambda r: F.lit(_steps(r.for_, step_ns)))
+
+    def at(t):  # the grid time's newest value in reach (null: none)
+        reach = F.filter("all", lambda e: (e["ts_ns"] >= t - F.lit(back_ns)) & (e["ts_ns"] < t))
+        return F.transform(F.array(F.try_element_at(reach, F.lit(-1))), lambda e: F.struct(
+            t.alias("t_ns"), e.isNotNull().alias("there"), e["value"].alias("value"), F.coalesce(by_rule(
+                lambda r: holds(F.lit(r.op), e["value"], F.lit(float(r.threshold)))), F.lit(False)).alias("cond")))[0]
+    grid = F.transform(_ends(block_ns + hold * step_ns, step_ns), at)  # the held times first, then the block's
+    blocks = with_columns_once(blocks.select("window", "alert", "series_id", "all"), {"grid": grid, "steps": steps})
+    out = blocks.select("alert", "series_id", "grid", "steps", F.posexplode("grid").alias("i", "now"))
+    out = out.filter((F.col("i") >= hold) & F.col("now.there"))
+    held = F.forall(F.slice("grid", F.col("i") + 1 - F.col("steps"), F.col("steps") + 1), lambda e: e["cond"])
+    state = F.when(~F.col("now.cond"), "inactive").when(held, "firing").otherwise("pending")
+    return out.select("alert", "series_id", F.expr(f"now.t_ns div {NS}").alias("t"), F.col("now.value").alias("value"),
+                      state.alias("state"))
 
 
 def _steps(for_: str, step_ns: int) -> int:

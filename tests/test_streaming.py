@@ -154,3 +154,16 @@ def test_rate_in_blocks_equals_batch_with_fewer_entries(spark, replay):
     b = batch.select("t", "series_id", F.round("value", 6).alias("v"))
     assert b.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert few < 4 * ev.count()  # 24 places a point before
+
+
+def test_alerts_in_blocks_equal_batch_with_fewer_entries(spark, replay):
+    d, ev, max_s = replay
+    end_ns = (max_s - DELAY_S) // 3600 * 3600 * 10**9
+    rules = [AL.AlertRule("ViewHigh", "view", ">", 100, "6h"), AL.AlertRule("Odd", "view", ">", 50, "90m")]
+    got, few = _entries(SO.stream_alerts(a_samples(_stream(spark, d, ev)), rules, "12h", "1h", "1 hour", "1 day", end_ns), d, "alert-blocks")
+    batch = AL.alert_states(pq.instant(a_samples(ev), GRID, "12h"), rules, GRID).filter(F.col("t") <= max_s - DELAY_S)
+    cols = ["alert", "series_id", "t", "value", "state"]
+    a, b = got.select(cols), batch.select(cols)
+    assert b.filter("state = 'firing'").count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert few < 4 * 2 * ev.filter("event_type = 'view'").count()  # 7 places a grid time, 12 a point before
